@@ -1,6 +1,6 @@
 """Registered queries: every operator on the whole driver tables, with SQL twins."""
 
-from . import feeds, models
+from . import evaluation, feeds, memos, models, quality_loads
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "feeds", "models"]
+__all__ = ["ORACLES", "QUERIES", "evaluation", "feeds", "memos", "models", "quality_loads"]

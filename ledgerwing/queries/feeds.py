@@ -390,7 +390,7 @@ _SECTIONS = f"""
             CASE WHEN length(n) >= 200 THEN n END AS n
         FROM (SELECT doc_id, lang, trim('Business' || chr(10) || t, {_WS}) AS b,
                 trim('Risk Factors' || chr(10) || t || chr(10) || source, {_WS}) AS r,
-                trim('- Discussion ' || t, {_WS}) AS m,
+                trim('Discussion ' || t, {_WS}) AS m,
                 trim('Statements' || chr(10) || 'Notes to the Consolidated Financial Statements' || chr(10) || t, {_WS}) AS f,
                 trim('Notes to the Consolidated Financial Statements' || chr(10) || t, {_WS}) AS n
             FROM (SELECT *, {_BODY} AS t FROM documents)))"""
