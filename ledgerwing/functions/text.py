@@ -118,28 +118,35 @@ def filing_sections(
     section wins. Footnotes run from their heading to the end of the document.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    cut = df.withColumn(
-        "_items", F.regexp_extract_all(body, F.lit(ITEM_HEADER), F.lit(1))
-    ).withColumn("_parts", F.split(body, ITEM_HEADER, -1))
-    pieces = F.transform(
-        F.col("_items"),
-        lambda item, i: F.struct(
-            _section_of(F.col(form), F.upper(item)).alias("name"),
-            strip(F.get(F.col("_parts"), i + 1)).alias("body"),
+    items = F.regexp_extract_all(body, F.lit(ITEM_HEADER), F.lit(1))
+    # The text before the first header has no item. Both arrays are arguments of
+    # the zip: inside the lambda they would be evaluated once per element.
+    zipped = F.arrays_zip(
+        F.array_prepend(items, F.lit(None).cast("string")).alias("item"),
+        F.split(body, ITEM_HEADER, -1).alias("part"),
+    )
+    named = F.transform(
+        zipped,
+        lambda z: F.struct(
+            _section_of(F.col(form), F.upper(z["item"])).alias("name"), z["part"].alias("part")
         ),
     )
-    cut = cut.withColumn(
-        "_pieces",
-        F.filter(pieces, lambda p: p["name"].isNotNull() & (F.length(p["body"]) >= min_chars)),
+    wanted = F.filter(named, lambda p: p["name"].isNotNull())
+    pieces = F.transform(
+        wanted, lambda p: F.struct(p["name"].alias("name"), strip(p["part"]).alias("body"))
     )
-    at = F.regexp_instr(body, F.lit(FOOTNOTES))
-    notes = strip(F.substr(body, at))
+    cut = df.withColumns(
+        {
+            "_pieces": F.filter(pieces, lambda p: F.length(p["body"]) >= min_chars),
+            "_at": F.regexp_instr(body, F.lit(FOOTNOTES)),
+        }
+    ).withColumn("_notes", F.when(F.col("_at") > 0, strip(F.substr(body, F.col("_at")))))
     def first_piece(name: str) -> Column:
         return F.get(F.filter(F.col("_pieces"), lambda p: p["name"] == name), F.lit(0))["body"]
 
     columns = {name: first_piece(name) for name in SECTION_NAMES[:-1]}
-    columns["footnotes"] = F.when((at > 0) & (F.length(notes) >= min_chars), notes)
-    return cut.withColumns(columns).drop("_items", "_parts", "_pieces")
+    columns["footnotes"] = F.when(F.length("_notes") >= min_chars, F.col("_notes"))
+    return cut.withColumns(columns).drop("_pieces", "_at", "_notes")
 
 
 def sections_map(*names: str) -> Column:

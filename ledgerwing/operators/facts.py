@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 #: Tags of each fundamentals field, in order of preference.
 FIELD_CONCEPTS: dict[str, tuple[str, ...]] = {
@@ -79,45 +80,45 @@ def qualify_facts(df: DataFrame, non_negative: Column | None = None) -> DataFram
     return df.where(keep)
 
 
-def _by_concept(rules: Mapping[str, FieldRule], pick) -> Column:
-    """A per-concept constant chosen by ``pick(field, rule, rank)``."""
-    out: Column = F.lit(None)
-    for field, rule in rules.items():
-        for rank, concept in enumerate(rule.concepts):
-            here = (
-                (F.col("concept") == concept)
-                & (F.col("taxonomy") == rule.taxonomy)
-                & (F.col("unit") == rule.unit)
-            )
-            out = F.when(here, F.lit(pick(field, rule, rank))).otherwise(out)
-    return out
+def _rule_table(spark: SparkSession, rules: Mapping[str, FieldRule]) -> DataFrame:
+    """One row per tag of each rule; a constant of a few rows, so broadcast."""
+    rows = [
+        (rule.taxonomy, concept, rule.unit, field, rank, rule.non_negative)
+        for field, rule in rules.items()
+        for rank, concept in enumerate(rule.concepts)
+    ]
+    schema = "taxonomy string, concept string, unit string, field string, rank int, nn boolean"
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def _candidates(facts: DataFrame, rules: Mapping[str, FieldRule]) -> DataFrame:
     """Qualified facts tagged with their field, latest filed per (tag, period end)."""
-    tagged = facts.withColumns(
-        {
-            "field": _by_concept(rules, lambda f, r, k: f),
-            "rank": _by_concept(rules, lambda f, r, k: k).cast("int"),
-            "_nn": _by_concept(rules, lambda f, r, k: r.non_negative).cast("boolean"),
-        }
-    ).where(F.col("field").isNotNull())
+    # Tagging follows the cheap row filter, which reaches the scan.
+    tagged = qualify_facts(facts).join(
+        _rule_table(facts.sparkSession, rules), ["taxonomy", "concept", "unit"]
+    )
     # Of facts filed on one day the first one listed counts.
-    newest = F.struct(F.coalesce(F.col("filed").cast("string"), F.lit("")), -F.col("pos"))
+    newest = F.struct(_filed(), -F.col("pos"))
     return (
-        qualify_facts(tagged, F.col("_nn"))
+        tagged.where(~F.col("nn") | (F.col("val") >= 0))
         .groupBy("cik", "field", "rank", "end")
         .agg(F.max_by(F.struct("val", "filed", "concept"), newest).alias("fact"))
         .select("cik", "field", "rank", "end", "fact.val", "fact.filed", "fact.concept")
     )
 
 
-def _strength(prefer: str) -> Column:
-    """Ordering whose maximum is the winning tag of one period end."""
-    filed = F.coalesce(F.col("filed").cast("string"), F.lit(""))
-    if prefer == "max_value":
-        return F.struct(F.col("val").cast("double"), filed, -F.col("rank"))
-    return F.struct((-F.col("rank")).cast("double"), filed, -F.col("rank"))
+def _filed() -> Column:
+    """Filing date as an ordering; an unknown date comes first."""
+    return F.coalesce(F.unix_date("filed"), F.lit(-(2**31)))
+
+
+def _strength(rules: Mapping[str, FieldRule]) -> Column:
+    """Ordering whose maximum is the winning tag of one field and period end."""
+    largest = [f for f, r in rules.items() if r.prefer == "max_value"]
+    lead = F.when(F.col("field").isin(*largest), F.col("val").cast("double")).otherwise(
+        -F.col("rank").cast("double")
+    )
+    return F.struct(lead, _filed(), -F.col("rank"))
 
 
 def resolve_concepts(facts: DataFrame, rules: Mapping[str, FieldRule] = DEFAULT_RULES) -> DataFrame:
@@ -126,14 +127,10 @@ def resolve_concepts(facts: DataFrame, rules: Mapping[str, FieldRule] = DEFAULT_
     Input columns: cik, taxonomy, concept, unit, start, end, val, fp, form,
     filed, pos. Both steps are partial aggregations; no facts are collected.
     """
-    largest = [f for f, r in rules.items() if r.prefer == "max_value"]
-    strength = F.when(F.col("field").isin(*largest), _strength("max_value")).otherwise(
-        _strength("priority")
-    )
     return (
         _candidates(facts, rules)
         .groupBy("cik", "field", "end")
-        .agg(F.max_by(F.struct("val", "filed", "concept"), strength).alias("fact"))
+        .agg(F.max_by(F.struct("val", "filed", "concept"), _strength(rules)).alias("fact"))
         .select("cik", "field", "end", "fact.val", "fact.filed", "fact.concept")
     )
 
@@ -150,51 +147,45 @@ def fundamentals_history(
     by calendar year, from the cover page, or from the balance sheet for a
     company that has no cover-page counts at all.
     """
-    resolved = resolve_concepts(facts, rules)
-    year = F.year("end")
-    shares = ("cover_shares", "balance_shares")
-
-    def value_of(field: str) -> Column:
-        return F.max(F.when(F.col("field") == field, F.col("val").cast("double")))
-
-    periods = (
-        resolved.where(~F.col("field").isin(*shares))
-        .groupBy("cik", "end")
-        .agg(*[value_of(f).alias(f) for f in fields])
-        .where(F.col("revenue").isNotNull())
-        .groupBy("cik", year.alias("fiscal_year"))
-        .agg(F.max_by(F.struct("end", *fields), F.col("end")).alias("p"))
-        .select("cik", "fiscal_year", F.col("p.end").alias("period_end_date"), *[f"p.{f}" for f in fields])
-    )
+    every = [*fields, "cover_shares", "balance_shares"]
+    strength = _strength(rules)
 
-    def last_of(field: str) -> Column:
+    def winner(field: str) -> Column:
         mine = F.col("field") == field
-        return F.max_by(
-            F.when(mine, F.col("val").cast("double")), F.when(mine, F.col("end"))
-        ).alias(field)
-
-    yearly_shares = (
-        resolved.where(F.col("field").isin(*shares))
-        .groupBy("cik", year.alias("fiscal_year"))
-        .agg(*[last_of(f) for f in shares])
-    )
-    has_cover = (
-        yearly_shares.groupBy("cik")
-        .agg(F.max(F.col("cover_shares").isNotNull()).alias("has_cover"))
-    )
-    per_year = yearly_shares.join(has_cover, "cik").select(
-        "cik",
-        "fiscal_year",
-        F.when(F.col("has_cover"), F.col("cover_shares"))
-        .otherwise(F.col("balance_shares"))
-        .alias("shares_outstanding"),
+        value = F.col("val").cast("double")
+        return F.max_by(F.when(mine, value), F.when(mine, strength)).alias(field)
+
+    per_end = _candidates(facts, rules).groupBy("cik", "end").agg(*[winner(f) for f in every])
+
+    def at_last_end(column: Column, present: Column, name: str) -> Column:
+        return F.max_by(column, F.when(present, F.col("end"))).alias(name)
+
+    has_revenue = F.col("revenue").isNotNull()
+    per_year = per_end.groupBy("cik", F.year("end").alias("fiscal_year")).agg(
+        at_last_end(F.struct("end", *fields), has_revenue, "period"),
+        *[
+            at_last_end(F.col(c), F.col(c).isNotNull(), c)
+            for c in ("cover_shares", "balance_shares")
+        ],
     )
-    return periods.join(per_year, ["cik", "fiscal_year"], "left").withColumns(
-        {
-            "fiscal_year": F.col("fiscal_year").cast("int"),
-            "fiscal_quarter": F.lit(4),
-            "close_price": F.lit(None).cast("double"),
-        }
+    # A company has one row per calendar year here.
+    company = Window.partitionBy("cik")
+    has_cover = F.max(F.col("cover_shares").isNotNull()).over(company)
+    return (
+        per_year.withColumn(
+            "shares_outstanding",
+            F.when(has_cover, F.col("cover_shares")).otherwise(F.col("balance_shares")),
+        )
+        .where(F.col("period").isNotNull())
+        .select(
+            "cik",
+            F.col("fiscal_year").cast("int").alias("fiscal_year"),
+            F.lit(4).alias("fiscal_quarter"),
+            F.col("period.end").alias("period_end_date"),
+            *[f"period.{f}" for f in fields],
+            "shares_outstanding",
+            F.lit(None).cast("double").alias("close_price"),
+        )
     )
 
 

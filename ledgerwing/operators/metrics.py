@@ -46,6 +46,18 @@ def classification_metrics(
     )
 
 
+def accuracy_struct(hits: str, n: str) -> Column:
+    """Accuracy, Wilson bounds and small-sample flag of two counts; NULL when empty."""
+    ci = wilson(hits, n)
+    some = F.col(n) > 0
+    return F.struct(
+        safe_div(hits, n).alias("accuracy"),
+        F.when(some, ci["low"]).alias("ci_low"),
+        F.when(some, ci["high"]).alias("ci_high"),
+        (F.col(n) < SMALL_SAMPLE).alias("small_sample"),
+    )
+
+
 def accuracy_stat(
     df: DataFrame,
     predicted: str = "predicted_direction",
@@ -57,16 +69,7 @@ def accuracy_stat(
         F.count(F.lit(1)).alias("n"),
         _count_if(F.col(predicted) == F.col(actual)).alias("n_correct"),
     )
-    ci = wilson("n_correct", "n")
-    some = F.col("n") > 0
-    return hits.withColumns(
-        {
-            "accuracy": safe_div("n_correct", "n"),
-            "ci_low": F.when(some, ci["low"]),
-            "ci_high": F.when(some, ci["high"]),
-            "small_sample": F.col("n") < SMALL_SAMPLE,
-        }
-    )
+    return hits.withColumn("_s", accuracy_struct("n_correct", "n")).select(*hits.columns, "_s.*")
 
 
 def accuracy_by(df: DataFrame, key: str, **columns: str) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.metrics import accuracy_by, accuracy_stat, roc_auc
+from ..operators.metrics import accuracy_by, accuracy_struct, roc_auc
 
 AUC_DECAY = 0.05
 MIN_ROWS_FOR_DECAY = 100
@@ -41,23 +41,20 @@ def calibration_report(outcomes: DataFrame) -> DataFrame:
     """
     test, train = F.col("data_split") == "test", F.col("data_split") == "train"
     out_of_sample = outcomes.where(test)
+    hit = F.col("predicted_direction") == F.col("actual_direction")
     base = outcomes.where(F.col("status") == "scored").agg(
         F.count(F.lit(1)).alias("total_scored"),
         F.count_if(test).alias("out_of_sample_n"),
         F.count_if(train).alias("in_sample_n"),
+        F.count_if(test & hit).alias("_oos_hits"),
+        F.count_if(train & hit).alias("_ins_hits"),
         F.array_sort(F.collect_set(F.when(test, F.col("fiscal_year")))).alias("out_of_sample_years"),
         F.avg(F.when(test, F.col("actual_direction").cast("double"))).alias("base_rate"),
     )
-    oos = accuracy_stat(out_of_sample).select(
-        F.struct("accuracy", "ci_low", "ci_high", "small_sample").alias("s")
-    )
-    ins = accuracy_stat(outcomes.where(train)).select(
-        F.struct("accuracy", "ci_low", "ci_high").alias("s")
-    )
     report = base.withColumns(
         {
-            "_oos": oos.scalar(),
-            "_ins": ins.scalar(),
+            "_oos": accuracy_struct("_oos_hits", "out_of_sample_n"),
+            "_ins": accuracy_struct("_ins_hits", "in_sample_n"),
             "realized_auc": roc_auc(out_of_sample).scalar(),
         }
     )

@@ -33,12 +33,24 @@ FILING_LAG_DAYS = 90
 EXCLUDED_SECTOR = "Financials"
 
 
+def _ratio_columns(annualise: float) -> dict[str, Column]:
+    cap = F.col("close_price") * F.col("shares_outstanding")
+    yearly = F.col("net_income") * F.lit(annualise)
+    return {
+        "market_cap": cap,
+        "gross_margin": safe_div(F.col("revenue") - F.col("cost_of_revenue"), "revenue"),
+        "net_margin": safe_div("net_income", "revenue"),
+        "debt_to_equity": div_if_positive("total_debt", "total_equity"),
+        "liabilities_to_assets": safe_div("total_liabilities", "total_assets"),
+        "pe_ratio": safe_div(cap, yearly),
+        "roe_annualised": div_if_positive(yearly, "total_equity"),
+    }
+
+
 def financial_ratios(
     fundamentals: DataFrame, companies: DataFrame, annualise: float = 4.0
 ) -> DataFrame:
     """Ratios per company and period; ``annualise`` is 1 for annual input."""
-    cap = F.col("close_price") * F.col("shares_outstanding")
-    yearly = F.col("net_income") * F.lit(annualise)
     return fundamentals.join(companies.select("ticker", "sector"), "ticker", "left").select(
         "fundamental_id",
         "ticker",
@@ -46,13 +58,7 @@ def financial_ratios(
         "fiscal_year",
         "fiscal_quarter",
         "period_end_date",
-        cap.alias("market_cap"),
-        safe_div(F.col("revenue") - F.col("cost_of_revenue"), "revenue").alias("gross_margin"),
-        safe_div("net_income", "revenue").alias("net_margin"),
-        div_if_positive("total_debt", "total_equity").alias("debt_to_equity"),
-        safe_div("total_liabilities", "total_assets").alias("liabilities_to_assets"),
-        safe_div(cap, yearly).alias("pe_ratio"),
-        div_if_positive(yearly, "total_equity").alias("roe_annualised"),
+        *[c.alias(name) for name, c in _ratio_columns(annualise).items()],
     )
 
 
@@ -154,20 +160,17 @@ def sentiment_daily(mentions: DataFrame) -> DataFrame:
     )
 
 
-def labelled_years(fundamentals: DataFrame) -> DataFrame:
-    """Company-years with last year's growth and next year's direction.
+def labelled_years(years: DataFrame) -> DataFrame:
+    """Add last year's growth and next year's direction to company-years.
 
     The label is 1 for higher revenue next year, 0 for equal or lower, and NULL
     while next year is unknown.
     """
-    base = fundamentals.select(
-        "fundamental_id", "ticker", "fiscal_year", "period_end_date", "revenue"
-    )
     near = year_neighbours(
-        base, ["ticker"], "fiscal_year", "revenue", {"next_revenue": 1, "prev_revenue": -1}
+        years, ["ticker"], "fiscal_year", "revenue", {"next_revenue": 1, "prev_revenue": -1}
     )
     return near.select(
-        *base.columns,
+        *years.columns,
         growth("revenue", "prev_revenue").alias("revenue_growth_1y"),
         F.when(F.col("next_revenue").isNull(), None)
         .when(F.col("next_revenue") > F.col("revenue"), 1)
@@ -178,21 +181,17 @@ def labelled_years(fundamentals: DataFrame) -> DataFrame:
 
 
 def match_annual_filings(
-    years: DataFrame, filings: DataFrame, within: int = FILING_WINDOW_DAYS
+    years: DataFrame,
+    filings: DataFrame,
+    carry: Sequence[str] = (),
+    within: int = FILING_WINDOW_DAYS,
 ) -> DataFrame:
-    """Each company-year with the first annual filing after its period end."""
-    annual = filings.where(F.col("form_type") == "10-K").select(
-        "ticker", "accession_number", "filing_date"
-    )
+    """Add the first annual filing after each period end, and columns it carries."""
+    payload = ["filing_date", "accession_number", *carry]
+    annual = filings.where(F.col("form_type") == "10-K").select("ticker", *payload)
     # The date leads the payload so that it, then the accession number, decides.
     return next_within(
-        years,
-        annual,
-        "period_end_date",
-        "filing_date",
-        by=["ticker"],
-        payload=["filing_date", "accession_number"],
-        within=within,
+        years, annual, "period_end_date", "filing_date", by=["ticker"], payload=payload, within=within
     )
 
 
@@ -234,31 +233,26 @@ def ml_features(
         filings: narrow deduplicated filings with language features.
         excluded_sector: sector left out; companies without a sector go too.
 
-    The filing date (or period end plus 90 days) anchors the macro values.
-    Ratios are recomputed on the panel rows instead of being joined back.
+    The filing date (or period end plus 90 days) anchors the macro values. The
+    ratios and the language features of the matched filing travel with their row,
+    so neither is joined back.
     """
-    members = companies.where(F.col("sector") != excluded_sector)
-    # The inner join on members runs first: it only drops rows.
-    scoped = fundamentals.join(members.select("ticker", "sector"), "ticker")
-    ratios = financial_ratios(scoped.drop("sector"), members, annualise).select(
-        "fundamental_id",
+    members = companies.where(F.col("sector") != excluded_sector).select("ticker", "sector")
+    ratios = _ratio_columns(annualise)
+    del ratios["market_cap"], ratios["pe_ratio"]
+    years = fundamentals.join(members, "ticker").select(
+        "ticker",
         "sector",
-        "gross_margin",
-        "net_margin",
-        "debt_to_equity",
-        "liabilities_to_assets",
-        "roe_annualised",
+        "fiscal_year",
+        "period_end_date",
+        "revenue",
+        *[c.alias(name) for name, c in ratios.items()],
     )
-    matched = match_annual_filings(labelled_years(scoped), filings)
-    anchored = matched.withColumn(
+    matched = match_annual_filings(years, filings, _language_names(keywords))
+    anchored = labelled_years(matched).withColumn(
         "anchor_date", F.coalesce("filing_date", F.date_add("period_end_date", FILING_LAG_DAYS))
     )
-    language = filings.select("accession_number", *_language_names(keywords))
-    panel = join_calendar(
-        anchored.join(ratios, "fundamental_id", "left").join(language, "accession_number", "left"),
-        macro_features(macro),
-        "anchor_date",
-    )
+    panel = join_calendar(anchored, macro_features(macro), "anchor_date")
     return panel.select(
         key_of("ticker", "fiscal_year").alias("ml_row_id"),
         "ticker",

@@ -19,11 +19,15 @@ PROBE_CHARS = 60
 
 
 def price_table(spark: SparkSession, prices: Mapping[str, tuple[float, float]]) -> DataFrame:
-    """USD per million input and output tokens of each priced model."""
-    return spark.createDataFrame(
+    """USD per million input and output tokens of each priced model.
+
+    Built from a dictionary in the caller's hands, so it is small enough to broadcast.
+    """
+    table = spark.createDataFrame(
         [(m, float(i), float(o)) for m, (i, o) in prices.items()],
         "model string, price_in double, price_out double",
     )
+    return F.broadcast(table)
 
 
 def unpriced_models(ledger: DataFrame, prices: DataFrame) -> DataFrame:

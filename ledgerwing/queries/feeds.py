@@ -138,7 +138,7 @@ def _filing_index(spark: SparkSession, sf: str) -> DataFrame:
         F.array(*[F.date_add(F.to_date("o_orderdate"), i).cast("string") for i in three]).alias("filingDate"),
         F.array(*[F.lit(f"doc{i}.htm") for i in three]).alias("primaryDocument"),
     )
-    docs = s.table(spark, sf, "orders").select(
+    docs = s.spread(spark, sf, "orders", "o_orderkey").select(
         F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("cik"),
         F.to_json(F.struct(F.struct(recent.alias("recent")).alias("filings"))).alias("payload"),
     )
@@ -372,7 +372,7 @@ def annual_texts(spark: SparkSession, sf: str) -> DataFrame:
         "\nItem 8. Statements\nNotes to the Consolidated Financial Statements\n", body, "\n",
     )
     form = F.when(F.col("lang") == "en", "10-K").when(F.col("lang") == "de", "10-Q").otherwise("8-K")
-    return s.table(spark, sf, "documents").select("doc_id", form.alias("form_type"), text.alias("raw_text"))
+    return s.spread(spark, sf, "documents", "doc_id").select("doc_id", form.alias("form_type"), text.alias("raw_text"))
 
 
 _WS = r"' ' || chr(9) || chr(10) || chr(13) || chr(160)"
@@ -422,7 +422,7 @@ def _present(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("html_to_text")
 def _html_to_text(spark: SparkSession, sf: str) -> DataFrame:
-    return s.table(spark, sf, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
+    return s.spread(spark, sf, "pages", "page_id").select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
 @query(
@@ -469,7 +469,7 @@ def call_pages(spark: SparkSession, sf: str) -> DataFrame:
         "</article></body></html>",
     )
     url = s.text_of("call/", F.col("conv_id"), "/", F.col("turn"))
-    return s.table(spark, sf, "conversations").select(url.alias("url"), page.alias("html"))
+    return s.spread(spark, sf, "conversations", "conv_id", "turn").select(url.alias("url"), page.alias("html"))
 
 
 @query(

@@ -237,7 +237,10 @@ def _sector_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("year_shift_label", "SELECT * FROM labelled")
 def _labels(spark: SparkSession, sf: str) -> DataFrame:
-    return intermediate.labelled_years(s.fundamentals(spark, sf))
+    years = s.fundamentals(spark, sf).select(
+        "fundamental_id", "ticker", "fiscal_year", "period_end_date", "revenue"
+    )
+    return intermediate.labelled_years(years)
 
 
 @query(

@@ -296,7 +296,7 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(""),
         F.lit(None).cast("string"),
     )
-    rows = s.table(spark, sf, "events").select("event_id", F.posexplode(values).alias("kind", "value"))
+    rows = s.spread(spark, sf, "events", "event_id").select("event_id", F.posexplode(values).alias("kind", "value"))
     return rows.select(F.concat_ws("/", "event_id", "kind").alias("key"), "value", "event_id", "kind")
 
 

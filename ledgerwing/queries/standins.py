@@ -53,6 +53,20 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
+    """A table for per-row work that costs more than a shuffle.
+
+    A small table may be a single file with a single row group, hence one task.
+    Only then it is spread over the cores; a large table has more splits than
+    cores and is read as it is.
+    """
+    df = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def text_of(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -93,6 +107,11 @@ def companies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_fundamentals(spark: SparkSession, sf: str) -> DataFrame:
+    """The fundamentals landing table, written once per session and table folder."""
+    return _written(spark, sf, "raw_fundamentals", build_fundamentals)
+
+
+def build_fundamentals(spark: SparkSession, sf: str) -> DataFrame:
     """Customer-years; line items are summed per order before the join."""
     price = F.col("l_extendedprice")
     sums = {
@@ -153,7 +172,7 @@ def raw_filings(spark: SparkSession, sf: str) -> DataFrame:
         .when(doc % 3 == 1, F.concat_ws(" ", "lang", "text"))
         .otherwise(F.col("source"))
     )
-    base = table(spark, sf, "documents").select(
+    base = spread(spark, sf, "documents", "doc_id").select(
         text_of("A", F.lpad(doc.cast("string"), 8, "0")).alias("accession_number"),
         F.lpad((F.floor(doc / 3) * 7).cast("string"), 10, "0").alias("cik"),
         text_of("C", (F.floor(doc / 3) * 7)).alias("ticker"),
@@ -220,7 +239,7 @@ def macro(spark: SparkSession, sf: str) -> DataFrame:
 
 def contracts(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as option contracts before any flagging."""
-    return table(spark, sf, "lineitem").select(
+    return spread(spark, sf, "lineitem", "l_orderkey", "l_partkey").select(
         text_of("C", F.col("l_partkey")).alias("underlying"),
         text_of("O", F.col("l_orderkey"), "-", F.col("l_linenumber"), "-", F.col("l_partkey")).alias(
             "contract_ticker"
@@ -242,7 +261,7 @@ def options(spark: SparkSession, sf: str) -> DataFrame:
 def raw_mentions(spark: SparkSession, sf: str) -> DataFrame:
     """Events as mentions in January 2000; the first copy has a lower-case ticker."""
     made = shift_hours(F.col("ts").cast("timestamp"), F.lit(-8766 * 24))
-    return copies(table(spark, sf, "events")).select(
+    return copies(spread(spark, sf, "events", "event_id")).select(
         text_of("e", F.col("event_id")).alias("post_id"),
         case_of("event_type", FORUM_OF_EVENT, "wallstreetbets").alias("subreddit"),
         F.concat(F.when(F.col("copy") == 0, "c").otherwise("C"), F.col("user_id").cast("string")).alias(
@@ -263,7 +282,7 @@ def mentions(spark: SparkSession, sf: str) -> DataFrame:
 def facts(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as tagged facts of their customer and order year."""
     rows = (
-        table(spark, sf, "lineitem")
+        spread(spark, sf, "lineitem", "l_orderkey")
         .join(
             table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y")),
             F.col("l_orderkey") == F.col("o_orderkey"),
@@ -297,7 +316,7 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return spread(spark, sf, "documents", "doc_id").select(
         text_of("p", F.col("doc_id")).alias("post_id"),
         F.lit("stocks").alias("subreddit"),
         F.col("source").alias("title"),

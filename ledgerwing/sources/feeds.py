@@ -380,9 +380,16 @@ def parse_transcripts(pages: DataFrame, key: str = "url", html: str = "html") ->
         F.array_min(F.array_compact(F.transform("els", lambda x, i: F.when(x["kind"] == "qa", i + 1)))),
     )
 
-    def turn(at: Column, i: Column) -> Column:
+    # Everything that is fixed per page is zipped in, not computed per turn.
+    starts = F.arrays_zip(
+        F.col("breaks").alias("at"),
+        F.array_append(F.slice("breaks", 2, F.size("breaks")), F.size("els") + 1).alias("stop"),
+        F.array_repeat(F.col("first_qa"), F.size("breaks")).alias("first_qa"),
+    )
+
+    def turn(start: Column) -> Column:
+        at, stop = start["at"], start["stop"]
         head = F.get(F.col("els"), at - 1)
-        stop = F.coalesce(F.get(F.col("breaks"), i + 1), F.size("els") + 1)
         said = F.filter(
             F.slice(F.col("els"), at + 1, stop - at - 1),
             lambda x: (x["kind"] == "text") & (x["text"] != ""),
@@ -390,12 +397,12 @@ def parse_transcripts(pages: DataFrame, key: str = "url", html: str = "html") ->
         return F.struct(
             F.when(head["kind"] == "speaker", F.rtrim(head["strong"], F.lit(":"))).alias("speaker"),
             head["em"].alias("role"),
-            F.when(at > F.col("first_qa"), "qa").otherwise("prepared_remarks").alias("section"),
+            F.when(at > start["first_qa"], "qa").otherwise("prepared_remarks").alias("section"),
             F.array_join(F.transform(said, lambda x: x["text"]), " ").alias("text"),
         )
 
     turns = F.filter(
-        F.transform("breaks", turn),
+        F.transform(F.filter(starts, lambda x: x["at"].isNotNull()), turn),
         lambda t: t["speaker"].isNotNull() & (t["speaker"] != "") & (t["text"] != ""),
     )
     e = e.withColumn("segments", turns).withColumn("title", parse_title("headline"))

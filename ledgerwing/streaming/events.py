@@ -202,8 +202,21 @@ def latest_view(landed: DataFrame, keys: Sequence[str], order: str = "ingested_a
     return dedup_latest(landed, keys, order, tie="batch_id").drop("batch_id")
 
 
-def compact(spark: SparkSession, landed: DataFrame, keys: Sequence[str], order: str, target: str) -> DataFrame:
-    """Write the keep-latest table to a new folder and read it back."""
+def compact(
+    spark: SparkSession,
+    landed: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    target: str,
+    previous: DataFrame | None = None,
+) -> DataFrame:
+    """Write the keep-latest table to a new folder and read it back.
+
+    With the ``previous`` table only the batches landed since need reading. The
+    old folder stays valid until readers move to the new one.
+    """
+    if previous is not None:
+        landed = landed.unionByName(previous.withColumn("batch_id", F.lit(-1).cast("long")))
     latest_view(landed, keys, order).write.mode("errorifexists").parquet(target)
     return spark.read.parquet(target)
 
