@@ -7,14 +7,19 @@ every decision about those pieces is made in Spark afterwards.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship the tokenisers with the task, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SILENT = {"script", "style", "template"}
 _BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "div", "article", "section", "ul", "ol", "table"}
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -170,19 +168,3 @@ def call_price(
         + tokens_out * per_out
     )
 
-
-def unpivot_struct(columns: Sequence[str], name: str = "feature", value: str = "value") -> Column:
-    """``explode``-able array of (name, double value) for the given columns."""
-    return F.explode(
-        F.array(
-            *[F.struct(F.lit(c).alias(name), _d(c).alias(value)) for c in columns]
-        )
-    )
-
-
-def literal_map(mapping: Mapping[str, str]) -> Column:
-    """A constant string map."""
-    cells: list[Column] = []
-    for k, v in mapping.items():
-        cells += [F.lit(k), F.lit(v)]
-    return F.create_map(*cells)

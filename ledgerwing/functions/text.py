@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.once import once
+
 # --- Fixed values: patterns and word lists --------------------------------------
 CASHTAG = r"(?U)\$([A-Z]{1,5})\b"
 BARE_TICKER = r"(?U)\b([A-Z]{2,5})\b"
@@ -135,12 +137,12 @@ def filing_sections(
     pieces = F.transform(
         wanted, lambda p: F.struct(p["name"].alias("name"), strip(p["part"]).alias("body"))
     )
-    cut = df.withColumns(
-        {
-            "_pieces": F.filter(pieces, lambda p: F.length(p["body"]) >= min_chars),
-            "_at": F.regexp_instr(body, F.lit(FOOTNOTES)),
-        }
-    ).withColumn("_notes", F.when(F.col("_at") > 0, strip(F.substr(body, F.col("_at")))))
+    cut = once(
+        df,
+        _pieces=F.filter(pieces, lambda p: F.length(p["body"]) >= min_chars),
+        _at=F.regexp_instr(body, F.lit(FOOTNOTES)),
+    )
+    cut = once(cut, _notes=F.when(F.col("_at") > 0, strip(F.substr(body, F.col("_at")))))
     def first_piece(name: str) -> Column:
         return F.get(F.filter(F.col("_pieces"), lambda p: p["name"] == name), F.lit(0))["body"]
 

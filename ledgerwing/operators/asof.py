@@ -181,43 +181,36 @@ def pct_change(
     return df.withColumn(out, F.col(value) / F.nullif(before, F.lit(0.0)) - F.lit(1.0))
 
 
-def daily_calendar(
-    observations: DataFrame, series: dict[str, str], key: str, on: str, value: str
+def in_force(
+    df: DataFrame,
+    observations: DataFrame,
+    series: dict[str, str],
+    key: str,
+    on: str,
+    value: str,
+    anchor: str,
 ) -> DataFrame:
-    """One row per day with the value in force of each wanted series.
+    """Left join the value of each wanted series in force on a date.
 
-    ``series`` maps a key value to its output column. Every observation is
+    ``series`` maps a key value to its output column. Each observation is
     repeated for the days it is in force, up to the last observed day of any
-    series, so a range join becomes an equality join on the day. The size is
-    bounded by the calendar: days between the first and the last observation.
+    series, and the series become columns: the range conditions turn into one
+    equality join on the day. Later anchors use the last day. The joined table
+    has one row per calendar day, however long the other side is.
     """
     wanted = observations.where(F.col(key).isin(*series))
     last_day = wanted.agg(F.max(on)).scalar()
-    daily = (
-        validity_ranges(wanted, key, on)
-        .withColumn(
-            "_until",
-            F.greatest(F.coalesce(F.date_sub("valid_to", 1), last_day), F.col("valid_from")),
-        )
-        .select(
-            key,
-            value,
-            F.explode(F.sequence("valid_from", "_until", F.expr("interval 1 day"))).alias("day"),
-        )
+    until = F.greatest(F.coalesce(F.date_sub("valid_to", 1), last_day), F.col("valid_from"))
+    daily = validity_ranges(wanted, key, on).select(
+        key,
+        value,
+        F.explode(F.sequence("valid_from", until, F.expr("interval 1 day"))).alias("_day"),
     )
-    return daily.groupBy("day").agg(
-        *[
-            F.max(F.when(F.col(key) == s, F.col(value))).alias(out)
-            for s, out in series.items()
-        ]
+    calendar = daily.groupBy("_day").agg(
+        *[F.max(F.when(F.col(key) == s, F.col(value))).alias(out) for s, out in series.items()]
     )
-
-
-def join_calendar(df: DataFrame, calendar: DataFrame, on: str) -> DataFrame:
-    """Left join a daily calendar; days after its end take the last day's values."""
-    last_day = calendar.agg(F.max("day")).scalar()
     return (
-        df.withColumn("_day", F.least(F.col(on), last_day))
-        .join(calendar.withColumnRenamed("day", "_day"), "_day", "left")
+        df.withColumn("_day", F.least(F.col(anchor), last_day))
+        .join(calendar, "_day", "left")
         .drop("_day")
     )

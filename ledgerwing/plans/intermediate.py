@@ -17,7 +17,7 @@ from ..functions.scalars import (
     safe_div,
     word_count,
 )
-from ..operators.asof import daily_calendar, join_calendar, next_within, pct_change
+from ..operators.asof import in_force, next_within, pct_change
 from ..operators.dedup import dedup_latest, row_hash
 from ..operators.shifts import year_neighbours, year_pairs
 
@@ -195,26 +195,19 @@ def match_annual_filings(
     )
 
 
-def macro_features(macro: DataFrame) -> DataFrame:
-    """Daily table of the macro features in force, including price inflation."""
-    prices = pct_change(
-        macro.where(F.col("series_id") == PRICE_SERIES),
+def macro_in_force(df: DataFrame, macro: DataFrame, on: str) -> DataFrame:
+    """Add the macro features in force on a date, with prices as yearly change."""
+    features = {**MACRO_FEATURES, PRICE_SERIES: "cpi_yoy"}
+    wanted = macro.where(F.col("series_id").isin(*features))
+    changed = pct_change(wanted, "series_id", "observation_date", "value", 12, out="yoy")
+    observations = changed.select(
         "series_id",
         "observation_date",
-        "value",
-        12,
-        out="yoy",
-    ).select("series_id", "observation_date", F.col("yoy").alias("value"))
-    levels = macro.where(F.col("series_id").isin(*MACRO_FEATURES)).select(
-        "series_id", "observation_date", "value"
-    )
-    return daily_calendar(
-        levels.unionByName(prices),
-        {**MACRO_FEATURES, PRICE_SERIES: "cpi_yoy"},
-        "series_id",
-        "observation_date",
-        "value",
+        F.when(F.col("series_id") == PRICE_SERIES, F.col("yoy"))
+        .otherwise(F.col("value"))
+        .alias("value"),
     )
+    return in_force(df, observations, features, "series_id", "observation_date", "value", on)
 
 
 def ml_features(
@@ -252,7 +245,7 @@ def ml_features(
     anchored = labelled_years(matched).withColumn(
         "anchor_date", F.coalesce("filing_date", F.date_add("period_end_date", FILING_LAG_DAYS))
     )
-    panel = join_calendar(anchored, macro_features(macro), "anchor_date")
+    panel = macro_in_force(anchored, macro, "anchor_date")
     return panel.select(
         key_of("ticker", "fiscal_year").alias("ml_row_id"),
         "ticker",

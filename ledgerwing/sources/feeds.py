@@ -16,6 +16,7 @@ from ..contracts import EVENT_STREAMS
 from ..functions.html import html_outline, html_table, html_to_text
 from ..functions.scalars import exchange_ticker, pad_cik
 from ..operators.dedup import top_per_key
+from ..operators.once import once
 from ..functions.text import QA_HEADING, extract_tickers, filing_sections, parse_title
 
 # --- Fixed values ---------------------------------------------------------------
@@ -59,8 +60,9 @@ def explode_facts(df: DataFrame, payload: str = "payload", key: str = "cik") ->
 
     ``pos`` is the place in the list, which decides among facts filed on one day.
     """
-    parsed = df.select(key, F.from_json(payload, FACTS_JSON).alias("facts"))
-    concepts = parsed.select(key, F.explode("facts").alias("taxonomy", "concepts"))
+    # The parse is the generator's own input, so no filter repeats it.
+    facts = F.coalesce(F.from_json(payload, FACTS_JSON), F.create_map().cast(FACTS_JSON))
+    concepts = df.select(key, F.explode(facts).alias("taxonomy", "concepts"))
     units = concepts.select(key, "taxonomy", F.explode("concepts").alias("concept", "body"))
     lists = units.select(key, "taxonomy", "concept", F.explode("body.units").alias("unit", "items"))
     rows = lists.select(
@@ -249,13 +251,17 @@ def shape_posts(df: DataFrame) -> DataFrame:
 def explode_mentions(posts: DataFrame) -> DataFrame:
     """One row per post and mentioned ticker."""
     rest = [c for c in posts.columns if c not in ("tickers", "body")]
-    return posts.select(*rest, F.explode("tickers").alias("ticker"))
+    # The outer form keeps Catalyst from repeating the extraction in a filter.
+    rows = posts.select(*rest, F.explode_outer("tickers").alias("ticker"))
+    return rows.where(F.col("ticker").isNotNull())
 
 
 def explode_segments(transcripts: DataFrame) -> DataFrame:
     """One row per speaker turn, numbered from 1."""
     rest = [c for c in transcripts.columns if c != "segments"]
-    return transcripts.select(*rest, F.posexplode("segments").alias("_pos", "s")).select(
+    # The outer form keeps Catalyst from repeating the parse in a filter.
+    rows = transcripts.select(*rest, F.posexplode_outer("segments").alias("_pos", "s"))
+    return rows.where(F.col("_pos").isNotNull()).select(
         *rest, (F.col("_pos") + 1).alias("segment_index"), "s.*"
     )
 
@@ -349,7 +355,7 @@ def parse_transcripts(pages: DataFrame, key: str = "url", html: str = "html") ->
     or without any speaker. All steps after tokenising are array expressions
     inside the row, so pages are never shuffled.
     """
-    e = pages.select(key, html_outline(F.col(html)).alias("o")).select(
+    e = once(pages.select(key, html), o=html_outline(F.col(html))).select(
         key, "o.headline", "o.has_body", F.coalesce("o.elements", F.array()).alias("els")
     )
 
@@ -362,23 +368,23 @@ def parse_transcripts(pages: DataFrame, key: str = "url", html: str = "html") ->
             .otherwise("text")
         )
 
-    e = e.withColumn(
-        "els",
-        F.transform(
-            "els",
-            lambda x: F.struct(
-                kind(x).alias("kind"),
-                x["spaced"].alias("text"),
-                x["strong"].alias("strong"),
-                x["em"].alias("em"),
-            ),
+    kinds = F.transform(
+        "raw",
+        lambda x: F.struct(
+            kind(x).alias("kind"),
+            x["spaced"].alias("text"),
+            x["strong"].alias("strong"),
+            x["em"].alias("em"),
         ),
     )
-    marked = F.transform("els", lambda x, i: F.when(x["kind"].isin("speaker", "qa"), i + 1))
-    e = e.withColumn("breaks", F.array_compact(marked)).withColumn(
-        "first_qa",
-        F.array_min(F.array_compact(F.transform("els", lambda x, i: F.when(x["kind"] == "qa", i + 1)))),
-    )
+    e = once(e.withColumnRenamed("els", "raw"), els=kinds).drop("raw")
+
+    def places(*wanted: str) -> Column:
+        return F.array_compact(
+            F.transform("els", lambda x, i: F.when(x["kind"].isin(*wanted), i + 1))
+        )
+
+    e = once(e, breaks=places("speaker", "qa"), first_qa=F.array_min(places("qa")))
 
     # Everything that is fixed per page is zipped in, not computed per turn.
     starts = F.arrays_zip(
@@ -405,7 +411,7 @@ def parse_transcripts(pages: DataFrame, key: str = "url", html: str = "html") ->
         F.transform(F.filter(starts, lambda x: x["at"].isNotNull()), turn),
         lambda t: t["speaker"].isNotNull() & (t["speaker"] != "") & (t["text"] != ""),
     )
-    e = e.withColumn("segments", turns).withColumn("title", parse_title("headline"))
+    e = once(e, segments=turns, title=parse_title("headline"))
     reason = F.when(~F.col("has_body"), F.lit("no article body")).when(
         F.size("segments") == 0, F.lit("no speaker segments")
     )
@@ -427,4 +433,4 @@ def fetch_sections(documents: DataFrame, body: str = "body", document: str = "pr
     """
     is_html = F.lower(F.col(document)).rlike(r"\.html?$")
     text = F.when(is_html, html_to_text(F.when(is_html, F.col(body)))).otherwise(F.col(body))
-    return filing_sections(documents.withColumn("raw_text", text))
+    return filing_sections(once(documents, raw_text=text))

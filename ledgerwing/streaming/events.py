@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import EVENT_STREAMS, required_fields
 from ..operators.dedup import dedup_latest
+from ..operators.once import once
 
 #: Topic of each stream.
 TOPICS = {
@@ -66,11 +67,11 @@ def decode(
     (stage handler).
     """
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = lines.where(
-        F.col("value").isNotNull() & (F.trim("value") != "")
-    ).withColumn(
-        "record",
-        F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}),
+    parsed = once(
+        lines.where(F.col("value").isNotNull() & (F.trim("value") != "")),
+        record=F.from_json(
+            "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+        ),
     )
     record = F.col("record")
     missing = F.array_compact(
