@@ -148,14 +148,18 @@ def fundamentals_history(
     company that has no cover-page counts at all.
     """
     every = [*fields, "cover_shares", "balance_shares"]
-    strength = _strength(rules)
 
     def winner(field: str) -> Column:
         mine = F.col("field") == field
-        value = F.col("val").cast("double")
-        return F.max_by(F.when(mine, value), F.when(mine, strength)).alias(field)
+        return F.max_by(F.when(mine, F.col("val")), F.when(mine, F.col("_strength"))).alias(field)
 
-    per_end = _candidates(facts, rules).groupBy("cik", "end").agg(*[winner(f) for f in every])
+    per_end = (
+        _candidates(facts, rules)
+        .select("cik", "end", "field", F.col("val").cast("double").alias("val"),
+                _strength(rules).alias("_strength"))
+        .groupBy("cik", "end")
+        .agg(*[winner(f) for f in every])
+    )
 
     def at_last_end(column: Column, present: Column, name: str) -> Column:
         return F.max_by(column, F.when(present, F.col("end"))).alias(name)

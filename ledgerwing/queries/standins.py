@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..plans import intermediate, marts, staging
 from ..session import scratch_dir
@@ -49,8 +50,16 @@ FACT_TAGS = (
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A driver table; its footer is only read for the schema once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def spread(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
@@ -62,7 +71,10 @@ def spread(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
     """
     df = table(spark, sf, name)
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    key = (spark.sparkContext.applicationId, f"{sf}/{name}")
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    if _SPLITS[key] >= cores:
         return df
     return df.repartition(cores, *keys)
 
