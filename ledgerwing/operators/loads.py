@@ -36,10 +36,12 @@ def replace_keys(df: DataFrame, path: str, key: str) -> None:
     """Delete-then-insert by key: keys present in ``df`` are replaced, others kept.
 
     The table is laid out in ``key`` directories and only those of the incoming
-    keys are overwritten, so a repeated load changes nothing.
+    keys are overwritten, so a repeated load changes nothing. Rebalancing gathers
+    the rows of small keys into few files and splits a large key over tasks.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", key)
+        .write.mode("overwrite")
         .partitionBy(key)
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)

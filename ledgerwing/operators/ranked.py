@@ -13,28 +13,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-RANGES = 64
+MIN_RANGES, MAX_RANGES = 64, 4096
 
 
-def _cut_points(df: DataFrame, value: str) -> Column:
-    probs = [i / RANGES for i in range(1, RANGES)]
-    return F.percentile_approx(F.col(value), probs, 1000).alias("_cuts")
+def range_count(df: DataFrame) -> int:
+    """Power of two that keeps every shuffle partition of the cluster busy."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = MIN_RANGES
+    while ranges < min(wanted, MAX_RANGES):
+        ranges *= 2
+    return ranges
+
+
+def _cut_points(value: str, ranges: int) -> Column:
+    probs = [i / ranges for i in range(1, ranges)]
+    return F.percentile_approx(F.col(value), probs, 10 * ranges).alias("_cuts")
 
 
 def with_range(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Add ``_range``: the number of cut points at or below ``value``.
 
     Cut points are approximate, which only changes how even the ranges are. With
-    ``by`` they are taken per group; use it for few groups on different scales.
+    ``by`` they are taken per group; this is for a handful of groups on different
+    scales, such as the columns of a table, so the cut points are broadcast.
     """
+    ranges = range_count(df)
     if by:
-        cuts = df.groupBy(*by).agg(_cut_points(df, value))
-        out = df.join(cuts, list(by))
+        cuts = df.groupBy(*by).agg(_cut_points(value, ranges))
+        out = df.join(F.broadcast(cuts), list(by))
     else:
-        out = df.withColumn("_cuts", df.select(_cut_points(df, value)).scalar())
-    # Binary search in six steps; each step is one small projection.
+        out = df.withColumn("_cuts", df.select(_cut_points(value, ranges)).scalar())
+    # Binary search: each halving is one small projection.
     out = out.withColumn("_range", F.lit(0))
-    step = RANGES // 2
+    step = ranges // 2
     while step:
         probe = F.get(F.col("_cuts"), F.col("_range") + F.lit(step - 1))
         out = out.withColumn(
@@ -71,6 +82,10 @@ def prefix_sums(
             for v in values
         ],
     )
+    # One row per range, or per range of a handful of groups, can be broadcast;
+    # with many groups the size decides at run time.
+    if not by or list(by) == list(cuts_by):
+        offsets = F.broadcast(offsets)
     condition = F.lit(True)
     for c in group:
         condition = condition & ranged[c].eqNullSafe(offsets[f"_o_{c}"])
@@ -115,7 +130,7 @@ def exact_quantile(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> Dat
         return (F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n"))
 
     return (
-        placed.join(sizes, "feature")
+        placed.join(F.broadcast(sizes), "feature")  # one row per column
         .where(covers(low) | covers(high))
         .groupBy("feature")
         .agg(

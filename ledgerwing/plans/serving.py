@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import top_per_key
+from ..sources.tables import write_json_rounded
 
 
 def export_predictions(outcomes: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -45,6 +46,15 @@ def company_meta(panel: DataFrame, companies: DataFrame) -> DataFrame:
     )
 
 
+def write_snapshot(
+    path: str, outcomes: DataFrame, panel: DataFrame, companies: DataFrame, report: DataFrame
+) -> None:
+    """Write what the read views need: predictions, company ratios, calibration."""
+    export_predictions(outcomes, companies).write.mode("overwrite").parquet(f"{path}/predictions")
+    write_json_rounded(company_meta(panel, companies), f"{path}/company_meta")
+    write_json_rounded(report, f"{path}/calibration")
+
+
 def sector_overview(predictions: DataFrame) -> DataFrame:
     """Scores per sector, with out-of-sample accuracy where there is any.
 

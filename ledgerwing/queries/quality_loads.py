@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +12,8 @@ from ..contracts import contract
 from ..operators import loads
 from ..operators import quality as q
 from ..session import scratch_dir
-from ..sources.feeds import fetch_sections, index_rows
+from ..plans.build import MARTS, build_models, check_models
+from ..sources.feeds import fetch_sections, index_rows, unusual_activity
 from ..streaming import events as ev
 from . import standins as s
 from .models import exported, ntz, rounded
@@ -267,6 +270,74 @@ def _ingest(spark: SparkSession, sf: str) -> DataFrame:
     return loads.read_keyed(spark, path, "form_type", rows.columns, rows.schema)
 
 
+def built(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    raw = {
+        "raw_companies": s.raw_companies(spark, sf),
+        "raw_filings": s.raw_filings(spark, sf),
+        "raw_fundamentals": s.raw_fundamentals(spark, sf),
+        "raw_macro_observations": s.raw_macro(spark, sf),
+        "raw_options_activity": unusual_activity(s.contracts(spark, sf)),
+        "raw_sentiment_mentions": s.raw_mentions(spark, sf),
+        "raw_model_predictions": s.predictions(spark, sf),
+    }
+    return build_models(
+        spark, raw, scratch_dir(spark, "marts"), s.KEYWORDS, s.EXCLUDED, train_through=s.TRAIN_THROUGH
+    )
+
+
+_BUILT = {
+    "company_profile": "profiles",
+    "filing_history": "(SELECT * FROM filings JOIN companies USING (ticker))",
+    "signal_history": "signals",
+    "sector_summary": "(SELECT DISTINCT sector FROM companies)",
+    "ml_training_set": "(SELECT * FROM panel WHERE label IS NOT NULL)",
+    "ml_inference_set": "(SELECT * FROM panel WHERE label IS NULL)",
+    "prediction_outcomes": "panel_outcomes",
+}
+
+
+@query(
+    "build_models",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {source}" for name, source in _BUILT.items()
+    ),
+)
+def _build(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole transform graph, written mart by mart; rows per mart."""
+    models = built(spark, sf)
+    return loads.load_counts({name: models[name] for name in MARTS})
+
+
+@query(
+    "check_models",
+    """SELECT 'company_profile' AS model, 'bounds(pe_ratio)' AS rule, count(*) AS failures FROM profiles WHERE pe_ratio < -1000 OR pe_ratio > 1000
+        UNION ALL SELECT 'filing_history', 'unique(accession_number)', 0
+        UNION ALL SELECT 'int_financial_ratios', 'bounds(debt_to_equity)', count(*) FROM ratios WHERE debt_to_equity < 0 OR debt_to_equity > 1000
+        UNION ALL SELECT 'int_financial_ratios', 'bounds(net_margin)', count(*) FROM ratios
+            WHERE (sector IS NULL OR sector <> 'BUILDING') AND (net_margin < -20 OR net_margin > 3)
+        UNION ALL SELECT 'ml_training_set', 'not_null(fed_funds_rate)', count(*) FROM panel WHERE label IS NOT NULL AND fed_funds_rate IS NULL
+        UNION ALL SELECT 'prediction_outcomes', 'invariant(correct_iff_scored)', 0
+        UNION ALL SELECT 'signal_history', 'relationships(ticker)', 0
+        UNION ALL SELECT 'stg_options_activity', 'unique(activity_id)', count(*) FROM (
+            SELECT 1 FROM options GROUP BY contract_ticker, detected_at HAVING count(*) > 1)""",
+)
+def _check_models(spark: SparkSession, sf: str) -> DataFrame:
+    """All rules of all models; shown for the rules named in the SQL."""
+    shown = [
+        ("company_profile", "bounds(pe_ratio)"),
+        ("filing_history", "unique(accession_number)"),
+        ("int_financial_ratios", "bounds(debt_to_equity)"),
+        ("int_financial_ratios", "bounds(net_margin)"),
+        ("ml_training_set", "not_null(fed_funds_rate)"),
+        ("prediction_outcomes", "invariant(correct_iff_scored)"),
+        ("signal_history", "relationships(ticker)"),
+        ("stg_options_activity", "unique(activity_id)"),
+    ]
+    results = check_models(built(spark, sf), f"sector is null or sector != '{s.EXCLUDED}'")
+    wanted = [(F.col("model") == m) & (F.col("rule") == r) for m, r in shown]
+    return results.where(reduce(Column.__or__, wanted))
+
+
 # --- events ---------------------------------------------------------------------
 _EVENT = T.StructType(
     [
