@@ -329,10 +329,8 @@ _ATTRIBUTION = " UNION ALL ".join(
 
 def attributions(spark: SparkSession, sf: str) -> DataFrame:
     panel = s.panel(spark, sf)
-    means = panel.agg(*[F.avg(c).alias(c) for c in WEIGHTS])
-    return rm.linear_attribution(
-        panel, WEIGHTS, {c: means.select(c).scalar() for c in WEIGHTS}
-    )
+    means = panel.agg(F.struct(*[F.avg(c).alias(c) for c in WEIGHTS]).alias("m")).scalar()
+    return rm.linear_attribution(panel, WEIGHTS, {c: means[c] for c in WEIGHTS})
 
 
 @query("linear_attribution", _ATTRIBUTION)
