@@ -71,6 +71,15 @@ def _stg_fundamentals(spark: SparkSession, sf: str) -> DataFrame:
     return s.fundamentals(spark, sf)
 
 
+@query(
+    "raw_fundamentals",
+    """SELECT ticker, fiscal_year, fiscal_quarter, period_end_date, revenue, cost_of_revenue, net_income,
+        total_assets, total_liabilities, total_equity, total_debt, shares_outstanding, close_price FROM fundamentals""",
+)
+def _raw_fundamentals(spark: SparkSession, sf: str) -> DataFrame:
+    return s.build_fundamentals(spark, sf)
+
+
 @query(
     "stg_macro_observations",
     "SELECT macro_observation_id, series_id, observation_date, value, ingested_at FROM macro",
