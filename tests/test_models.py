@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwing.operators import quality as q
-from ledgerwing.plans import intermediate, marts, staging
+from ledgerwing.plans import intermediate, marts, serving, staging
+from ledgerwing.plans.build import MARTS, build_models, check_models
+from ledgerwing.plans.evaluation import calibration_report
 from ledgerwing.sources.tables import read_raw_csv
 
 CSV = {
@@ -181,3 +183,28 @@ def test_text_leaves_before_the_shuffle(spark):
     plan = intermediate.narrow_filings(raw)._jdf.queryExecution().executedPlan()
     exchanges = [line for line in plan.toString().splitlines() if "Exchange" in line]
     assert len(exchanges) == 1 and "_text" not in exchanges[0]
+
+
+def test_whole_build_checks_and_snapshot(spark, stg, tmp_path):
+    raw = dict(stg[0])
+    raw["raw_model_predictions"] = spark.createDataFrame(
+        [("aa", 2024, 0.9, 1, "m"), ("AA", 2025, 0.2, 0, "m")],
+        "ticker string, fiscal_year int, predicted_score double, predicted_direction int, model_artifact string",
+    ).withColumn("scored_at", F.current_timestamp())
+    models = build_models(spark, raw, str(tmp_path / "marts"))
+    assert set(MARTS) <= set(models) and models["prediction_outcomes"].count() == 2
+    # A second build replaces every mart with the same rows.
+    again = build_models(spark, raw, str(tmp_path / "marts"))
+    assert again["filing_history"].count() == 2
+    failed = {(r.model, r.rule) for r in check_models(again).where("failures > 0").collect()}
+    assert ("stg_companies", "not_null(sector)") in failed and ("company_profile", "not_null(sector)") in failed
+    assert not any(m in ("prediction_outcomes", "signal_history", "filing_history") for m, _ in failed)
+    snapshot = str(tmp_path / "snapshot")
+    serving.write_snapshot(
+        snapshot, again["prediction_outcomes"], again["int_ml_features"], again["stg_companies"],
+        calibration_report(again["prediction_outcomes"]))
+    assert spark.read.parquet(f"{snapshot}/predictions").count() == 2
+    meta = spark.read.json(f"{snapshot}/company_meta").first()
+    assert meta.ticker == "AA" and meta.company_name == "Alpha, Inc."
+    history = serving.company_history(spark.read.parquet(f"{snapshot}/predictions"), "AA")
+    assert [r.fiscal_year for r in history.collect()] == [2024, 2025]
