@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "ledgerwing", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,12 +30,29 @@ def build_session(app: str = "ledgerwing", master: str | None = None, **conf: st
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared folder of the cluster.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where it is
-    unset (local tests) a temporary folder of this machine is used instead.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset,
+    a session that runs in this one process sets a temporary folder of its own;
+    on a cluster that would lose the executors' files, so it is an error there.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", ""
     )
     if not root:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerwing-")
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    Cuts the lineage durably: an executor that is lost later costs no more than
+    the tasks it was running.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
