@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from importlib.util import find_spec
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash, warc
+from . import bpe, decontaminate, hnsw, langid, licenses, pii, simhash, warc
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -43,3 +47,57 @@ def op5_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(
         "doc_id", simhash.hex_of(groups.fp).alias("fingerprint"), "component_id"
     )
+
+
+@query("op2_spaced_seed_decontamination")
+def op2_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document and benchmark item; clean documents have none."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.overlaps(docs, benchmark).drop("key")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file of the folder that ``LEDGERWING_TOKENIZERS`` or the installed package names."""
+    folder = os.environ.get("LEDGERWING_TOKENIZERS")
+    if folder is None:
+        folder = os.path.dirname(find_spec("public_tokenizers").origin)
+    return os.path.join(folder, name)
+
+
+@query("op4_bpe_tree_concatenation")
+def op4_bpe_tree_concatenation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op7_license_minhash_windows")
+def op7_license_minhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per place of a document that holds a license wording."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_hnsw_shards")
+def op8_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@query("op9_hierarchical_language_id")
+def op9_hierarchical_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op10_pii_boosted_candidates")
+def op10_pii_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_spans(docs, pii.fit(docs))
