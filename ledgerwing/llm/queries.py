@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 from importlib.util import find_spec
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, hnsw, langid, licenses, pii, simhash, warc
+from . import bpe, decontaminate, hnsw, langid, licenses, pii, rlz, run_index, simhash, warc
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -101,3 +101,80 @@ def op9_hierarchical_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find_spans(docs, pii.fit(docs))
+
+
+def _repeats_sql(symbols: str, count: str, window: str, size: int) -> str:
+    """Each symbol with whether a window over it also starts in an earlier document."""
+    return f"""
+    d AS (
+        SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS ord,
+               {symbols} AS s
+        FROM documents
+    ), p AS (
+        SELECT rid, ord, i, CASE WHEN i + {size - 1} <= {count} THEN {window} END AS win
+        FROM (SELECT rid, ord, s, unnest(range(1, {count} + 1)) AS i FROM d)
+    ), f AS (
+        SELECT rid, i, CASE WHEN win IS NOT NULL AND ord > min(ord) OVER (PARTITION BY win) THEN i END AS hit
+        FROM p
+    ), c AS (
+        SELECT rid, i, coalesce(
+            i - max(hit) OVER (PARTITION BY rid ORDER BY i) < {size}, false) AS gone
+        FROM f
+    )"""
+
+
+@query(
+    "op3_relative_lempel_ziv",
+    sql=f"""
+    WITH {_repeats_sql("regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0b\\f\\r]+')", "len(s)", "array_to_string(list_slice(s, i, i + 49), ' ')", 50)},
+    k AS (
+        SELECT c.rid, count(*) FILTER (gone) AS n_removed,
+               coalesce(string_agg(d.s[c.i], ' ' ORDER BY c.i) FILTER (NOT gone), '') AS kept
+        FROM c JOIN d USING (rid) GROUP BY c.rid
+    )
+    SELECT doc_id, len(s) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (rid)
+    """,
+)
+def op3_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.remove_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("n_symbols").alias("n_words"),
+        _removed("spans").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def _removed(spans: str) -> Column:
+    sizes = F.transform(spans, lambda x: x["end"] - x["start"])
+    return F.aggregate(sizes, F.lit(0).cast("long"), lambda total, n: total + n)
+
+
+@query(
+    "op6_run_length_index",
+    sql=f"""
+    WITH {_repeats_sql("hex(encode(coalesce(text, '')))", "length(s) // 2", "substr(s, 2 * i - 1, 100)", 50)},
+    k AS (
+        SELECT rid, count(*) FILTER (gone) AS n_removed,
+               count(*) FILTER (gone AND NOT before) AS n_spans,
+               coalesce(string_agg(substr(s, 2 * i - 1, 2), '' ORDER BY i) FILTER (NOT gone), '') AS kept
+        FROM (
+            SELECT c.rid, i, gone, s, coalesce(lag(gone) OVER (PARTITION BY c.rid ORDER BY i), false) AS before
+            FROM c JOIN d ON c.rid = d.rid
+        )
+        GROUP BY rid
+    )
+    SELECT doc_id, length(s) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+           coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+    FROM d LEFT JOIN k USING (rid)
+    """,
+)
+def op6_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_index.remove_strings(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("n_symbols").alias("n_bytes"),
+        _removed("spans").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
