@@ -17,13 +17,14 @@ from ..operators.once import once
 # --- Fixed values: patterns and word lists --------------------------------------
 CASHTAG = r"(?U)\$([A-Z]{1,5})\b"
 BARE_TICKER = r"(?U)\b([A-Z]{2,5})\b"
-TICKER_BLOCKLIST: tuple[str, ...] = tuple(
-    (
-        "AI ALL ARE ATH ATM BUY CALL CEO CFO CPI DD EOD EPS ETF EV FAQ FD FED FOMO FOR "
-        "FYI GDP HODL HOLD IMO IPO IRA ITM LLC LOL MOON NOT NOW NYSE OTM PE PUT SEC "
-        "SELL THE TLDR USA USD WSB YOLO YTD"
-    ).split()
+# fmt: off
+TICKER_BLOCKLIST: tuple[str, ...] = (
+    "AI", "ALL", "ARE", "ATH", "ATM", "BUY", "CALL", "CEO", "CFO", "CPI", "DD", "EOD", "EPS",
+    "ETF", "EV", "FAQ", "FD", "FED", "FOMO", "FOR", "FYI", "GDP", "HODL", "HOLD", "IMO", "IPO",
+    "IRA", "ITM", "LLC", "LOL", "MOON", "NOT", "NOW", "NYSE", "OTM", "PE", "PUT", "SEC", "SELL",
+    "THE", "TLDR", "USA", "USD", "WSB", "YOLO", "YTD",
 )
+# fmt: on
 CALL_TITLE = (
     r"(?iU)^(.+?)\s*\((?:[A-Z]+:\s*)?([A-Z.]{1,6})\)\s+Q([1-4])\s+(\d{4})\s+Earnings\s+Call"
 )

@@ -195,8 +195,9 @@ def in_force(
     ``series`` maps a key value to its output column. Each observation is
     repeated for the days it is in force, up to the last observed day of any
     series, and the series become columns: the range conditions turn into one
-    equality join on the day. Later anchors use the last day. The joined table
-    has one row per calendar day, however long the other side is.
+    equality join on the day. Later anchors use the last day; a row without an
+    anchor gets no value. The joined table has one row per calendar day, however
+    long the other side is.
     """
     wanted = observations.where(F.col(key).isin(*series))
     last_day = wanted.agg(F.max(on)).scalar()
@@ -209,8 +210,10 @@ def in_force(
     calendar = daily.groupBy("_day").agg(
         *[F.max(F.when(F.col(key) == s, F.col(value))).alias(out) for s, out in series.items()]
     )
+    # Not least(): it skips NULLs, and a missing anchor would see the newest values.
+    day = F.when(F.col(anchor) > last_day, last_day).otherwise(F.col(anchor))
     return (
-        df.withColumn("_day", F.least(F.col(anchor), last_day))
+        df.withColumn("_day", day)
         .join(calendar, "_day", "left")
         .drop("_day")
     )

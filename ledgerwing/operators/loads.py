@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import RAW_TABLES, conform
+from ..session import written
 
 
 def create_raw_tables(spark: SparkSession, database: str = "raw") -> list[str]:
@@ -32,25 +34,70 @@ def replace_table(df: DataFrame, table: str, path: str) -> None:
     conform(df, table).write.mode("overwrite").parquet(path)
 
 
-def replace_keys(df: DataFrame, path: str, key: str) -> None:
+#: Directories of a keyed table; a load rewrites those that its keys fall into.
+KEY_BUCKETS = 256
+_BUCKET, _LIVE = "_bucket", "_live"
+
+
+def _bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(_BUCKET)
+
+
+def replace_keys(df: DataFrame, path: str, key: str, buckets: int = KEY_BUCKETS) -> None:
     """Delete-then-insert by key: keys present in ``df`` are replaced, others kept.
 
-    The table is laid out in ``key`` directories and only those of the incoming
-    keys are overwritten, so a repeated load changes nothing. Rebalancing gathers
-    the rows of small keys into few files and splits a large key over tasks.
+    Keys are hashed to ``buckets`` directories, so millions of keys do not make
+    millions of files. Only the directories of incoming keys are rewritten, from
+    their kept rows and the new ones; a repeated load changes nothing. Rebalancing
+    splits a large bucket over tasks. NULL is a key like any other. ``buckets`` is
+    part of a table's layout and must stay the same.
     """
+    _rewrite(df.sparkSession, path, key, df.select(key), df, buckets)
+
+
+def delete_keys(keys: DataFrame, path: str, key: str, schema: T.StructType, buckets: int = KEY_BUCKETS) -> None:
+    """Delete the rows of all keys in ``keys(key)``, without new rows for them."""
+    spark = keys.sparkSession
+    _rewrite(spark, path, key, keys.select(key), spark.createDataFrame([], schema), buckets)
+
+
+def _rewrite(
+    spark: SparkSession, path: str, key: str, keys: DataFrame, incoming: DataFrame, buckets: int
+) -> None:
+    gone = written(keys.distinct(), "replaced-keys")
+    touched = [r[0] for r in gone.select(_bucket_of(key, buckets)).distinct().collect()]
+    rows = incoming.withColumns({_BUCKET: _bucket_of(key, buckets), _LIVE: F.lit(True)})
+    # A marker row keeps a directory that has lost its last row from staying as it was.
+    marks = spark.createDataFrame([(b,) for b in touched], f"{_BUCKET} int").withColumn(_LIVE, F.lit(False))
+    rows = rows.unionByName(marks, allowMissingColumns=True)
+    if _exists(spark, path):
+        current = spark.read.schema(rows.schema).parquet(path).where(F.col(_LIVE) & F.col(_BUCKET).isin(touched))
+        old = gone.withColumnRenamed(key, "_gone")
+        kept = current.join(old, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+        rows = rows.unionByName(written(kept, "kept-rows"))
     (
-        df.hint("rebalance", key)
+        rows.hint("rebalance", _BUCKET)
         .write.mode("overwrite")
-        .partitionBy(key)
+        .partitionBy(_BUCKET)
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
 def read_keyed(spark: SparkSession, path: str, key: str, columns: Sequence[str], schema: T.StructType) -> DataFrame:
     """Read a table written by :func:`replace_keys` with its original columns."""
-    return spark.read.schema(schema).parquet(path).select(*columns)
+    stored = T.StructType([*schema.fields, T.StructField(_LIVE, T.BooleanType())])
+    return spark.read.schema(stored).parquet(path).where(_LIVE).select(*columns)
 
 
 def merged_by_key(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:

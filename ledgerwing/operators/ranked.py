@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-MIN_RANGES, MAX_RANGES = 64, 4096
+MIN_RANGES = 64
 
 
 def range_count(df: DataFrame) -> int:
     """Power of two that keeps every shuffle partition of the cluster busy."""
     wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = MIN_RANGES
-    while ranges < min(wanted, MAX_RANGES):
+    while ranges < wanted:
         ranges *= 2
     return ranges
 
@@ -145,26 +145,40 @@ def exact_quantile(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> Dat
 
 
 def running_total(
-    df: DataFrame, by: Sequence[str], order: str, value: str, out: str, block: int = 4096
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    value: str,
+    out: str,
+    block: int = 4096,
+    before: str | None = None,
 ) -> DataFrame:
     """Inclusive running sum of ``value`` by integer ``order`` within each group.
 
-    A long run is cut into blocks of ``block`` sequence numbers; only block
-    totals are sorted per group.
+    ``before`` names a column for the sum without the row itself. A long run is cut
+    into blocks of ``block`` sequence numbers; only block totals are sorted per
+    group. Rows with a NULL group key are one group; rows with a NULL order come
+    first in their group. NULL values add nothing. No row is lost.
     """
     blocked = df.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
-    totals = blocked.groupBy(*by, "_block").agg(F.sum(value).alias("_sum"))
+    keys = [*by, "_block"]
+    totals = blocked.groupBy(*keys).agg(F.sum(value).alias("_sum"))
     earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *by, "_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base")
+        *[F.col(c).alias(f"_o_{c}") for c in keys],
+        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"),
     )
-    inside = (
-        Window.partitionBy(*by, "_block")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        blocked.join(offsets, [*by, "_block"])
-        .withColumn(out, F.col("_base") + F.sum(value).over(inside))
-        .drop("_block", "_base")
+    condition = F.lit(True)
+    for c in keys:
+        condition = condition & blocked[c].eqNullSafe(offsets[f"_o_{c}"])
+    rows = Window.partitionBy(*keys).orderBy(order)
+    spans = {out: rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)}
+    if before:
+        spans[before] = rows.rowsBetween(Window.unboundedPreceding, -1)
+    return blocked.join(offsets, condition).select(
+        *df.columns,
+        *[
+            (F.col("_base") + F.coalesce(F.sum(value).over(w), F.lit(0))).alias(name)
+            for name, w in spans.items()
+        ],
     )

@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 
+def _placed(keys: Sequence[str], year: str) -> Column:
+    """A window groups NULL keys and takes NULL years for peers; a join matches neither."""
+    condition = F.col(year).isNotNull()
+    for key in keys:
+        condition = condition & F.col(key).isNotNull()
+    return condition
+
+
 def year_neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -22,12 +30,14 @@ def year_neighbours(
     gives NULL, and several rows in the neighbouring year fan out. A one-year
     RANGE frame does it in a single shuffle and sort, whatever the number of
     offsets. A key holds one row per fiscal period, so a frame and a group are
-    bounded by the calendar.
+    bounded by the calendar. Rows with a NULL in a key or the year have no
+    neighbours and are nobody's.
     """
     out = df
     for i, (_, offset) in enumerate(offsets.items()):
         w = Window.partitionBy(*keys).orderBy(year).rangeBetween(offset, offset)
-        out = out.withColumn(f"_n{i}", F.collect_list(F.struct(F.col(value).alias("v"))).over(w))
+        near = F.collect_list(F.struct(F.col(value).alias("v"))).over(w)
+        out = out.withColumn(f"_n{i}", F.when(_placed(keys, year), near))
     for i, name in enumerate(offsets):
         kept = [c for c in out.columns if c != f"_n{i}"]
         out = out.select(*kept, F.explode_outer(f"_n{i}").alias("_hit"))
@@ -38,9 +48,12 @@ def year_neighbours(
 def year_pairs(
     df: DataFrame, keys: Sequence[str], year: str, columns: Sequence[str], prefix: str = "prior_"
 ) -> DataFrame:
-    """Add last year's values of ``columns``; needs one row per (key, year)."""
+    """Add last year's values of ``columns``; needs one row per (key, year).
+
+    Rows with a NULL in a key or the year get NULLs.
+    """
     w = Window.partitionBy(*keys).orderBy(year).rangeBetween(-1, -1)
-    before = F.first(F.struct(*columns)).over(w)
+    before = F.when(_placed(keys, year), F.first(F.struct(*columns)).over(w))
     return (
         df.withColumn("_before", before)
         .select(*df.columns, *[F.col(f"_before.{c}").alias(prefix + c) for c in columns])

@@ -20,6 +20,7 @@ from ..functions.scalars import (
 from ..operators.asof import in_force, next_within, pct_change
 from ..operators.dedup import dedup_latest, row_hash
 from ..operators.shifts import year_neighbours, year_pairs
+from . import staging
 
 #: Macro series as of the anchor date and their feature names.
 MACRO_FEATURES = {
@@ -282,10 +283,16 @@ def company_years(panel: DataFrame, keys: DataFrame) -> DataFrame:
     return panel.join(wanted, ["ticker", "fiscal_year"], "left_semi")
 
 
-def filing_text(panel: DataFrame, filings: DataFrame, keys: DataFrame) -> DataFrame:
-    """Section texts of the filings that cover the wanted company-years."""
+def filing_text(panel: DataFrame, raw_filings: DataFrame, keys: DataFrame) -> DataFrame:
+    """Section texts of the filings that cover the wanted company-years.
+
+    Landed rows are picked by accession number before they are deduplicated, so
+    only wanted texts reach that shuffle.
+    """
     picked = company_years(panel, keys).select("fiscal_year", "accession_number")
-    return filings.join(picked, "accession_number").select(
+    wanted = picked.select("accession_number").distinct()
+    found = staging.filings(raw_filings.join(wanted, "accession_number", "left_semi"))
+    return found.join(picked, "accession_number").select(
         "ticker", "fiscal_year", "accession_number", "filing_date", "mdna_text", "risk_factors_text"
     )
 

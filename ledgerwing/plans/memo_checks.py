@@ -74,22 +74,24 @@ def spend_cap_breaches(
     ``projected_cost`` is the worst case known before the call and ``cost_usd``
     the real cost after it; the spend before a call is the running real cost.
     """
-    run = running_total(ledger, by, seq, "cost_usd", "spent_after")
-    return run.withColumn("spent_before", F.col("spent_after") - F.col("cost_usd")).where(
-        F.col("spent_before") + F.col("projected_cost") > F.lit(cap)
-    )
+    run = running_total(ledger, by, seq, "cost_usd", "spent_after", before="spent_before")
+    return run.where(F.col("spent_before") + F.col("projected_cost") > F.lit(cap))
+
+
+def estimate_tokens(filings: DataFrame) -> DataFrame:
+    """Replace the section texts by ``tokens``; done before any shuffle, it is all they are read for."""
+    sized = filings.withColumn("tokens", token_estimate("mdna_text", "risk_factors_text"))
+    return sized.drop("mdna_text", "risk_factors_text")
 
 
 def project_batch_cost(
     years: DataFrame, writer: tuple[float, float], judge: tuple[float, float]
 ) -> DataFrame:
-    """Worst-case cost of five calls per company-year from its text lengths.
+    """Worst-case cost of five calls per company-year from its estimated tokens.
 
-    Needs mdna_text, risk_factors_text and the same for the prior year.
+    Needs ``current_tokens`` and ``prior_tokens``; a missing year counts as empty.
     """
-    now = token_estimate("mdna_text", "risk_factors_text")
-    prior = token_estimate("prior_mdna_text", "prior_risk_factors_text")
-    sized = years.withColumns({"current_tokens": now, "prior_tokens": prior})
+    sized = years.fillna(0, ["current_tokens", "prior_tokens"])
     a, b = F.col("current_tokens"), F.col("prior_tokens")
     system, structure = F.lit(SYSTEM_TOKENS), F.lit(STRUCTURE_TOKENS)
     calls: list[tuple[tuple[float, float], Column, int]] = [
@@ -134,15 +136,17 @@ def grounding_warnings(
 
 
 def traceability_warnings(
-    findings: DataFrame, corpus: DataFrame, on: Sequence[str], probe: int = PROBE_CHARS
+    findings: DataFrame, corpus: DataFrame, on: Sequence[str], probe: int | None = None
 ) -> DataFrame:
     """Findings whose attribution does not occur in the text they cite.
 
-    Both sides are folded to lower case with single blanks; the first ``probe``
-    characters of the attribution must occur. Only the verdict of a finding
-    leaves the join, not the cited text.
+    Both sides are folded to lower case with single blanks. The whole attribution
+    must occur, or with ``probe`` its first characters (``PROBE_CHARS`` is the
+    lenient rule for generated memos). Only the verdict of a finding leaves the
+    join, not the cited text.
     """
-    asked = findings.withColumn("_probe", F.substring(squash("source_attribution"), 1, probe))
+    quote = squash("source_attribution")
+    asked = findings.withColumn("_probe", quote if probe is None else F.substring(quote, 1, probe))
     cited = corpus.select(*on, squash("body").alias("_body"))
     joined = asked.join(cited, list(on), "left")
     blank = F.coalesce(F.col("_probe"), F.lit("")) == ""

@@ -49,12 +49,17 @@ TOP_FEATURES = 12
 # --------------------------------------------------------------------------------
 
 IDS = ("ticker", "fiscal_year", "label")
+MAX_CATEGORIES = 1000
 
 
-def learn_categories(df: DataFrame, column: str = "sector") -> list[str]:
-    """Sorted category values; sectors are a short list by nature."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
-    return sorted(r[0] for r in rows)
+def learn_categories(
+    df: DataFrame, column: str = "sector", most: int = MAX_CATEGORIES
+) -> list[str]:
+    """Sorted category values; more than ``most`` of them are an error, as each is a feature."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(r[0] for r in found)
 
 
 def feature_columns(categories: Iterable[str]) -> list[str]:

@@ -295,7 +295,7 @@ def _logistic(spark: SparkSession, sf: str) -> DataFrame:
 @query("boosted_trees")
 def _trees(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(spark, sf)
-    return rm.boosted_trees(train, _columns(train), maxIter=8, maxDepth=3).score(test)
+    return rm.boosted_trees(train, _columns(train)).score(test)
 
 
 @query("tune")
@@ -315,7 +315,7 @@ def _tune(spark: SparkSession, sf: str) -> DataFrame:
 def _score_all(spark: SparkSession, sf: str) -> DataFrame:
     panel = s.panel(spark, sf)
     train, _ = _split(spark, sf)
-    model = rm.logistic_baseline(train, _columns(train), max_iter=50)
+    model = rm.logistic_baseline(train, _columns(train))
     return rm.score_all(model, panel, rm.learn_categories(panel), "logistic").drop("scored_at")
 
 

@@ -138,7 +138,7 @@ def _filing_index(spark: SparkSession, sf: str) -> DataFrame:
         F.array(*[F.date_add(F.to_date("o_orderdate"), i).cast("string") for i in three]).alias("filingDate"),
         F.array(*[F.lit(f"doc{i}.htm") for i in three]).alias("primaryDocument"),
     )
-    docs = s.spread(spark, sf, "orders", "o_orderkey").select(
+    docs = s.table(spark, sf, "orders").select(
         F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("cik"),
         F.to_json(F.struct(F.struct(recent.alias("recent")).alias("filings"))).alias("payload"),
     )
@@ -174,6 +174,54 @@ def _list(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("accession_number", "ticker", "form_type", "filing_date")
 
 
+def submissions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Customers' orders as filings: those from 1997 on are recent, a page per year has the rest."""
+    order = F.struct(
+        s.text_of("F-", F.col("o_orderkey")).alias("accessionNumber"),
+        F.when(F.col("o_orderkey") % 3 == 0, "10-K").otherwise("4").alias("form"),
+        F.to_date("o_orderdate").cast("string").alias("filingDate"),
+        F.lit("main.htm").alias("primaryDocument"),
+    )
+    rows = s.table(spark, sf, "orders").select(
+        F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("cik"),
+        F.year("o_orderdate").alias("year"),
+        order.alias("o"),
+    )
+    fields = ("accessionNumber", "form", "filingDate", "primaryDocument")
+    lists = rows.groupBy("cik", F.when(F.col("year") < 1997, F.col("year")).alias("year")).agg(
+        F.collect_list("o").alias("list")
+    )
+    blocks = lists.select(
+        "cik", "year", F.struct(*[F.col(f"list.{f}").alias(f) for f in fields]).alias("block")
+    )
+    files = F.struct(
+        s.text_of("page-", F.col("year")).alias("name"),
+        F.make_date("year", F.lit(1), F.lit(1)).cast("string").alias("filingFrom"),
+        F.make_date("year", F.lit(12), F.lit(31)).cast("string").alias("filingTo"),
+    )
+    main = blocks.groupBy("cik").agg(
+        F.first(F.when(F.col("year").isNull(), F.col("block")), ignorenulls=True).alias("recent"),
+        F.collect_list(F.when(F.col("year").isNotNull(), files)).alias("files"),
+    )
+    payload = F.to_json(F.struct(F.struct("recent", "files").alias("filings")))
+    pages = blocks.where("year IS NOT NULL").select(
+        "cik", s.text_of("page-", F.col("year")).alias("name"), F.to_json("block").alias("payload")
+    )
+    return main.select("cik", payload.alias("payload")), pages
+
+
+@query(
+    "filing_listing",
+    """SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, 'F-' || o_orderkey AS accession_number,
+        '10-K' AS form_type, CAST(o_orderdate AS DATE) AS filing_date FROM orders
+        WHERE o_orderkey % 3 = 0 AND CAST(o_orderdate AS DATE) BETWEEN DATE '1994-05-01' AND DATE '1998-03-31'""",
+)
+def _listing(spark: SparkSession, sf: str) -> DataFrame:
+    main, pages = submissions(spark, sf)
+    found = feeds.filing_listing(main, pages, ("10-K",), date(1994, 5, 1), date(1998, 3, 31))
+    return found.select("cik", "accession_number", "form_type", "filing_date")
+
+
 @query(
     "latest_n_filings",
     """SELECT accession_number, ticker, filing_date FROM (
@@ -372,7 +420,7 @@ def annual_texts(spark: SparkSession, sf: str) -> DataFrame:
         "\nItem 8. Statements\nNotes to the Consolidated Financial Statements\n", body, "\n",
     )
     form = F.when(F.col("lang") == "en", "10-K").when(F.col("lang") == "de", "10-Q").otherwise("8-K")
-    return s.spread(spark, sf, "documents", "doc_id").select("doc_id", form.alias("form_type"), text.alias("raw_text"))
+    return s.table(spark, sf, "documents").select("doc_id", form.alias("form_type"), text.alias("raw_text"))
 
 
 _WS = r"' ' || chr(9) || chr(10) || chr(13) || chr(160)"
@@ -422,7 +470,7 @@ def _present(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("html_to_text")
 def _html_to_text(spark: SparkSession, sf: str) -> DataFrame:
-    return s.spread(spark, sf, "pages", "page_id").select("page_id", html_to_text(F.col("html")).alias("text"))
+    return s.table(spark, sf, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
 @query(
@@ -469,7 +517,7 @@ def call_pages(spark: SparkSession, sf: str) -> DataFrame:
         "</article></body></html>",
     )
     url = s.text_of("call/", F.col("conv_id"), "/", F.col("turn"))
-    return s.spread(spark, sf, "conversations", "conv_id", "turn").select(url.alias("url"), page.alias("html"))
+    return s.table(spark, sf, "conversations").select(url.alias("url"), page.alias("html"))
 
 
 @query(

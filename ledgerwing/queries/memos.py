@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans import memo_checks as mc
 from ..contracts import EVENT_STREAMS
+from ..operators.dedup import dedup_latest
 from ..streaming.events import TOPICS, serialise
 from . import standins as s
 from .feeds import _judge
@@ -66,17 +67,19 @@ def _call(price_in: str, price_out: str, tokens: str, out: int) -> str:
         round({_call("10", "50", "500 + a", 4000)} + {_call("10", "50", "1250 + a + b", 4000)}
             + {_call("10", "50", "1250", 2000)} + {_call("10", "50", "10500", 8000)}
             + {_call("5", "25", "4500 + a + b", 1500)}, 8) AS projected_cost_usd
-        FROM (SELECT accession_number, (coalesce(length(mdna_text), 0) + coalesce(length(risk_factors_text), 0)) // 4 AS a,
-            coalesce(length(mdna_text), 0) // 4 AS b FROM filings)""",
+        FROM (SELECT n.accession_number, coalesce(n.t, 0) AS a, coalesce(p.t, 0) AS b
+            FROM (SELECT accession_number, doc_id, (coalesce(length(mdna_text), 0) + coalesce(length(risk_factors_text), 0)) // 4 AS t
+                FROM (SELECT *, CAST(substr(accession_number, 2) AS BIGINT) AS doc_id FROM filings)) n
+            LEFT JOIN (SELECT (coalesce(length(mdna_text), 0) + coalesce(length(risk_factors_text), 0)) // 4 AS t,
+                CAST(substr(accession_number, 2) AS BIGINT) AS doc_id FROM filings) p ON p.doc_id = n.doc_id - 1)""",
 )
 def _project(spark: SparkSession, sf: str) -> DataFrame:
-    years = s.filings(spark, sf).select(
-        "accession_number",
-        "mdna_text",
-        "risk_factors_text",
-        F.col("mdna_text").alias("prior_mdna_text"),
-        F.lit(None).cast("string").alias("prior_risk_factors_text"),
-    )
+    """The filing numbered one lower stands for the prior year's."""
+    rows = dedup_latest(mc.estimate_tokens(s.raw_filings(spark, sf)), ["accession_number"])
+    number = F.substring("accession_number", 2, 20).cast("long")
+    now = rows.select("accession_number", number.alias("n"), F.col("tokens").alias("current_tokens"))
+    prior = now.select((F.col("n") + 1).alias("n"), F.col("current_tokens").alias("prior_tokens"))
+    years = now.join(prior, "n", "left")
     costs = mc.project_batch_cost(years, (10.0, 50.0), (5.0, 25.0))
     return rounded(
         costs.select("accession_number", "current_tokens", "prior_tokens", "projected_cost_usd"),
@@ -153,7 +156,10 @@ def _traceability(spark: SparkSession, sf: str) -> DataFrame:
         FROM filings WHERE coalesce(risk_factors_text, '') = ''""",
 )
 def _gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return mc.data_gaps(s.filings(spark, sf)).withColumn("gaps", F.array_join("gaps", "; "))
+    # Only whether a section has text matters: one letter stands for it from the scan on.
+    short = {c: F.substring(c, 1, 1) for c in ("mdna_text", "risk_factors_text")}
+    filings = s.staging.filings(s.raw_filings(spark, sf).withColumns(short))
+    return mc.data_gaps(filings).withColumn("gaps", F.array_join("gaps", "; "))
 
 
 @query(

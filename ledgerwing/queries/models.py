@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import sector_from_sic
 from ..operators.asof import asof_join, next_within, pct_change, validity_ranges
 from ..operators.dedup import dedup_latest, top_per_key
-from ..operators.shifts import latest_comparable_year, year_pairs
+from ..operators.asof import in_force
+from ..operators.ranked import running_total
+from ..operators.shifts import latest_comparable_year, year_neighbours, year_pairs
 from ..plans import intermediate, marts, serving, staging
 from ..plans.memo_checks import comparison_gaps
 from . import standins as s
@@ -358,7 +360,7 @@ def _company_years(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _filing_text(spark: SparkSession, sf: str) -> DataFrame:
     panel = s.panel(spark, sf)
-    return intermediate.filing_text(panel, s.filings(spark, sf), panel.select("ticker", "fiscal_year"))
+    return intermediate.filing_text(panel, s.raw_filings(spark, sf), panel.select("ticker", "fiscal_year"))
 
 
 @query(
@@ -479,12 +481,13 @@ def _company_meta(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "comparison_gaps",
-    """SELECT c.ticker, c.fiscal_year,
+    """SELECT * FROM (WITH y AS MATERIALIZED (SELECT ticker, fiscal_year, accession_number FROM panel)
+        SELECT c.ticker, c.fiscal_year,
         CASE WHEN c.accession_number IS NULL THEN 'current-year filing text unavailable; ' ELSE '' END ||
         CASE WHEN p.accession_number IS NULL THEN 'prior-year filing text unavailable; ' ELSE '' END ||
         'no comparison performed' AS gaps
-        FROM panel c LEFT JOIN panel p ON p.ticker = c.ticker AND p.fiscal_year = c.fiscal_year - 1
-        WHERE c.accession_number IS NULL OR p.accession_number IS NULL""",
+        FROM y c LEFT JOIN y p ON p.ticker = c.ticker AND p.fiscal_year = c.fiscal_year - 1
+        WHERE c.accession_number IS NULL OR p.accession_number IS NULL)""",
 )
 def _comparison_gaps(spark: SparkSession, sf: str) -> DataFrame:
 
@@ -503,3 +506,68 @@ def _comparison_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return comparison_gaps(pairs).select(
         "ticker", "fiscal_year", F.array_join("gaps", "; ").alias("gaps")
     )
+
+
+# --- missing keys, years, anchors and sequence numbers -------------------------------
+_GAPPY = """(SELECT o_orderkey, CASE WHEN o_custkey % 6 <> 0 THEN o_custkey END AS owner,
+    CASE WHEN o_orderkey % 5 <> 0 THEN year(o_orderdate) END AS y,
+    CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END AS anchor,
+    CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey END AS seq,
+    CASE WHEN o_orderkey % 10 <> 0 THEN floor(o_totalprice) ELSE 1 END AS v FROM orders)"""
+
+
+def gappy(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose owner, year, date or sequence number is missing now and then."""
+    key = F.col("o_orderkey")
+    return s.table(spark, sf, "orders").select(
+        key,
+        F.when(F.col("o_custkey") % 6 != 0, F.col("o_custkey")).alias("owner"),
+        F.when(key % 5 != 0, F.year("o_orderdate")).alias("y"),
+        F.when(key % 5 != 0, F.to_date("o_orderdate")).alias("anchor"),
+        F.when(key % 10 != 0, key).alias("seq"),
+        F.when(key % 10 != 0, F.floor("o_totalprice")).otherwise(1).cast("double").alias("v"),
+    )
+
+
+@query(
+    "in_force_missing_anchor",
+    f"""SELECT o_orderkey, m.value AS rate FROM {_GAPPY} g LEFT JOIN macro_ranges m ON m.series_id = 'FEDFUNDS'
+        AND g.anchor >= m.observation_date AND (m.next_date IS NULL OR g.anchor < m.next_date)""",
+)
+def _in_force_missing(spark: SparkSession, sf: str) -> DataFrame:
+    series = {"FEDFUNDS": "rate"}
+    rows = in_force(gappy(spark, sf), s.macro(spark, sf), series, "series_id", "observation_date", "value", "anchor")
+    return rows.select("o_orderkey", "rate")
+
+
+@query(
+    "year_neighbours_missing_keys",
+    f"""SELECT c.o_orderkey, c.owner, c.y, n.v AS next_v FROM {_GAPPY} c
+        LEFT JOIN {_GAPPY} n ON n.owner = c.owner AND n.y = c.y + 1""",
+)
+def _neighbours_missing(spark: SparkSession, sf: str) -> DataFrame:
+    rows = year_neighbours(gappy(spark, sf), ["owner"], "y", "v", {"next_v": 1})
+    return rows.select("o_orderkey", "owner", "y", "next_v")
+
+
+@query(
+    "year_pairs_missing_keys",
+    f"""WITH_ROWS c.owner, c.y, c.v, p.v AS prior_v FROM t c LEFT JOIN t p ON p.owner = c.owner AND p.y = c.y - 1""".replace(
+        "WITH_ROWS", f"SELECT * FROM (WITH t AS (SELECT owner, y, max(v) AS v FROM {_GAPPY} GROUP BY ALL) SELECT"
+    )
+    + ")",
+)
+def _pairs_missing(spark: SparkSession, sf: str) -> DataFrame:
+    rows = gappy(spark, sf).groupBy("owner", "y").agg(F.max("v").alias("v"))
+    return year_pairs(rows, ["owner"], "y", ["v"])
+
+
+@query(
+    "running_total_missing_keys",
+    f"""SELECT run, seq, sum(v) OVER (PARTITION BY run ORDER BY seq NULLS FIRST ROWS UNBOUNDED PRECEDING) AS so_far,
+        coalesce(sum(v) OVER (PARTITION BY run ORDER BY seq NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM (SELECT owner % 50 AS run, seq, CAST(v AS DOUBLE) AS v FROM {_GAPPY})""",
+)
+def _running_missing(spark: SparkSession, sf: str) -> DataFrame:
+    rows = gappy(spark, sf).select((F.col("owner") % 50).alias("run"), "seq", "v")
+    return running_total(rows, ["run"], "seq", "v", "so_far", before="before").drop("v")

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contracts import contract
+from ..contracts import conform, contract
 from ..operators import loads
 from ..operators import quality as q
-from ..session import scratch_dir
+from ..session import scratch_dir, written
 from ..plans.build import MARTS, build_models, check_models
 from ..sources.feeds import fetch_sections, index_rows, unusual_activity
 from ..streaming import events as ev
@@ -205,6 +205,19 @@ def _replace(spark: SparkSession, sf: str) -> DataFrame:
     return loads.read_keyed(spark, path, "l_returnflag", rows.columns, rows.schema)
 
 
+@query(
+    "delete_keys",
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey % 4 <> 0""",
+)
+def _delete(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fourth customer is deleted, no rows replace theirs."""
+    path = scratch_dir(spark, "keyed")
+    rows = s.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    loads.replace_keys(rows, path, "o_custkey")
+    loads.delete_keys(rows.where("o_custkey % 4 = 0"), path, "o_custkey", rows.schema)
+    return loads.read_keyed(spark, path, "o_custkey", rows.columns, rows.schema)
+
+
 @query(
     "merged_by_key",
     """SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW')
@@ -246,10 +259,12 @@ def _snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("filing_ingest")
 def _ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Index rows, page text, sections, key-replaced landing table."""
+    """Index rows, page text, sections, landing table replaced by ticker, loaded twice."""
     pages = s.table(spark, sf, "pages")
     index = pages.select(
         F.lpad(F.col("page_id").cast("string"), 10, "0").alias("cik"),
+        s.text_of("T", F.col("page_id") % 50).alias("ticker"),
+        F.col("url").alias("company_name"),
         "html",
         F.struct(
             F.array(s.text_of("F-", F.col("page_id"))).alias("accessionNumber"),
@@ -258,16 +273,19 @@ def _ingest(spark: SparkSession, sf: str) -> DataFrame:
             F.array(F.lit("main.htm")).alias("primaryDocument"),
         ).alias("block"),
     )
-    filings = index_rows(index, "block", keep=["cik", "html"])
+    filings = index_rows(index, "block", keep=["cik", "ticker", "company_name", "html"])
     parsed = fetch_sections(
         filings.withColumn("body", F.concat(F.lit("<p>Item 7. Discussion</p>"), "html"))
     )
-    rows = parsed.select(
-        "accession_number", "filing_date", F.col("mdna").alias("mdna_text"), "form_type"
+    stamp = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    landed = parsed.withColumns(
+        {"mdna_text": F.col("mdna"), "risk_factors_text": F.col("risk_factors"), "ingested_at": stamp}
     )
+    rows = conform(landed.select(*contract("raw_filings").names), "raw_filings")
     path = scratch_dir(spark, "raw_filings")
-    loads.replace_keys(rows, path, "form_type")
-    return loads.read_keyed(spark, path, "form_type", rows.columns, rows.schema)
+    loads.replace_keys(rows, path, "ticker")
+    loads.replace_keys(rows, path, "ticker")
+    return ntz(loads.read_keyed(spark, path, "ticker", rows.columns, rows.schema), "ingested_at")
 
 
 def built(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -308,8 +326,15 @@ def _build(spark: SparkSession, sf: str) -> DataFrame:
     return loads.load_counts({name: models[name] for name in MARTS})
 
 
+@query("check_models")
+def _check_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Failures of every rule of every model."""
+    results = check_models(built(spark, sf), f"sector is null or sector != '{s.EXCLUDED}'")
+    return written(results, "rule-failures")
+
+
 @query(
-    "check_models",
+    "rule_lookup",
     """SELECT 'company_profile' AS model, 'bounds(pe_ratio)' AS rule, count(*) AS failures FROM profiles WHERE pe_ratio < -1000 OR pe_ratio > 1000
         UNION ALL SELECT 'filing_history', 'unique(accession_number)', 0
         UNION ALL SELECT 'int_financial_ratios', 'bounds(debt_to_equity)', count(*) FROM ratios WHERE debt_to_equity < 0 OR debt_to_equity > 1000
@@ -321,8 +346,8 @@ def _build(spark: SparkSession, sf: str) -> DataFrame:
         UNION ALL SELECT 'stg_options_activity', 'unique(activity_id)', count(*) FROM (
             SELECT 1 FROM options GROUP BY contract_ticker, detected_at HAVING count(*) > 1)""",
 )
-def _check_models(spark: SparkSession, sf: str) -> DataFrame:
-    """All rules of all models; shown for the rules named in the SQL."""
+def _rule_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules named in the SQL, looked up in the failures of all of them."""
     shown = [
         ("company_profile", "bounds(pe_ratio)"),
         ("filing_history", "unique(accession_number)"),
@@ -333,9 +358,8 @@ def _check_models(spark: SparkSession, sf: str) -> DataFrame:
         ("signal_history", "relationships(ticker)"),
         ("stg_options_activity", "unique(activity_id)"),
     ]
-    results = check_models(built(spark, sf), f"sector is null or sector != '{s.EXCLUDED}'")
     wanted = [(F.col("model") == m) & (F.col("rule") == r) for m, r in shown]
-    return results.where(reduce(Column.__or__, wanted))
+    return _check_models(spark, sf).where(reduce(Column.__or__, wanted))
 
 
 # --- events ---------------------------------------------------------------------
@@ -367,7 +391,7 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(""),
         F.lit(None).cast("string"),
     )
-    rows = s.spread(spark, sf, "events", "event_id").select("event_id", F.posexplode(values).alias("kind", "value"))
+    rows = s.table(spark, sf, "events").select("event_id", F.posexplode(values).alias("kind", "value"))
     return rows.select(F.concat_ws("/", "event_id", "kind").alias("key"), "value", "event_id", "kind")
 
 
@@ -422,7 +446,7 @@ def write_lines(spark: SparkSession, sf: str) -> str:
     """Event messages as text files for a file stream, faults included."""
     path = scratch_dir(spark, "lines")
     # Line files hold no NULL; the tombstones stay as empty lines.
-    event_lines(spark, sf).where("value is not null").select("value").repartition(4).write.text(path)
+    event_lines(spark, sf).where("value is not null").select("value").write.text(path)
     return path
 
 
@@ -435,7 +459,7 @@ def write_lines(spark: SparkSession, sf: str) -> str:
 def _stream_dead(spark: SparkSession, sf: str) -> DataFrame:
     """A file stream: good rows land, faulty ones go to the dead letters."""
     landed, dlq = scratch_dir(spark, "landed"), scratch_dir(spark, "dlq")
-    lines = ev.read_lines(spark, write_lines(spark, sf), files_per_trigger=2)
+    lines = ev.read_lines(spark, write_lines(spark, sf))
     run = ev.run_stream(
         lines,
         "macro",
@@ -458,7 +482,7 @@ def _stream_dead(spark: SparkSession, sf: str) -> DataFrame:
 def _stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Keep-latest table of a stream, compacted to a new folder."""
     landed = scratch_dir(spark, "landed")
-    lines = ev.read_lines(spark, write_lines(spark, sf), files_per_trigger=2)
+    lines = ev.read_lines(spark, write_lines(spark, sf))
     run = ev.run_stream(
         lines,
         "macro",
@@ -477,6 +501,96 @@ def _stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(table, "ingested_at")
 
 
+_STAMP = "2024-01-31T00:00:00"
+
+
+def _messages(spark: SparkSession, sf: str, stream: str) -> DataFrame:
+    """One record of the stream per row of a driver table, as JSON."""
+    stamp = F.lit(_STAMP).alias("ingested_at")
+    day = F.lit("2024-01-31")
+    if stream == "filing":
+        doc = F.col("doc_id")
+        sections = F.map_filter(
+            F.create_map(F.lit("mdna"), F.col("text"), F.lit("risk_factors"), F.when(doc % 3 == 0, F.col("source"))),
+            lambda k, v: v.isNotNull(),
+        )
+        return s.table(spark, sf, "documents").select(
+            s.text_of("A", doc).alias("accession_number"), s.text_of(doc % 99).alias("cik"),
+            F.when(doc % 2 == 0, "T").alias("ticker"), F.col("source").alias("company_name"), F.lit("10-K").alias("form_type"),
+            day.alias("filing_date"), s.text_of("doc/", doc).alias("document_url"), F.col("source").alias("raw_text"),
+            sections.alias("sections"), stamp,
+        )
+    if stream == "sentiment":
+        event = F.col("event_id")
+        tickers = F.when(event % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("AA"), F.col("event_type")))
+        return s.table(spark, sf, "events").select(
+            s.text_of("e", event).alias("post_id"), F.lit("stocks").alias("subreddit"), F.col("event_type").alias("title"),
+            F.lit("").alias("body"), F.floor("value").cast("int").alias("score"), (event % 50).cast("int").alias("num_comments"),
+            tickers.alias("tickers"), F.lit(_STAMP).alias("created_at"), stamp,
+        )
+    if stream == "transcript":
+        turn = F.struct(
+            F.col("role").alias("speaker"), F.lit("r").alias("role"), F.lit("qa").alias("section"), F.col("text").alias("text")
+        )
+        return s.table(spark, sf, "conversations").select(
+            F.lit("Co").alias("company_name"), F.when(F.col("turn") % 2 == 0, "T").alias("ticker"), F.lit(2).alias("quarter"),
+            F.lit(2024).alias("fiscal_year"), s.text_of(F.col("conv_id"), "/", F.col("turn")).alias("url"),
+            F.array(turn, turn).alias("segments"), stamp,
+        )
+    if stream == "options":
+        return s.table(spark, sf, "lineitem").select(
+            s.text_of("C", F.col("l_partkey")).alias("underlying"),
+            s.text_of("O", F.col("l_orderkey"), "-", F.col("l_linenumber")).alias("contract_ticker"), F.lit("put").alias("contract_type"),
+            F.col("l_extendedprice").alias("strike"), day.alias("expiration"), F.col("l_quantity").cast("long").alias("day_volume"),
+            F.col("l_linenumber").cast("long").alias("open_interest"), F.col("l_tax").alias("volume_oi_ratio"),
+            F.when(F.col("l_tax") > 0, F.col("l_discount")).alias("implied_volatility"), F.lit(_STAMP).alias("detected_at"),
+        )
+    return s.table(spark, sf, "events").select(
+        F.col("event_type").alias("series_id"), F.to_date("ts").cast("string").alias("observation_date"), "value", stamp
+    )
+
+
+_AT = "TIMESTAMP '2024-01-31 00:00:00'"
+_LANDED = {
+    "filing": f"""SELECT 'A' || doc_id AS accession_number, CAST(doc_id % 99 AS VARCHAR) AS cik, CASE WHEN doc_id % 2 = 0 THEN 'T' END AS ticker,
+        source AS company_name, '10-K' AS form_type, DATE '2024-01-31' AS filing_date, 'doc/' || doc_id AS document_url, text AS mdna_text,
+        CASE WHEN doc_id % 3 = 0 THEN source END AS risk_factors_text, {_AT} AS ingested_at FROM documents""",
+    "sentiment": f"""SELECT 'e' || event_id AS post_id, 'stocks' AS subreddit, CASE i WHEN 0 THEN 'AA' ELSE event_type END AS ticker,
+        event_type AS title, CAST(floor(value) AS INTEGER) AS score, CAST(event_id % 50 AS INTEGER) AS num_comments, {_AT} AS created_at,
+        {_AT} AS ingested_at FROM events CROSS JOIN (VALUES (0), (1)) v(i) WHERE event_id % 3 <> 0""",
+    "transcript": f"""SELECT conv_id || '/' || turn AS url, CASE WHEN turn % 2 = 0 THEN 'T' END AS ticker, 'Co' AS company_name,
+        2024 AS fiscal_year, 2 AS fiscal_quarter, i AS segment_index, role AS speaker, 'r' AS role, 'qa' AS section, text, {_AT} AS ingested_at
+        FROM conversations CROSS JOIN (VALUES (1), (2)) v(i)""",
+    "options": f"""SELECT 'C' || l_partkey AS underlying, 'O' || l_orderkey || '-' || l_linenumber AS contract_ticker, 'put' AS contract_type,
+        CAST(l_extendedprice AS DOUBLE) AS strike, DATE '2024-01-31' AS expiration, CAST(l_quantity AS BIGINT) AS day_volume,
+        CAST(l_linenumber AS BIGINT) AS open_interest, CAST(l_tax AS DOUBLE) AS volume_oi_ratio,
+        CASE WHEN l_tax > 0 THEN CAST(l_discount AS DOUBLE) END AS implied_volatility, {_AT} AS detected_at FROM lineitem""",
+    "macro": f"""SELECT event_type AS series_id, CAST(ts AS DATE) AS observation_date, value, {_AT} AS ingested_at FROM events""",
+}
+
+
+def _landed(stream: str):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        """A file stream of a stream's records into its landing table."""
+        lines, landed = scratch_dir(spark, "lines"), scratch_dir(spark, "landed")
+        messages = _messages(spark, sf, stream)
+        messages.select(F.to_json(F.struct(*messages.columns)).alias("value")).write.text(lines)
+        handler = ev.landing_handler(stream, landed)
+        query_ = ev.run_stream(
+            ev.read_lines(spark, lines), stream, handler, scratch_dir(spark, "dlq"), scratch_dir(spark, "checkpoint")
+        )
+        query_.awaitTermination()
+        schema = contract(ev.LANDING[stream])
+        rows = ev.read_landed(spark, landed, schema).drop("batch_id")
+        return ntz(rows, *[f.name for f in schema.fields if isinstance(f.dataType, T.TimestampType)])
+
+    return run
+
+
+for _stream, _sql in _LANDED.items():
+    query(f"stream_land_{_stream}", _sql)(_landed(_stream))
+
+
 @query(
     "stream_daily_counts",
     """SELECT CAST(ts AS DATE) AS day, event_type AS series_id, count(*) AS n, round(sum(value), 4) AS total

@@ -7,9 +7,10 @@ the library functions run unchanged. ``standins_sql`` says the same in SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..plans import intermediate, marts, staging
 from ..session import scratch_dir
@@ -50,33 +51,9 @@ FACT_TAGS = (
 )
 
 
-_SCHEMAS: dict[str, StructType] = {}
-_SPLITS: dict[tuple[str, str], int] = {}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A driver table; its footer is only read for the schema once."""
-    path = f"{sf}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
-
-
-def spread(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
-    """A table for per-row work that costs more than a shuffle.
-
-    A small table may be a single file with a single row group, hence one task.
-    Only then it is spread over the cores; a large table has more splits than
-    cores and is read as it is.
-    """
-    df = table(spark, sf, name)
-    cores = spark.sparkContext.defaultParallelism
-    key = (spark.sparkContext.applicationId, f"{sf}/{name}")
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    if _SPLITS[key] >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    """A driver table, as it lies."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def text_of(*parts: Column | str) -> Column:
@@ -184,7 +161,7 @@ def raw_filings(spark: SparkSession, sf: str) -> DataFrame:
         .when(doc % 3 == 1, F.concat_ws(" ", "lang", "text"))
         .otherwise(F.col("source"))
     )
-    base = spread(spark, sf, "documents", "doc_id").select(
+    base = table(spark, sf, "documents").select(
         text_of("A", F.lpad(doc.cast("string"), 8, "0")).alias("accession_number"),
         F.lpad((F.floor(doc / 3) * 7).cast("string"), 10, "0").alias("cik"),
         text_of("C", (F.floor(doc / 3) * 7)).alias("ticker"),
@@ -251,7 +228,7 @@ def macro(spark: SparkSession, sf: str) -> DataFrame:
 
 def contracts(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as option contracts before any flagging."""
-    return spread(spark, sf, "lineitem", "l_orderkey", "l_partkey").select(
+    return table(spark, sf, "lineitem").select(
         text_of("C", F.col("l_partkey")).alias("underlying"),
         text_of("O", F.col("l_orderkey"), "-", F.col("l_linenumber"), "-", F.col("l_partkey")).alias(
             "contract_ticker"
@@ -273,7 +250,7 @@ def options(spark: SparkSession, sf: str) -> DataFrame:
 def raw_mentions(spark: SparkSession, sf: str) -> DataFrame:
     """Events as mentions in January 2000; the first copy has a lower-case ticker."""
     made = shift_hours(F.col("ts").cast("timestamp"), F.lit(-8766 * 24))
-    return copies(spread(spark, sf, "events", "event_id")).select(
+    return copies(table(spark, sf, "events")).select(
         text_of("e", F.col("event_id")).alias("post_id"),
         case_of("event_type", FORUM_OF_EVENT, "wallstreetbets").alias("subreddit"),
         F.concat(F.when(F.col("copy") == 0, "c").otherwise("C"), F.col("user_id").cast("string")).alias(
@@ -294,7 +271,7 @@ def mentions(spark: SparkSession, sf: str) -> DataFrame:
 def facts(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as tagged facts of their customer and order year."""
     rows = (
-        spread(spark, sf, "lineitem", "l_orderkey")
+        table(spark, sf, "lineitem")
         .join(
             table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y")),
             F.col("l_orderkey") == F.col("o_orderkey"),
@@ -328,7 +305,7 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(spark, sf, "documents", "doc_id").select(
+    return table(spark, sf, "documents").select(
         text_of("p", F.col("doc_id")).alias("post_id"),
         F.lit("stocks").alias("subreddit"),
         F.col("source").alias("title"),
@@ -355,12 +332,20 @@ def build_panel(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_MARTS: dict[tuple[str, str, str], str] = {}
+_MARTS: dict[tuple, str] = {}
+_SOURCES = ("customer", "nation", "orders", "lineitem", "documents", "events")
 
 
 def _written(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """Marts are tables: build once into the shared folder, then read."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    """Marts are tables: build into the shared folder, then read while the inputs stay the same.
+
+    The inputs are told by the names, sizes and times of their files, so a table
+    that is rewritten under its old path gets a new mart.
+    """
+    file = F.struct("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    files = [table(spark, sf, t).select(F.xxhash64(file).alias("h")).distinct() for t in _SOURCES]
+    stamp = reduce(DataFrame.unionByName, files).agg(F.sum(F.col("h").cast("decimal(38,0)"))).first()[0]
+    key = (spark.sparkContext.applicationId, sf, name, stamp)
     if key not in _MARTS:
         path = scratch_dir(spark, name)
         build(spark, sf).write.parquet(path)

@@ -144,8 +144,9 @@ def list_filings(
     start: date | None = None,
     end: date | None = None,
     limit_per_ticker: int | None = None,
+    key: str = "ticker",
 ) -> DataFrame:
-    """Filings by form and inclusive date range, newest first per ticker."""
+    """Filings by form and inclusive date range; with a limit the newest of each ``key``."""
     keep = F.col("form_type").isin(*form_types)
     if start is not None:
         keep = keep & (F.col("filing_date") >= F.lit(start))
@@ -155,7 +156,37 @@ def list_filings(
     if limit_per_ticker is None:
         return found
     newest = [F.col("filing_date").desc(), F.col("accession_number")]
-    return top_per_key(found, ["ticker"], newest, limit_per_ticker)
+    return top_per_key(found, [key], newest, limit_per_ticker)
+
+
+def filing_listing(
+    submissions: DataFrame,
+    archives: DataFrame,
+    form_types: Sequence[str] = DEFAULT_FORMS,
+    start: date | None = None,
+    end: date | None = None,
+    limit_per_company: int | None = None,
+) -> DataFrame:
+    """The complete index of each company: its recent block and its archive pages.
+
+    ``submissions(cik, payload)`` holds the main documents, which name the archive
+    pages of older filings with their date ranges; ``archives(cik, name, payload)``
+    holds the pages. Only pages that may overlap the window are parsed. A filing
+    that stands in both is one row. Newest first per company.
+    """
+    recent = filing_index(submissions)
+    parsed = submissions.select("cik", F.from_json("payload", SUBMISSIONS_JSON).alias("s"))
+    named = parsed.select("cik", F.explode("s.filings.files").alias("f")).select(
+        "cik",
+        "f.name",
+        F.col("f.filingFrom").try_cast("date").alias("filing_from"),
+        F.col("f.filingTo").try_cast("date").alias("filing_to"),
+    )
+    pages = archives.join(prune_archives(named, start, end).select("cik", "name"), ["cik", "name"], "left_semi")
+    blocks = pages.select("cik", F.from_json("payload", INDEX_JSON).alias("block"))
+    both = recent.unionByName(index_rows(blocks, "block")).dropDuplicates(["cik", "accession_number"])
+    found = list_filings(both, form_types, start, end, limit_per_company, key="cik")
+    return found.orderBy("cik", F.col("filing_date").desc(), "accession_number")
 
 
 def parse_macro(

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..contracts import EVENT_STREAMS, required_fields
+from ..contracts import EVENT_STREAMS, conform, required_fields
 from ..operators.dedup import dedup_latest
 from ..operators.once import once
+from ..sources.feeds import explode_mentions, explode_segments
 
 #: Topic of each stream.
 TOPICS = {
@@ -27,6 +28,14 @@ TOPICS = {
     "sentiment": "sentiment.raw",
 }
 DLQ_SUFFIX = ".dlq"
+#: Landing table of each stream.
+LANDING = {
+    "filing": "raw_filings",
+    "transcript": "raw_transcript_segments",
+    "macro": "raw_macro_observations",
+    "options": "raw_options_activity",
+    "sentiment": "raw_sentiment_mentions",
+}
 _CORRUPT = "_corrupt_record"
 
 Handler = Callable[[DataFrame, int], None]
@@ -151,6 +160,30 @@ def serialise(records: DataFrame, stream: str, key: str) -> tuple[DataFrame, Dat
     return good, dead
 
 
+def landing_rows(records: DataFrame, stream: str) -> DataFrame:
+    """Records of a stream as rows of its landing table.
+
+    A filing gives its two sections, a post a row per mentioned ticker and a
+    transcript a row per speaker turn; posts without a ticker and transcripts
+    without turns give none.
+    """
+    if stream == "filing":
+        sections = F.col("sections")
+        records = records.withColumns(
+            {"mdna_text": sections["mdna"], "risk_factors_text": sections["risk_factors"]}
+        ).drop("raw_text", "sections")
+    elif stream == "sentiment":
+        records = explode_mentions(records)
+    elif stream == "transcript":
+        records = explode_segments(records.withColumnRenamed("quarter", "fiscal_quarter"))
+    return conform(records, LANDING[stream])
+
+
+def landing_handler(stream: str, path: str) -> Handler:
+    """A handler that lands a stream's micro-batches in the layout of its raw table."""
+    return lambda records, batch_id: land(landing_rows(records, stream), path, batch_id)
+
+
 def land(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch under its own id; a replay overwrites itself."""
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,12 +13,13 @@ from ledgerwing.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
+        os.environ.get("TEST_MASTER", "local[8]"),
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
         spark__sql__warehouse__dir="/tmp/ledgerwing-test-warehouse",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="ledgerwing-tests-"),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -81,12 +81,12 @@ def test_in_force_equals_range_join(spark):
     rng = random.Random(3)
     obs = [(s, DAY0 + timedelta(days=d), (None if rng.random() < 0.1 else float(d)))
            for s in "xy" for d in sorted(rng.sample(range(400), 25))]
-    anchors = [(i, DAY0 + timedelta(days=rng.randrange(-20, 600))) for i in range(200)]
+    anchors = [(i, DAY0 + timedelta(days=rng.randrange(-20, 600))) for i in range(200)] + [(200, None), (201, None)]
     got = in_force(spark.createDataFrame(anchors, "id int, at date"),
                    spark.createDataFrame(obs, "s string, d date, v double"), {"x": "vx", "y": "vy"}, "s", "d", "v", "at")
     for r in got.collect():
         for s in "xy":
-            before = [o for o in obs if o[0] == s and o[1] <= r.at]
+            before = [o for o in obs if o[0] == s and r.at is not None and o[1] <= r.at]
             assert r[f"v{s}"] == (max(before, key=lambda o: o[1])[2] if before else None)
 
 
@@ -131,8 +131,16 @@ def test_running_total_blocks(spark):
         assert r.sofar == r.seq * (r.seq + 1) / 2
 
 
+def test_running_total_keeps_rows_with_missing_keys(spark):
+    rows = [(None, 1, 1.0), (None, 20, 2.0), ("r", None, 4.0), ("r", 1, 8.0), ("r", 9, None), ("r", 30, 16.0)]
+    df = spark.createDataFrame(rows, "run string, seq int, v double")
+    got = {(r.run, r.seq): (r.sofar, r.before) for r in running_total(df, ["run"], "seq", "v", "sofar", 7, "before").collect()}
+    assert got == {(None, 1): (1, 0), (None, 20): (3, 1), ("r", None): (4, 0), ("r", 1): (12, 4), ("r", 9): (12, 12), ("r", 30): (28, 12)}
+
+
 def test_year_neighbours_gaps_and_fan_out(spark):
-    df = spark.createDataFrame([("a", 2020, 1.0), ("a", 2021, 2.0), ("a", 2021, 3.0), ("a", 2023, 4.0), ("b", 2022, None)],
+    df = spark.createDataFrame([("a", 2020, 1.0), ("a", 2021, 2.0), ("a", 2021, 3.0), ("a", 2023, 4.0), ("b", 2022, None),
+                                ("a", None, 5.0), ("a", None, 6.0), (None, 2020, 7.0), (None, 2021, 8.0)],
                                "ticker string, fiscal_year int, revenue double")
     got = year_neighbours(df, ["ticker"], "fiscal_year", "revenue", {"nxt": 1, "prv": -1})
     self_join = spark.sql("""select c.ticker, c.fiscal_year, c.revenue, n.revenue nxt, p.revenue prv from {t} c
