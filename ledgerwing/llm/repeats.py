@@ -73,7 +73,7 @@ def _unpack(data: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), dtype)
 
 
-def store_groups(docs: DataFrame, folder: str) -> DataFrame:
+def store_groups(docs: DataFrame, folder: str, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``GROUPS``: where each group's texts lie; ``docs`` packs ids, NULL marks and sizes."""
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")
@@ -120,7 +120,7 @@ def store_groups(docs: DataFrame, folder: str) -> DataFrame:
                 ids.append(doc.as_py())
                 texts.append(text)
                 held += len(text) + 16
-                if held >= GROUP_BYTES:
+                if held >= group_bytes:
                     rows.append(flush())
                     held = 0
             yield pa.RecordBatch.from_pylist(rows, _GROUPS)
@@ -219,7 +219,8 @@ def find_units(symbols: np.ndarray, first: np.ndarray, ids: np.ndarray, kind: Ki
         start, last = start[keep], last[keep]
         span = (last - start).astype(np.uint64)
         context = mix((sums[last + length] - sums[start]) * down[start] + span * np.uint64(BASE))
-        parts.append((start + at, last + at, doc[start], least[start], context))
+        # Least hashes are small numbers; mixed once more they fill all buckets evenly.
+        parts.append((start + at, last + at, doc[start], mix(least[start]), context))
     if not parts:
         parts = [(*(np.empty(0, np.int64),) * 3, *(np.empty(0, np.uint64),) * 2)]
     start, last, doc, seed, context = (np.concatenate(p) for p in zip(*parts, strict=True))
@@ -284,7 +285,13 @@ def _from_planes(data: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-def decide(seeds: list[np.ndarray], signatures: list[np.ndarray], lows: list[np.ndarray], manys: list[np.ndarray], frequent: int = FREQUENT_GROUPS) -> list[np.ndarray]:
+def decide(
+    seeds: list[np.ndarray],
+    signatures: list[np.ndarray],
+    lows: list[np.ndarray],
+    manys: list[np.ndarray],
+    frequent: int,
+) -> list[np.ndarray]:
     """What each group has to do about each of its seeds, from all groups' records of a bucket."""
     sizes = [len(s) for s in seeds]
     seed, signature, low, many = (np.concatenate(x) for x in (seeds, signatures, lows, manys))
@@ -430,7 +437,15 @@ _RESULT = pa.schema(
 )
 
 
-def remove_repeats(docs: DataFrame, kind: Kind, mark: Mark, keep: Callable[[bytes, np.ndarray], bytes]) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    kind: Kind,
+    mark: Mark,
+    keep: Callable[[bytes, np.ndarray], bytes],
+    group_bytes: int = GROUP_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    frequent: int = FREQUENT_GROUPS,
+) -> DataFrame:
     """``RESULT``: what is removed from and left of each row of ``docs(doc_id, text)``.
 
     A symbol goes if a window over it also starts in a document with a smaller
@@ -440,12 +455,12 @@ def remove_repeats(docs: DataFrame, kind: Kind, mark: Mark, keep: Callable[[byte
     """
     spark = docs.sparkSession
     folder = scratch_dir(spark, "texts")
-    groups = store_groups(docs, folder)
+    groups = store_groups(docs, folder, group_bytes)
     n_groups, raw = groups.agg(F.count("*"), F.coalesce(F.sum("raw"), F.lit(0))).first()
     cores = spark.sparkContext.defaultParallelism
     tasks = max(1, n_groups // GROUPS_PER_TASK, min(n_groups, 4 * cores))
     bits = 0
-    while raw > BUCKET_BYTES << bits and bits < 24:
+    while raw > bucket_bytes << bits and bits < 24:
         bits += 1
 
     def opened(row: dict):
@@ -478,7 +493,7 @@ def remove_repeats(docs: DataFrame, kind: Kind, mark: Mark, keep: Callable[[byte
             signatures.append(_from_planes(data[: 6 * n], 6))
             lows.append(_from_planes(data[6 * n : 14 * n], 8).view("<i8"))
             manys.append(np.frombuffer(data[14 * n :], np.uint8) > 0)
-        codes = decide(seeds, signatures, lows, manys)
+        codes = decide(seeds, signatures, lows, manys, frequent)
         return pa.table(
             {
                 "part": table["part"],

@@ -57,40 +57,45 @@ def suffix_order(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
     """Rows in order, and whether each agrees with the row before in ``length`` symbols.
 
     ``text`` holds ranks; end marks are the least and all different. By prefix
-    doubling, starting with three symbols.
+    doubling, starting with up to three symbols; a rank is the first row of its
+    group, and only groups of several rows are sorted again.
     """
     n = len(text)
-    rank, depth, alike = text.astype(np.uint64), 1, None
     bits = max(1, int(text.max()).bit_length())
-    if 3 * bits <= 64 and n > 2:
-        padded = np.concatenate((rank, np.zeros(2, np.uint64)))
-        key = (padded[:n] << np.uint64(2 * bits)) | (padded[1 : n + 1] << np.uint64(bits)) | padded[2 : n + 2]
-        depth = 3
-    else:
-        key = rank
+    depth = max(1, min(3, 64 // bits))
+    padded = np.concatenate((text.astype(np.uint64), np.zeros(depth, np.uint64)))
+    key = np.zeros(n, np.uint64)
+    for i in range(depth):
+        key = (key << np.uint64(bits)) | padded[i : i + n]
+    rank = np.zeros(n, np.uint64)
+    order = np.empty(n, np.int64)
+    rows, place = np.arange(n), np.arange(n)  # the rows that are not settled, and what stands there
+    alike: list[np.ndarray] = []
     while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        new = np.ones(n, bool)
-        new[1:] = ordered[1:] != ordered[:-1]
-        rank = np.empty(n, np.uint64)
-        rank[order] = (np.cumsum(new) - 1).astype(np.uint64)
+        by = np.argsort(key)
+        place, key = place[by], key[by]
+        order[rows] = place
+        new = np.ones(len(rows) + 1, bool)
+        new[1:-1] = key[1:] != key[:-1]
+        rank[place] = np.maximum.accumulate(np.where(new[:-1], rows, 0)).astype(np.uint64)
         if depth <= length < 2 * depth:
             # two prefixes of this depth cover a window
             shift = length - depth
-            alike = rank, np.concatenate((rank[shift:], np.zeros(shift, np.uint64)))
-        if new.all():
+            alike = [rank.copy(), np.concatenate((rank[shift:], np.zeros(shift, np.uint64)))]
+        open_ = ~(new[:-1] & new[1:])
+        rows, place = rows[open_], place[open_]
+        if not len(rows) and (alike or depth > length):
             break
-        half = np.zeros(n, np.uint64)
-        half[: max(0, n - depth)] = rank[depth:]
-        key = (rank << np.uint64(32)) | half
+        after = place + depth
+        inside = after < n
+        key = rank[place] << np.uint64(32)
+        key[inside] |= rank[after[inside]]
         depth *= 2
     same = np.zeros(n, bool)
-    if alike is not None:
-        for part in alike:
-            ordered = part[order]
-            match = ordered[1:] == ordered[:-1]
-            same[1:] = match if part is alike[0] else same[1:] & match
+    same[1:] = True
+    for part in alike:
+        ordered = part[order]
+        same[1:] &= ordered[1:] == ordered[:-1]
     return order, same
 
 
