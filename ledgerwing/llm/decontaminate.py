@@ -8,7 +8,7 @@ overlap is extended in both directions over equal and replaced words.
 
 A document is one row whose seeds never leave the scan unless a Bloom filter over
 the benchmark's seeds lets them through. The filter's size follows the number of
-seeds and is bounded by ``MAX_FILTER_BITS``; beyond that it passes more seeds, all
+seeds and is bounded by ``filters.MAX_FILTER_BITS``; beyond that it passes more seeds, all
 of which the join decides.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .filters import filter_slots, in_filter, seed_filter
 from .tokens import ALNUM, Words, grouped, mix, powers, words_of
 
 #: Ones are compared, noughts ignored.
@@ -32,8 +33,6 @@ MIN_WORDS = 13
 MIN_SHARE = 0.8
 #: Extension stops once the score is this far below its best: 1 per equal word, -2 per other.
 DROP = 6
-FILTER_BITS_PER_SEED = 32
-MAX_FILTER_BITS = 1 << 28
 
 SEEDS = "h long, item_id long, item_at long"
 ITEMS = "item_id long, item_words binary"
@@ -61,11 +60,6 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(h)
 
 
-def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    low = np.uint64(bits - 1)
-    return h & low, (h >> np.uint64(32)) & low
-
-
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """``ITEMS``: the words of each row of ``benchmark(item_id, text)``; empty ones are left out."""
 
@@ -95,31 +89,6 @@ def item_seeds(items: DataFrame) -> DataFrame:
     return written(items.mapInArrow(run, SEEDS), "seeds")
 
 
-def seed_filter(seeds: DataFrame) -> np.ndarray:
-    """Bloom filter over the seeds, as 64-bit words, of at most ``MAX_FILTER_BITS`` bits."""
-    n = seeds.count()
-    bits = 1024
-    while bits < min(n * FILTER_BITS_PER_SEED, MAX_FILTER_BITS):
-        bits *= 2
-    low = F.lit(bits - 1)
-    slot = F.explode(
-        F.array(F.col("h").bitwiseAND(low), F.shiftrightunsigned("h", 32).bitwiseAND(low))
-    )
-    rows = (
-        seeds.select(slot.alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
-        .toPandas()
-    )
-    table = np.zeros(bits // 64, np.uint64)
-    table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return table
-
-
-def _set(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    return (table[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
-
-
 def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int) -> DataFrame:
     """``SEGMENTS``: seeds that pass the filter, with ``reach`` words around them.
 
@@ -142,9 +111,9 @@ def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int) -> DataFr
                 places, hashes = [], []
                 for mask in MASKS:
                     h = seed_hashes(w.hash, mask)
-                    one, two = _slots(h, bits)
-                    at = np.flatnonzero(_set(known, one))
-                    at = at[_set(known, two[at])]
+                    one, two = filter_slots(h, bits)
+                    at = np.flatnonzero(in_filter(known, one))
+                    at = at[in_filter(known, two[at])]
                     text = np.searchsorted(w.first, at, side="right") - 1
                     at = at[at + len(mask) <= w.first[text + 1]]
                     places.append(at)
