@@ -16,6 +16,7 @@ If a window grows over both pieces, they are encoded as one text.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -27,16 +28,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from .tokens import grouped
+
 #: Texts of more characters are halved into leaves.
 LEAF_CHARS = 16384
 #: Characters on each side of a join in the first window.
 WINDOW_CHARS = 32
-#: Words kept with their tokens by one Python worker, and the longest such word.
-CACHED_WORDS = 200_000
+#: Words, and runs of letters within them, kept with their tokens by one Python
+#: worker; and the longest such word.
+CACHED_WORDS = 150_000
+CACHED_RUNS = 300_000
 CACHED_CHARS = 64
+#: Characters encoded or decoded at a time, unless one text has more.
+BATCH_CHARS = 1 << 20
 #: These count as blanks for Python's split, but not for the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 WORD = re.compile(r"[^ \t\n\r]+")
+#: A run of Latin letters, then ASCII punctuation but for the apostrophe: the
+#: tokenizer's rules always part such a word there and fold its letters one by one.
+LETTERS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class Encoder:
@@ -49,8 +59,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.words: dict[str, bytes] = {}
-        self.placed: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.runs: dict[str, bytes] = {"": b""}
 
     def whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Token ids and the character at which each token starts."""
@@ -58,6 +73,49 @@ class Encoder:
         starts = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
         return np.array(found.ids, np.uint32), starts
 
+    def _each(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
+
+    def _letter_runs(self, runs: list[str]) -> list[bytes]:
+        """Runs of letters are one word each, so one call encodes them and word ends part them."""
+        if not runs:
+            return []
+        joined = self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(runs):
+            return self._each(runs)
+        data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """A table with the tokens of all these words; forgets old ones when it is large."""
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        if len(self.runs) > CACHED_RUNS:
+            self.runs = {"": b""}
+        parted, letters, rest = [], set(), set()
+        for word in words.difference(self.words):
+            m = LETTERS.fullmatch(word)
+            if m:
+                run, tail = m[1].lower(), m[2]
+                parted.append((word, run, tail))
+                letters.add(run)
+                rest.add(tail)
+            else:
+                rest.add(word)
+        fresh = list(letters.difference(self.runs))
+        self.runs.update(zip(fresh, self._letter_runs(fresh), strict=True))
+        fresh = list(rest.difference(self.runs))
+        other = dict(zip(fresh, self._each(fresh), strict=True))
+        self.runs.update((w, i) for w, i in other.items() if len(w) <= CACHED_CHARS)
+        found = {w: self.runs[a] + (self.runs[b] if b in self.runs else other[b]) for w, a, b in parted}
+        found.update((w, self.runs[w] if w in self.runs else other[w]) for w in rest)
+        self.words.update((w, i) for w, i in found.items() if len(w) <= CACHED_CHARS)
+        longer = {w: i for w, i in found.items() if len(w) > CACHED_CHARS}
+        return {**self.words, **longer} if longer else self.words
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers.
 
@@ -66,36 +124,28 @@ class Encoder:
         parts = [
             t.split(" ") if any(c in t for c in SEPARATORS) else t.split() for t in texts
         ]
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        known, extra = self.words, {}
-        fresh = list(set().union(*parts).difference(known)) if parts else []
-        for word, found in zip(
-            fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True
-        ):
-            ids = np.array(found.ids, "<u4").tobytes()
-            (known if len(word) <= CACHED_CHARS else extra)[word] = ids
-        if extra:
-            return [b"".join([known[w] if w in known else extra[w] for w in p]) for p in parts]
+        known = self.learn(set().union(*parts, ("",)))
         return [b"".join([known[w] for w in p]) for p in parts]
 
     def leaf(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """As :meth:`whole`, word by word."""
-        if len(self.placed) > CACHED_WORDS // 4:
-            self.placed.clear()
-        ids, starts = [], []
-        for m in WORD.finditer(text):
-            word = m.group()
-            found = self.placed.get(word)
-            if found is None:
-                found = self.whole(word)
-                if len(word) <= CACHED_CHARS:
-                    self.placed[word] = found
-            ids.append(found[0])
-            starts.append(found[1] + m.start())
-        if not ids:
-            return np.empty(0, np.uint32), np.empty(0, np.int64)
-        return np.concatenate(ids), np.concatenate(starts)
+        """As :meth:`whole`, word by word; tokens of short words all start with their word.
+
+        That is enough for joins: they look inside a word only if it is long.
+        """
+        words = WORD.findall(text)
+        at = np.fromiter((m.start() for m in WORD.finditer(text)), np.int64, len(words))
+        known = self.learn({w for w in words if len(w) <= CACHED_CHARS})
+        long_words = {i: self.whole(w) for i, w in enumerate(words) if len(w) > CACHED_CHARS}
+        parts = [
+            long_words[i][0].astype("<u4").tobytes() if i in long_words else known[w]
+            for i, w in enumerate(words)
+        ]
+        counts = np.fromiter((len(p) // 4 for p in parts), np.int64, len(parts))
+        starts = np.repeat(at, counts)
+        first = np.cumsum(counts) - counts
+        for i, (own, places) in long_words.items():
+            starts[first[i] : first[i] + len(own)] += places
+        return np.frombuffer(b"".join(parts), "<u4"), starts
 
 
 @lru_cache(maxsize=2)
@@ -106,8 +156,14 @@ def encoder(path: str) -> Encoder:
 
 @lru_cache(maxsize=2)
 def token_table(path: str) -> list[str | None]:
-    tokenizer = encoder(path).tokenizer
-    return [tokenizer.id_to_token(i) for i in range(max(tokenizer.get_vocab().values()) + 1)]
+    """Tokens by id, read from the vocabulary file: decoding needs no tokenizer in memory."""
+    with open(path, encoding="utf-8") as f:
+        content = json.load(f)
+    if content.get("decoder") is not None:
+        raise ValueError("only tokenizers without a decoder are decoded by their tokens")
+    tokens = {i: t for t, i in content["model"]["vocab"].items()}
+    tokens.update((t["id"], t["content"]) for t in content["added_tokens"])
+    return [tokens.get(i) for i in range(max(tokens) + 1)]
 
 
 def leaf_bounds(size: int, leaf: int) -> list[int]:
@@ -203,10 +259,13 @@ def encode(
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
-            ids = coder.batch(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
-            )
+            texts = batch.column("text").to_pylist()
+            for lo, hi in grouped(texts, BATCH_CHARS):  # a text's words take ten times its memory
+                ids = coder.batch(texts[lo:hi])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(ids, pa.binary())],
+                    ["doc_id", "ids"],
+                )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,16 +338,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     out = StructType([*source.schema, StructField("decoded", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if encoder(path).tokenizer.decoder is not None:
-            raise ValueError("only tokenizers without a decoder are decoded by their tokens")
         word = token_table(path).__getitem__
         for batch in batches:
-            texts = [
-                " ".join(map(word, np.frombuffer(ids.as_py() or b"", "<u4").tolist()))
-                for ids in batch.column("ids")
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
-            )
+            coded = [ids or b"" for ids in batch.column("ids").to_pylist()]
+            for lo, hi in grouped(coded, 4 * BATCH_CHARS):
+                texts = [" ".join(map(word, np.frombuffer(i, "<u4").tolist())) for i in coded[lo:hi]]
+                columns = [c.slice(lo, hi - lo) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
+                )
 
     return source.mapInArrow(run, out)
