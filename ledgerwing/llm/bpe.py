@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from .tokens import grouped
+from .tokens import grouped, tidy
 
 #: Texts of more characters are halved into leaves.
 LEAF_CHARS = 16384
@@ -36,8 +36,8 @@ LEAF_CHARS = 16384
 WINDOW_CHARS = 32
 #: Words, and runs of letters within them, kept with their tokens by one Python
 #: worker; and the longest such word.
-CACHED_WORDS = 150_000
-CACHED_RUNS = 300_000
+CACHED_WORDS = 100_000
+CACHED_RUNS = 250_000
 CACHED_CHARS = 64
 #: Characters encoded or decoded at a time, unless one text has more.
 BATCH_CHARS = 1 << 20
@@ -243,11 +243,23 @@ def join_tree(coder: Encoder, text: str, pieces: list[Piece], window: int = WIND
     return pieces[0]
 
 
+def decode_ids(ids: bytes | None, path: str) -> str:
+    """Tokens by one space, as the library joins them for a tokenizer without a decoder."""
+    return " ".join(map(token_table(path).__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 def encode(
-    docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS, window_chars: int = WINDOW_CHARS
+    docs: DataFrame,
+    path: str,
+    leaf_chars: int = LEAF_CHARS,
+    window_chars: int = WINDOW_CHARS,
+    decoded: bool = False,
 ) -> DataFrame:
     """``(doc_id, ids)`` for every row of ``docs(doc_id, text)``.
 
+    With ``decoded`` a third column has what :func:`decode` makes of the ids, in the
+    same pass.
+
     ``ids`` is binary, little-endian unsigned 32-bit, exactly as the library encodes
     the whole text without added special tokens. NULL and empty texts have no ids;
     repeated rows come out repeated, NULL ``doc_id`` stays.
@@ -255,6 +267,14 @@ def encode(
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType
     out = StructType([StructField("doc_id", kind), StructField("ids", BinaryType())])
+    if decoded:
+        out = out.add("decoded", StringType())
+
+    def columns(doc_ids: pa.Array, ids: list[bytes]) -> list[pa.Array]:
+        made = [doc_ids, pa.array(ids, pa.binary())]
+        if decoded:
+            made.append(pa.array([decode_ids(i, path) for i in ids], pa.string()))
+        return made
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
@@ -263,8 +283,7 @@ def encode(
             for lo, hi in grouped(texts, BATCH_CHARS):  # a text's words take ten times its memory
                 ids = coder.batch(texts[lo:hi])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(ids, pa.binary())],
-                    ["doc_id", "ids"],
+                    columns(batch.column("doc_id").slice(lo, hi - lo), ids), out.names
                 )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,8 +324,8 @@ def encode(
             pieces.append((at, at + len(t), np.frombuffer(ids.as_py(), "<u4"), places))
             at += len(t)
         whole = join_tree(encoder(path), "".join(texts), pieces, window_chars)
-        ids = pa.array([whole[2].astype("<u4").tobytes()], pa.binary())
-        return pa.table({"doc_id": table["doc_id"].slice(0, 1), "ids": ids})
+        doc_id = table["doc_id"].slice(0, 1).combine_chunks()
+        return pa.table(columns(doc_id, [whole[2].astype("<u4").tobytes()]), names=out.names)
 
     piece = [
         StructField("row", LongType()),
@@ -321,11 +340,11 @@ def encode(
     long_ids = (
         long_rows.mapInArrow(split, StructType(piece))
         .repartition("row", "leaf")
-        .mapInArrow(leaves, coded)
+        .mapInArrow(tidy(leaves), coded)
         .groupBy("row")
         .applyInArrow(joined, out)
     )
-    return rows.where(F.length("text") <= leaf_chars).mapInArrow(short, out).unionByName(long_ids)
+    return rows.where(F.length("text") <= leaf_chars).mapInArrow(tidy(short), out).unionByName(long_ids)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -338,14 +357,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     out = StructType([*source.schema, StructField("decoded", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word = token_table(path).__getitem__
         for batch in batches:
             coded = [ids or b"" for ids in batch.column("ids").to_pylist()]
             for lo, hi in grouped(coded, 4 * BATCH_CHARS):
-                texts = [" ".join(map(word, np.frombuffer(i, "<u4").tolist())) for i in coded[lo:hi]]
+                texts = [decode_ids(i, path) for i in coded[lo:hi]]
                 columns = [c.slice(lo, hi - lo) for c in batch.columns]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
                 )
 
-    return source.mapInArrow(run, out)
+    return source.mapInArrow(tidy(run), out)

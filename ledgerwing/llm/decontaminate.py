@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .filters import filter_slots, in_filter, seed_filter
-from .tokens import ALNUM, Words, grouped, mix, powers, words_of
+from .tokens import ALNUM, Words, grouped, mix, powers, tidy, words_of
 
 #: Ones are compared, noughts ignored.
 MASKS = ("11101011", "1101001011", "110010100111")
@@ -147,7 +147,7 @@ def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int) -> DataFr
     source = docs.select(
         F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     )
-    return written(source.mapInArrow(run, SEGMENTS), "segments")
+    return written(source.mapInArrow(tidy(run), SEGMENTS), "segments")
 
 
 _SEGMENTS = pa.schema(

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .tokens import tidy
+
 #: Labelled rows per language that the machines are fitted on.
 SAMPLE_PER_LANG = 500
 #: More distinct labels than this are an error, as every pair has a machine.
@@ -104,25 +106,25 @@ class Model(NamedTuple):
 def fit_machine(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
     """Weights and bias of an L2-regularised machine with squared hinge loss.
 
-    Dual coordinate descent over rows that are scaled to unit length; the bias is
-    the weight of a constant feature. ``y`` is 1 or -1.
+    Dual coordinate descent over rows of about unit length; the bias is the weight
+    of a constant feature. ``y`` is 1 or -1.
     """
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    diag = (x * x).sum(axis=1) + 0.5 / cost
+    w, bias, alpha = np.zeros(x.shape[1], x.dtype), 0.0, np.zeros(len(x))
+    diag = np.einsum("ij,ij->i", x, x) + 1 + 0.5 / cost
     order = np.random.default_rng(0)
     for _ in range(rounds):
         worst = 0.0
         for i in order.permutation(len(x)):
-            grad = y[i] * (w @ x[i]) - 1 + 0.5 * alpha[i] / cost
+            grad = y[i] * (float(w @ x[i]) + bias) - 1 + 0.5 * alpha[i] / cost
             step = max(alpha[i] - grad / diag[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
-                w += step * y[i] * x[i]
+                w += x.dtype.type(step * y[i]) * x[i]
+                bias += step * y[i]
                 worst = max(worst, abs(step))
         if worst < 1e-3:
             break
-    return w[:-1], float(w[-1])
+    return w, float(bias)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -179,12 +181,13 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["lang", "h"])
-        x = np.stack([np.frombuffer(v, "<f4") for v in rows["x"]]).astype(np.float64)
-        scale = 1 / np.sqrt((x * x).mean(axis=0) + 1e-9)
-        x = x * scale
-        length = np.sqrt((x * x).sum(axis=1, keepdims=True)).mean()
-        w, bias = fit_machine(x / length, rows["side"].to_numpy())
-        weights = (w * scale / length).astype("<f4").tobytes()
+        x = np.stack([np.frombuffer(v, "<f4") for v in rows["x"]])
+        scale = 1 / np.sqrt(np.einsum("ij,ij->j", x, x) / len(x) + np.float32(1e-9))
+        x *= scale
+        scale /= np.sqrt(np.einsum("ij,ij->i", x, x)).mean()
+        x /= np.sqrt(np.einsum("ij,ij->i", x, x)).mean()
+        w, bias = fit_machine(x, rows["side"].to_numpy())
+        weights = (w * scale).astype("<f4").tobytes()
         return pd.DataFrame({"pair": [rows["pair"].iloc[0]], "bias": [bias], "weights": [weights]})
 
     fitted = (
@@ -314,4 +317,4 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 schema.names,
             )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

@@ -67,7 +67,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @query("op4_bpe_tree_concatenation")
 def op4_bpe_tree_concatenation(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, decoded=True)
     return coded.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),

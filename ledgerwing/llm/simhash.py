@@ -25,7 +25,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..session import written
 from .components import components
 from .filters import filter_slots, in_filter, seed_filter
-from .tokens import BASE, mix
+from .tokens import BASE, mix, tidy
 
 BITS = 64
 SEED = 42
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ())
                 [*(batch.column(c) for c in cols), pa.array(fps, pa.int64())], [*cols, "fp"]
             )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def segment_shares(radius: int, segments: int) -> list[int]:
@@ -234,7 +234,7 @@ def wide_fingerprints(docs: DataFrame, layout: Layout, shingle: int) -> DataFram
                 ["key", "doc_id", "node", "f", "segs"],
             )
 
-    return source.mapInArrow(run, "key long, doc_id long, node long, f array<long>, segs array<long>")
+    return source.mapInArrow(tidy(run), "key long, doc_id long, node long, f array<long>, segs array<long>")
 
 
 class _Compared(NamedTuple):
@@ -276,7 +276,7 @@ def shingle_sets(docs: DataFrame, keys: DataFrame, shingle: int) -> DataFrame:
                 )
 
     source = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("binary").alias("text"))
-    found = source.mapInArrow(run, "key long, grams binary")
+    found = source.mapInArrow(tidy(run), "key long, grams binary")
     return keys.join(found, "key").groupBy("node").agg(F.min("grams").alias("grams"))
 
 

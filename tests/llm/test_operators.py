@@ -222,6 +222,8 @@ def test_tree_encodes_like_the_library(spark, leaf, window):
     want = Counter((r[0], _library(r[1] or "").tobytes()) for r in rows)
     assert Counter((r.doc_id, bytes(r.ids)) for r in coded.collect()) == want
     tokenizer = bpe.encoder(PATH).tokenizer
+    both = bpe.encode(table(spark, rows), PATH, leaf, window, decoded=True)
+    assert bag(both.select("doc_id", "decoded")) == bag(bpe.decode(coded, PATH).select("doc_id", "decoded"))
     for r in bpe.decode(coded, PATH).collect():
         ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
         assert r.decoded == tokenizer.decode(ids, skip_special_tokens=False)
