@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, written
-from .tokens import BASE, mix
+from .tokens import BASE, mix, tidy
 from .warc import _store
 
 #: Text in a group, and in a bucket or reference block, on average.
@@ -189,6 +189,7 @@ def find_units(symbols: np.ndarray, first: np.ndarray, ids: np.ndarray, kind: Ki
     length, k = kind.length, kind.seed
     parts = []
     total = len(symbols) - length + 1
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
     for at in range(0, max(total, 0), CHUNK_WINDOWS):
         n_windows = min(CHUNK_WINDOWS, total - at)
         own = symbols[at : at + n_windows + length - 1]
@@ -208,7 +209,7 @@ def find_units(symbols: np.ndarray, first: np.ndarray, ids: np.ndarray, kind: Ki
             have *= 2
         if have < width:
             least = np.minimum(least[: have - width], least[width - have :])
-        doc = np.searchsorted(first, np.arange(at, at + n_windows), side="right") - 1
+        doc = owner[at : at + n_windows]
         inside = np.arange(at, at + n_windows) + length <= first[doc + 1]
         new = np.empty(n_windows, bool)
         new[0] = True
@@ -569,7 +570,7 @@ def remove_repeats(
                 yield pa.RecordBatch.from_pylist(out, _RESULT)
 
     seeds = groups.repartition(tasks, "part").mapInArrow(
-        emit_seeds, "bucket int, part long, seeds binary, rest binary"
+        tidy(emit_seeds), "bucket int, part long, seeds binary, rest binary"
     )
     codes = seeds.groupBy("bucket").applyInArrow(settle, "part long, bucket int, codes binary")
     coded = written(
@@ -581,7 +582,7 @@ def remove_repeats(
         "seed-codes",
     )
     pieces = coded.repartition(tasks, "part").mapInArrow(
-        emit_pieces, "bucket int, part long, sizes binary, lows binary, symbols binary"
+        tidy(emit_pieces), "bucket int, part long, sizes binary, lows binary, symbols binary"
     )
     marks = pieces.groupBy("bucket").applyInArrow(
         compare_block, "part long, bucket int, marks binary, n long"
@@ -590,4 +591,4 @@ def remove_repeats(
         marks.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("bucket", "marks", "n"))).alias("marks")),
         "window-marks",
     )
-    return coded.join(marked, "part", "left").repartition(tasks, "part").mapInArrow(finish, RESULT)
+    return coded.join(marked, "part", "left").repartition(tasks, "part").mapInArrow(tidy(finish), RESULT)

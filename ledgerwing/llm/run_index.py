@@ -20,6 +20,8 @@ from .repeats import Kind, remove_repeats
 
 WINDOW_BYTES = 50
 SEED_BYTES = 32
+#: Symbols of nine bits that one 64-bit key holds; a window has as many at least.
+FIRST_SYMBOLS = 7
 
 
 def read_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -27,19 +29,41 @@ def read_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), first
 
 
+class Marks(NamedTuple):
+    """Marked rows as bits, with the number of marks before each word of 64."""
+
+    bits: np.ndarray
+    before: np.ndarray
+
+    @staticmethod
+    def at(rows: np.ndarray, n: int) -> Marks:
+        flags = np.zeros(-(-(n + 1) // 64) * 64, np.uint8)
+        flags[rows] = 1
+        bits = np.packbits(flags, bitorder="little").view("<u8")
+        counts = np.bitwise_count(bits).astype(np.int64)
+        return Marks(bits, np.cumsum(counts) - counts)
+
+    def rank(self, rows: np.ndarray) -> np.ndarray:
+        """Marks at or before each row."""
+        word = rows >> 6
+        upto = np.uint64(2**64 - 1) >> (63 - (rows & 63)).astype(np.uint64)
+        return self.before[word] + np.bitwise_count(self.bits[word] & upto)
+
+
 class RunIndex(NamedTuple):
     run_start: np.ndarray  # first row of each run
+    starts: Marks  # the same as bits
     step: np.ndarray  # row of the preceding symbol less the own row, by run
     sample: np.ndarray  # text position of each run's last row
-    interval: np.ndarray  # first row of each interval of two rows and more
+    intervals: Marks  # first row of each interval of two rows and more
     interval_end: np.ndarray
     least: np.ndarray  # least document of each interval
+    end_rows: np.ndarray  # row of each context's end mark
     rows: int
 
     def previous(self, rows: np.ndarray) -> np.ndarray:
         """Rows of the suffixes that are one symbol longer."""
-        run = np.searchsorted(self.run_start, rows, side="right") - 1
-        return rows + self.step[run]
+        return rows + self.step[self.starts.rank(rows) - 1]
 
     def locate(self, row: int) -> int:
         """Text position of a row: steps to a sampled run end, counted."""
@@ -53,20 +77,21 @@ class RunIndex(NamedTuple):
             steps += 1
 
 
-def suffix_order(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in order, and whether each agrees with the row before in ``length`` symbols.
+def suffix_order(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions by row, rows by position, and whether a row agrees with the one before in ``length`` symbols.
 
-    ``text`` holds ranks; end marks are the least and all different. By prefix
-    doubling, starting with up to three symbols; a rank is the first row of its
-    group, and only groups of several rows are sorted again.
+    ``text`` holds symbols below 512. By prefix doubling, starting with seven
+    symbols; a rank is the first row of its group, and only groups of several rows
+    are sorted again.
     """
-    n = len(text)
-    bits = max(1, int(text.max()).bit_length())
-    depth = max(1, min(3, 64 // bits))
+    n, depth = len(text), FIRST_SYMBOLS
+    if length < depth:
+        raise ValueError(f"windows of fewer than {depth} symbols")
     padded = np.concatenate((text.astype(np.uint64), np.zeros(depth, np.uint64)))
     key = np.zeros(n, np.uint64)
     for i in range(depth):
-        key = (key << np.uint64(bits)) | padded[i : i + n]
+        key = (key << np.uint64(9)) | padded[i : i + n]
+    # What hangs over the end counts as less than any symbol and differs by its length.
     rank = np.zeros(n, np.uint64)
     order = np.empty(n, np.int64)
     rows, place = np.arange(n), np.arange(n)  # the rows that are not settled, and what stands there
@@ -89,33 +114,34 @@ def suffix_order(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
         after = place + depth
         inside = after < n
         key = rank[place] << np.uint64(32)
-        key[inside] |= rank[after[inside]]
+        key[inside] |= rank[after[inside]] + np.uint64(1)
         depth *= 2
     same = np.zeros(n, bool)
     same[1:] = True
     for part in alike:
         ordered = part[order]
         same[1:] &= ordered[1:] == ordered[:-1]
-    return order, same
+    return order, rank.astype(np.int64), same
 
 
 def build(text: np.ndarray, first: np.ndarray, docs: np.ndarray, length: int) -> RunIndex:
-    """Index of the contexts ``text[first[i]:first[i + 1]]`` of documents ``docs[i]``."""
+    """Index of the contexts ``text[first[i]:first[i + 1]]`` of documents ``docs[i]``.
+
+    An end mark is the least symbol; a window never holds one.
+    """
     n_pieces = len(docs)
     sizes = np.diff(first)
     marks = np.cumsum(sizes + 1) - 1
-    ranks = np.empty(len(text) + n_pieces, np.int64)
-    inside = np.ones(len(ranks), bool)
+    inside = np.ones(len(text) + n_pieces, bool)
     inside[marks] = False
-    ranks[marks] = np.arange(n_pieces)
-    ranks[inside] = n_pieces + text.astype(np.int64)
+    symbols = np.ones(len(inside), np.int64)
+    symbols[inside] = text.astype(np.int64) + 2
     piece = np.repeat(np.arange(n_pieces), sizes + 1)
-    order, same = suffix_order(ranks, length)
+    order, row_of, same = suffix_order(symbols, length)
     # Transform: the symbol before each row. A row after an end mark starts a context;
     # nothing steps over it, so it is a run of its own with a sampled position.
-    symbol = np.where(inside, ranks - n_pieces + 1, 0)
-    before = symbol[order - 1]
-    change = before == 0
+    before = symbols[order - 1]
+    change = before == 1
     change[0] = True
     change[1:] |= before[1:] != before[:-1]
     run_start = np.flatnonzero(change)
@@ -135,11 +161,13 @@ def build(text: np.ndarray, first: np.ndarray, docs: np.ndarray, length: int) ->
         least = np.empty(0, np.int64)
     return RunIndex(
         run_start,
+        Marks.at(run_start, len(order)),
         target - run_start,
         order[run_start + run_size - 1],
-        interval,
+        Marks.at(interval, len(order)),
         stop,
         least,
+        row_of[marks],
         len(order),
     )
 
@@ -155,13 +183,13 @@ def mark(text: np.ndarray, first: np.ndarray, docs: np.ndarray, length: int) ->
     at = np.cumsum(counts) - counts
     longest_first = np.argsort(-sizes, kind="stable")
     ordered = -sizes[longest_first]
-    rows = longest_first.copy()  # the row of an end mark is its context's number
+    rows = index.end_rows[longest_first]
     for t in range(1, int(sizes.max()) + 1):
         live = int(np.searchsorted(ordered, -t, side="right"))
         rows = index.previous(rows[:live])
-        if t < length or not len(index.interval):
+        if t < length or not len(index.least):
             continue
-        k = np.searchsorted(index.interval, rows, side="right") - 1
+        k = index.intervals.rank(rows) - 1
         hit = (k >= 0) & (rows < index.interval_end[np.maximum(k, 0)])
         own = longest_first[:live]
         hit &= index.least[np.maximum(k, 0)] < docs[own]
