@@ -196,8 +196,12 @@ class Layout(NamedTuple):
 
 
 def wide_bits(text: bytes, shingle: int, words: int) -> tuple[int, np.ndarray]:
-    """A hash of the folded words, and ``64 * words`` fingerprint bits."""
-    digests = np.frombuffer(shingle_digests(text, shingle), ">u8").astype(np.uint64)
+    """A hash of the folded words, and ``64 * words`` fingerprint bits.
+
+    Each different shingle votes once, as it counts once in the Jaccard similarity
+    that ``Layout`` and the verification go by.
+    """
+    digests = np.unique(np.frombuffer(shingle_digests(text, shingle), ">u8").astype(np.uint64))
     whole = xxhash.xxh3_64_intdigest(b" ".join(text.lower().split()), SEED)
     counts = np.zeros(64 * words, np.int64)
     for at in range(0, len(digests), COUNT_ROWS):

@@ -306,6 +306,29 @@ def test_near_copies_keep_one_of_each(spark):
     assert simhash.keep_one_of_each(docs.limit(0)).count() == 0
 
 
+def test_near_copies_equal_brute_force_with_repeated_lines(spark):
+    rng = random.Random(12)
+    footer = " ".join(f"foot{i}" for i in range(8))
+    rows, sets = [], {}
+    for i in range(40):
+        words = [f"v{rng.randint(0, 10**6)}" for _ in range(150)]
+        near = list(words)
+        for at in rng.sample(range(150), i % 4):  # similarities from 0.7 to 1
+            near[at] = "changed"
+        copies = (" ".join(words), " ".join(near) + (" " + footer) * (i % 12))
+        rows += [(2 * i + k, t) for k, t in enumerate(copies)]
+    rows += [(1000, ("menu home about " + footer + " ") * 30), (1001, ("menu home about " + footer + " ") * 9)]
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {" ".join(w[a : a + 5]) for a in range(len(w) - 4)}
+    alike = {a for a in sets if a % 2 == 0 and len(sets[a] & sets[a + 1]) >= 0.8 * len(sets[a] | sets[a + 1])}
+    docs = spark.createDataFrame([(i, t, "", "", 0, "", 0, 0) for i, t in rows], DOCS)
+    group = {r.doc_id: r.group for r in simhash.near_copies(docs).collect()}
+    assert 1000 in alike and 20 < len(alike) < 41
+    assert {a for a in sets if a % 2 == 0 and group[a] == group[a + 1]} == alike
+    assert len(set(group.values())) == len(group) - len(alike)
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
