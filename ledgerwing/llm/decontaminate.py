@@ -4,7 +4,11 @@ A mask picks some of the words under it and ignores the others, so a passage
 whose words were partly replaced still has the seeds of its test item wherever
 the replaced words fall on ignored places. Seeds of the benchmark and of the
 documents are joined by hash, and every hit is verified along its diagonal: the
-overlap is extended in both directions over equal and replaced words.
+overlap is extended in both directions over equal and replaced words, and where
+that cuts it short, the longest stretch of the diagonal that is equal enough counts.
+
+Items shorter than ``MIN_WORDS`` must overlap whole, so they have masks of their own
+length, one of which avoids the replaced words wherever they are.
 
 A document is one row whose seeds never leave the scan unless a Bloom filter over
 the benchmark's seeds lets them through. The filter's size follows the number of
@@ -14,8 +18,11 @@ of which the join decides.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
+from fractions import Fraction
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +33,17 @@ from ..session import written
 from .filters import filter_slots, in_filter, seed_filter
 from .tokens import ALNUM, Words, grouped, mix, powers, tidy, words_of
 
-#: Ones are compared, noughts ignored.
-MASKS = ("11101011", "1101001011", "110010100111")
+#: Ones are compared, noughts ignored. Together they meet every stretch of 13 to 24
+#: words of which 80 % are equal, wherever the replaced words are.
+MASKS = ("11101011", "1101001011", "110010100111", "110100010011", "1110111")
 #: Words that an overlap must have, or all of a shorter item, and the share of equal ones.
 MIN_WORDS = 13
 MIN_SHARE = 0.8
 #: Extension stops once the score is this far below its best: 1 per equal word, -2 per other.
 DROP = 6
 
-SEEDS = "h long, item_id long, item_at long"
-ITEMS = "item_id long, item_words binary"
+SEEDS = "h long, item long, item_at long"
+ITEMS = "item long, item_id long, item_words binary"
 SEGMENTS = "segment long, key long, doc_id long, at long, words binary, h array<long>, h_at array<long>"
 OVERLAPS = (
     "key long, doc_id long, item_id long, doc_start long, doc_end long, item_start long, "
@@ -60,18 +68,45 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(h)
 
 
+def short_masks(n: int) -> tuple[str, ...]:
+    """Masks for whole items of ``n < MIN_WORDS`` words: some mask ignores all replaced ones.
+
+    The words are cut into blocks and as many blocks are ignored as words may differ.
+    """
+    differ = n - math.ceil(MIN_SHARE * n)
+    if not differ:
+        return ("1" * n,)
+    # About six words are compared where the item has that many.
+    blocks = 5 if differ > 1 else min(n, math.ceil(n / max(1, n - 6)))
+    block = [i * blocks // n for i in range(n)]
+    return tuple(
+        "".join("0" if b in out else "1" for b in block) for out in combinations(range(blocks), differ)
+    )
+
+
+def masks_of(n: int) -> tuple[str, ...]:
+    """The masks that find an item of ``n`` words."""
+    return MASKS if n >= MIN_WORDS else short_masks(n)
+
+
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``ITEMS``: the words of each row of ``benchmark(item_id, text)``; empty ones are left out."""
+    """``ITEMS``: the words of each row of ``benchmark(item_id, text)``; empty ones are left out.
+
+    ``item`` names the row by its id and text, as ids may be NULL or repeated.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w = word_hashes(batch.column("text").to_pylist())
             rows = [w.hash[a:b].tobytes() for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.array(rows, pa.binary())], ["item_id", "item_words"]
+                [batch.column("item"), batch.column("item_id"), pa.array(rows, pa.binary())],
+                ["item", "item_id", "item_words"],
             )
 
-    source = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    source = benchmark.select(
+        F.xxhash64("item_id", "text").alias("item"), F.col("item_id").cast("long").alias("item_id"), "text"
+    ).dropDuplicates(["item"])
     return written(source.mapInArrow(run, ITEMS).where("length(item_words) > 0"), "items")
 
 
@@ -79,18 +114,19 @@ def item_seeds(items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                seeds = [seed_hashes(np.frombuffer(words, np.uint64), m) for m in MASKS]
+                words = np.frombuffer(words, np.uint64)
+                seeds = [seed_hashes(words, m) for m in masks_of(len(words))]
                 h = np.concatenate(seeds).view(np.int64)
                 at = np.concatenate([np.arange(len(s)) for s in seeds])
                 yield pa.RecordBatch.from_pydict(
-                    {"h": h, "item_id": pa.array([item] * len(h), pa.int64()), "item_at": at}
+                    {"h": h, "item": pa.array([item] * len(h), pa.int64()), "item_at": at}
                 )
 
-    return written(items.mapInArrow(run, SEEDS), "seeds")
+    return written(items.select("item", "item_words").mapInArrow(run, SEEDS), "seeds")
 
 
-def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int) -> DataFrame:
-    """``SEGMENTS``: seeds that pass the filter, with ``reach`` words around them.
+def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int, masks: tuple[str, ...]) -> DataFrame:
+    """``SEGMENTS``: seeds of ``masks`` that pass the filter, with ``reach`` words around them.
 
     ``key`` names the row by its id and text. Hits whose surroundings touch are one
     segment, so a segment holds each word once.
@@ -98,7 +134,7 @@ def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int) -> DataFr
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(table)
     bits = len(table) * 64
-    longest = max(len(m) for m in MASKS)
+    longest = max((len(m) for m in masks), default=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -109,7 +145,7 @@ def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int) -> DataFr
             for lo, hi in grouped(raw):
                 w = words_of(raw[lo:hi], ALNUM)
                 places, hashes = [], []
-                for mask in MASKS:
+                for mask in masks:
                     h = seed_hashes(w.hash, mask)
                     one, two = filter_slots(h, bits)
                     at = np.flatnonzero(in_filter(known, one))
@@ -118,6 +154,8 @@ def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int) -> DataFr
                     at = at[at + len(mask) <= w.first[text + 1]]
                     places.append(at)
                     hashes.append(h[at])
+                if not places:
+                    continue
                 at, h = np.concatenate(places), np.concatenate(hashes).view(np.int64)
                 if not len(at):
                     continue
@@ -172,8 +210,33 @@ def extend(same: np.ndarray, at: int) -> tuple[int, int]:
     return at - reach(same[:at][::-1]), at + reach(same[at:])
 
 
+def stretch(same: np.ndarray, least: int) -> tuple[int, int] | None:
+    """The longest range of ``least`` or more words that is equal enough, without replaced ends if it can."""
+    # A range is equal enough if this sum does not fall over it (whole numbers for MIN_SHARE).
+    part = Fraction(MIN_SHARE).limit_denominator(100)
+    step = np.where(same, part.denominator - part.numerator, -part.numerator)
+    total = np.concatenate(([0], np.cumsum(step)))
+    # The longest range starts where the sum is lower than ever before.
+    starts = np.flatnonzero(total < np.concatenate(([total[0] + 1], np.minimum.accumulate(total)[:-1])))
+    tail = np.maximum.accumulate(total[::-1])[::-1]  # not increasing
+    ends = len(total) - 1 - np.searchsorted(tail[::-1], total[starts])
+    best = int((ends - starts).argmax())
+    a, b = int(starts[best]), int(ends[best])
+    if b - a < least:
+        return None
+    while b - a > least and not same[b - 1]:
+        b -= 1
+    while b - a > least and not same[a]:
+        a += 1
+    return a, b
+
+
 def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Overlaps along the diagonals of the hits, that are long and equal enough."""
+    """Overlaps along the diagonals of the hits, that are long and equal enough.
+
+    ``extend`` gives the range, unless that is too short or unequal: then the whole
+    diagonal is judged.
+    """
     names = [f.split()[0] for f in OVERLAPS.split(", ")]
     for batch in batches:
         out: dict[str, list] = {n: [] for n in names}
@@ -182,9 +245,14 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w, o = np.frombuffer(words, np.uint64), np.frombuffer(other, np.uint64)
             lo, hi = max(0, diagonal), min(len(w), diagonal + len(o))
             same = w[lo:hi] == o[lo - diagonal : hi - diagonal]
+            least = min(MIN_WORDS, len(o))
             a, b = extend(same, hit - lo)
             n, equal = b - a, int(same[a:b].sum())
-            if n >= min(MIN_WORDS, len(o)) and equal >= MIN_SHARE * n:
+            if n < least or equal < MIN_SHARE * n:
+                enough = same.sum() >= MIN_SHARE * least
+                a, b = (stretch(same, least) if enough else None) or (0, 0)
+                n, equal = b - a, int(same[a:b].sum())
+            if n:
                 values = (key, doc, item, at + lo + a, at + lo + b, lo + a - diagonal, n, equal, equal / n)
                 for name, value in zip(names, values, strict=True):
                     out[name].append(value)
@@ -196,19 +264,21 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``OVERLAPS``: one row per row of ``docs(doc_id, text)`` and item that it contains.
 
-    The longest overlap of each is kept. Items shorter than the shortest mask have
-    no seed and cannot be found; NULL and empty texts overlap nothing. ``key`` tells
+    The longest overlap of each is kept. Items of less than ``MIN_WORDS`` words are
+    found whole, down to one word; NULL and empty texts overlap nothing. ``key`` tells
     rows of equal ``doc_id`` apart by their text; rows equal in both are one here.
     """
     items = benchmark_items(benchmark)
     seeds = item_seeds(items)
-    reach = items.agg(F.max(F.length("item_words"))).first()[0]
-    segments = candidate_segments(docs, seed_filter(seeds), (reach or 0) // 8)
+    n = (F.length("item_words") / 8).cast("int")
+    reach, lengths = items.agg(F.max(n), F.collect_set(F.least(n, F.lit(MIN_WORDS)))).first()
+    masks = tuple(dict.fromkeys(m for k in sorted(lengths) for m in masks_of(k)))
+    segments = candidate_segments(docs, seed_filter(seeds), reach or 0, masks)
     # Hits on one diagonal of a segment are verified once, from the first of them.
     hits = (
         segments.select("segment", F.inline(F.arrays_zip("h", "h_at")))
         .join(seeds, "h")
-        .groupBy("segment", "item_id", (F.col("h_at") - F.col("item_at")).alias("diagonal"))
+        .groupBy("segment", "item", (F.col("h_at") - F.col("item_at")).alias("diagonal"))
         .agg(F.array_sort(F.collect_set("h_at")).alias("places"))
     )
     # A long diagonal may hold several overlaps: one start per run of hits.
@@ -217,9 +287,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         lambda x, i: (i == 0) | (x - F.col("places")[F.greatest(i - 1, F.lit(0))] > 2),
     )
     pairs = (
-        hits.select("segment", "item_id", "diagonal", F.explode(starts).alias("hit"))
+        hits.select("segment", "item", "diagonal", F.explode(starts).alias("hit"))
         .join(segments.select("segment", "key", "doc_id", "at", "words"), "segment")
-        .join(items, "item_id")
+        .join(items, "item")
         .select("key", "doc_id", "item_id", "at", "words", "item_words", "hit", "diagonal")
     )
     found = pairs.mapInArrow(verify, OVERLAPS)

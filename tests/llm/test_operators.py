@@ -123,6 +123,43 @@ def test_leaks_with_replaced_words(spark):
     assert decontaminate.remove_contaminated(docs, none).count() == 7
 
 
+def test_leaks_of_all_lengths_and_places(spark):
+    rng = random.Random(4)
+    wanted, docs, bench = {}, [], []
+    for item, n in enumerate([1, 2, 4, 5, 6, 8, 9, 10, 12, 13, 15, 17, 20] * 3):
+        words = [f"i{item}w{k}" for k in range(n)]
+        bench.append((None if item % 13 == 9 else item % 30, " ".join(words)))
+        for differ in range(n // 5 + 2):
+            swaps = [rng.sample(range(n), min(n, differ)) for _ in range(4)]
+            swaps += [list(range(differ)), list(range(n - differ, n))] if differ <= n else []
+            for at in swaps:
+                own = [f"other{k}" if k in at else w for k, w in enumerate(words)]
+                same = [k not in at for k in range(n)]
+                sizes = range(min(13, n), n + 1)
+                leak = any(sum(same[a : a + z]) >= 0.8 * z for z in sizes for a in range(n - z + 1))
+                wanted[len(docs)] = leak
+                docs.append((len(docs), prose(rng, 12) + " " + " ".join(own) + " " + prose(rng, 12)))
+    docs = spark.createDataFrame([(i, t, "", "", 0, "", 0, 0) for i, t in docs], DOCS)
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    found = decontaminate.overlaps(docs, bench).collect()
+    assert {r.doc_id for r in found} == {i for i, leak in wanted.items() if leak}
+    assert any(r.item_id is None for r in found)
+    assert all(r.n_same >= 0.8 * r.n_words and r.share == r.n_same / r.n_words for r in found)
+
+
+@settings(deadline=None)
+@given(st.lists(st.booleans(), min_size=1, max_size=30), st.integers(1, 14))
+def test_stretch_is_the_longest(same, least):
+    ranges = [(a, b) for a in range(len(same)) for b in range(a + least, len(same) + 1)]
+    good = [(a, b) for a, b in ranges if sum(same[a:b]) >= 0.8 * (b - a)]
+    got = decontaminate.stretch(np.array(same), least)
+    assert (got is None) == (not good)
+    if got:
+        size = max(b - a for a, b in good)
+        longest = [(a, b) for a, b in good if b - a == size and a <= got[0] and got[1] <= b]
+        assert got in good and sum(same[slice(*got)]) in {sum(same[a:b]) for a, b in longest}
+
+
 # --- 3 and 6: repeats ------------------------------------------------------------
 def _removed_by_brute_force(rows, split, length):
     ordered = [(i if i is not None else 2**63, split(t)) for i, t in rows]
