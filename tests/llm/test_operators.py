@@ -506,3 +506,38 @@ def test_trees_learn_rewritten_numbers():
     trees = pii.fit_trees(np.array([x for x, _ in rows], float), np.array([y for _, y in rows]))
     base, every = pii.select_spans("please call me at (504) 555-2652 today, order 93847561x", trees)
     assert base == [] and [(s.kind, s.start, s.end) for s in every] == [(pii.PHONE, 18, 32)]
+
+
+def test_trees_add_forms_that_are_frequent_in_the_corpus():
+    """Natural forms in most texts must not count against themselves."""
+    rng = random.Random(9)
+
+    def luhn_digits(n):
+        body = "".join(rng.choice("123456789") for _ in range(n - 1))
+        return next(body + d for d in "0123456789" if _luhn(body + d))
+
+    def wrong(digits):
+        return digits[:-1] + str((int(digits[-1]) + 1) % 10)
+
+    def part():
+        return rng.randint(0, 255)
+
+    rows = []
+    for k in range(600):
+        number = f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+        card = luhn_digits(16)
+        strict = [f"+1 {number}", f"u{k}@site{k % 7}.org", " ".join(card[i : i + 4] for i in (0, 4, 8, 12))]
+        strict.append(f"{part()}.{part()}.{part()}.{part()}")
+        natural = [number, f"u{k} [at] site{k % 7}.org", luhn_digits(15), f"{part()} . {part()} . {part()} . {part()}"]
+        none = [f"20{k % 30:02}-0{1 + k % 9}-1{k % 10}", wrong(luhn_digits(15)), f"{300 + k % 600}.{part()}.{part()}.{part()}"]
+        none += [f"{rng.randint(10, 99)}.{rng.randint(10**6, 10**7)}"]
+        rows += pii.labelled("; ".join(f"reach us via {x} today" for x in strict + natural + none))
+    mix = rng.sample(range(len(rows)), len(rows))
+    trees = pii.fit_trees(np.array([rows[i][0] for i in mix], float), np.array([rows[i][1] for i in mix]))
+    wanted = {"(504) 555-2652": "phone", "jane [at] doe.org": "email", "371449635398431": "card", "10 . 0 . 17 . 4": "ip"}
+    for form, kind in wanted.items():
+        text = f"reach us via {form} today"
+        assert kind in pii.spans_text(pii.select_spans(text, trees)[1]), form
+    for form in ("2019-04-13", "371449635398432", "10.5552652", "700.0.17.4"):
+        assert "card" not in (got := pii.spans_text(pii.select_spans(f"reach us via {form} today", trees)[1])), form
+        assert "ip" not in got and ("phone" not in got or form == "371449635398432"), form
