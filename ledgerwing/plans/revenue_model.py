@@ -6,7 +6,9 @@ import random
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.metrics import roc_auc
 from ..operators.ranked import exact_quantile
+from ..session import written
 
 # --- Fixed values ---------------------------------------------------------------
 LANGUAGE_FEATURES = (
@@ -254,20 +257,25 @@ def sample_grid(trials: int = TRIALS, seed: int = SEED) -> list[dict]:
 
 
 def tune(
-    fit: DataFrame, validation: DataFrame, columns: Sequence[str], grid: Sequence[Mapping]
+    fit: DataFrame, validation: DataFrame, columns: Sequence[str], grid: Sequence[Mapping],
+    parallelism: int = 4,
 ) -> tuple[dict, list[tuple[dict, float]]]:
-    """Best tree settings by AUC on the fixed validation years.
+    """Best tree settings by AUC on the fixed validation years, results in the grid's order.
 
-    Each fit is a distributed job; only one AUC per trial reaches the driver.
+    Each fit is a distributed job, ``parallelism`` of them at a time; only one AUC per
+    trial reaches the driver. Both tables are written once, as every trial reads them.
     """
-    rows = _labelled(align_columns(fit, columns))
+    rows = written(_labelled(align_columns(fit, columns)), "tune-fit")
+    held = written(validation.where(F.col("label").isNotNull()), "tune-validation")
     scaling = fit_scaling(rows, columns)
-    results: list[tuple[dict, float]] = []
-    for params in grid:
+
+    def trial(params: Mapping) -> tuple[dict, float]:
         model = _fit_trees(rows, columns, scaling, params)
-        scored = model.score(validation.where(F.col("label").isNotNull()))
-        auc = roc_auc(scored, label="label").first()["auc"]
-        results.append((dict(params), float(auc) if auc is not None else 0.5))
+        auc = roc_auc(model.score(held), label="label").first()["auc"]
+        return dict(params), float(auc) if auc is not None else 0.5
+
+    with ThreadPool(parallelism) as pool:
+        results = pool.map(inheritable_thread_target(fit.sparkSession)(trial), grid, chunksize=1)
     best = max(results, key=lambda r: r[1])
     return best[0], results
 

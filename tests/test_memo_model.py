@@ -9,6 +9,7 @@ from ledgerwing.operators import quality as q
 from ledgerwing.operators.metrics import roc_auc
 from ledgerwing.plans import memo_checks as mc
 from ledgerwing.plans import revenue_model as rm
+from ledgerwing.queries import QUERIES
 from ledgerwing.queries.quality_loads import RULES
 
 
@@ -115,3 +116,17 @@ def test_tuning_picks_the_best_trial(spark):
     best, results = rm.tune(fit, held, ["revenue", "revenue_growth_1y"], grid)
     assert best in grid and len(results) == 2 and rm.sample_grid(3) == rm.sample_grid(3)
     assert len(rm.sample_grid()) == 40
+
+
+def test_registered_tuning_runs_the_whole_grid(spark, monkeypatch):
+    ran = []
+
+    class Scored:
+        def score(self, df):
+            return df.withColumn("predicted_score", F.lit(0.5))
+
+    monkeypatch.setattr(rm, "_fit_trees", lambda rows, columns, scaling, params: ran.append(params) or Scored())
+    rows = QUERIES["tune"](spark, "/root/testdata/sf0.001").orderBy("trial").collect()
+    grid = rm.sample_grid()
+    assert sorted(map(repr, ran)) == sorted(map(repr, grid))
+    assert [(r.step_size, r.max_depth) for r in rows] == [(g["stepSize"], g["maxDepth"]) for g in grid]
