@@ -44,7 +44,7 @@ RECORDS = (
 )
 
 
-def _store(uri: str) -> tuple[fs.FileSystem, str]:
+def store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
@@ -157,7 +157,7 @@ def write_archives(records: DataFrame, folder: str, date: str = "1970-01-01T00:0
     source = records.withColumn("key", url_key(F.col("url")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        store, root = store(folder)
         out, path, at = None, "", 0
         for batch in batches:
             rows = {"key": [], "file": [], "offset": [], "length": []}
@@ -200,7 +200,7 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     ranged = captures.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        store, root = store(folder)
         name, out, at, lines, directory = uuid.uuid4().hex, None, 0, [], []
 
         def flush() -> None:
@@ -252,7 +252,7 @@ def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:
     wanted = keys.select(F.coalesce("key", F.lit("-")).alias("key")).distinct()
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        store, root = store(folder)
         known: dict[str, tuple[list, list, list]] = {}
 
         def directory(shard: str) -> tuple[list, list, list]:
@@ -278,7 +278,7 @@ def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        store, root = store(folder)
         held, lines, line_keys = None, [], []
         for batch in batches:
             out = {"key": [], "file": [], "offset": [], "length": []}
@@ -315,7 +315,7 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        store, root = store(folder)
         archive, name = None, None
         for batch in batches:
             rows, held = [], 0
