@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RECORDS: list[list[str]] = []
+
 
 def build_session(app: str = "ledgerwing", master: str | None = None, **conf: str) -> SparkSession:
     """Create a session with the settings every job here relies on.
@@ -43,7 +48,35 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerwing-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for record in _RECORDS:
+        record.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The scratch folders that are named inside the block, to be dropped when nothing reads them."""
+    record: list[str] = []
+    _RECORDS.append(record)
+    try:
+        yield record
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not record]
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete scratch folders; one that is not there is passed over."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete the folders that tables of :func:`written` lie in; tables without files are left."""
+    for table in tables:
+        found = {re.match(r"(.*-[0-9a-f]{32})/", f) for f in table.inputFiles()}
+        drop_folders(table.sparkSession, sorted({m[1] for m in found if m}))
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -56,3 +89,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def file_stamp(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Names, sizes and times of a table's files, from the file system's listing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
