@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import drop_written, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -48,12 +48,15 @@ def components(links: DataFrame) -> DataFrame:
                 )
             ).alias("o")
         )
+        old = parents
         parents = written(
             offers.select("o.*").groupBy("node").agg(F.min("parent").alias("parent")), "parents"
         )
+        drop_written(old, lifted)
         before, total = total, _total(parents)
         if total == before:
             break
+    drop_written(edges)
     return parents.select("node", F.col("parent").alias("root"))
 
 

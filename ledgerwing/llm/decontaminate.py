@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .filters import filter_slots, in_filter, seed_filter
-from .tokens import ALNUM, Words, grouped, mix, powers, tidy, words_of
+from .tokens import ALNUM, Words, grouped, mix, powers, tidy, unused, words_of
 
 #: Ones are compared, noughts ignored. Together they meet every stretch of 13 to 24
 #: words of which 80 % are equal, wherever the replaced words are.
@@ -274,12 +274,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     reach, lengths = items.agg(F.max(n), F.collect_set(F.least(n, F.lit(MIN_WORDS)))).first()
     masks = tuple(dict.fromkeys(m for k in sorted(lengths) for m in masks_of(k)))
     segments = candidate_segments(docs, seed_filter(seeds), reach or 0, masks)
-    # Hits on one diagonal of a segment are verified once, from the first of them.
-    hits = (
+    # Hits on one diagonal of a segment are verified once, from the first of them. They are
+    # few and narrow; as a table of known size they need no shuffle of the words behind.
+    hits = written(
         segments.select("segment", F.inline(F.arrays_zip("h", "h_at")))
         .join(seeds, "h")
         .groupBy("segment", "item", (F.col("h_at") - F.col("item_at")).alias("diagonal"))
-        .agg(F.array_sort(F.collect_set("h_at")).alias("places"))
+        .agg(F.array_sort(F.collect_set("h_at")).alias("places")),
+        "seed-hits",
     )
     # A long diagonal may hold several overlaps: one start per run of hits.
     starts = F.filter(
@@ -305,6 +307,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that overlap an item."""
-    found = written(overlaps(docs, benchmark).select(F.col("key").alias("_key")).distinct(), "leaks")
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(found, "_key", "left_anti").drop("_key")
+    """``docs`` without the rows that overlap an item, all columns as they are.
+
+    A row goes if it has both the id and the hash of a row that was found.
+    """
+    key = unused("key", docs.columns)
+    found = overlaps(docs, benchmark).select(F.col("key").alias("leak"), F.col("doc_id").alias("leak_id"))
+    found = written(found.distinct(), "leaks")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    same = (keyed[key] == found["leak"]) & keyed["doc_id"].cast("long").eqNullSafe(found["leak_id"])
+    return keyed.join(found, same, "left_anti").drop(key)

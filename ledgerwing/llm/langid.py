@@ -20,12 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .tokens import tidy
+from .tokens import tidy, unused
 
 #: Labelled rows per language that the machines are fitted on.
 SAMPLE_PER_LANG = 500
-#: More distinct labels than this are an error, as every pair has a machine.
-MAX_LANGS = 256
+#: Labels that are learned, those with the most labelled rows, as every pair has a machine.
+MAX_LANGS = 64
+#: Labelled rows that scores are calibrated on.
+CALIBRATION_ROWS = 2000
 UNDETERMINED = "und"
 #: Trigram buckets as a power of two.
 BUCKET_BITS = 13
@@ -138,7 +140,8 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     Per language the rows with the smallest ``doc_id`` hashes are taken,
     ``sample_per_lang`` at most; held-out rows and rows without an id, a text or a
     label are not. The choice is made on narrow columns and limited per task before
-    it is shuffled; repeated ids count once.
+    it is shuffled; repeated ids count once. The ``MAX_LANGS`` labels with the most rows
+    are learned, of equally frequent ones the first by name.
     """
     spark = docs.sparkSession
     usable = docs.select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("h")).where(
@@ -148,17 +151,17 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
         & ~held_out(F.col("doc_id"))
     )
     by_hash = Window.partitionBy("lang").orderBy("h")
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    frequent = [r.lang for r in counts.limit(MAX_LANGS).collect()]
     cuts = (
         usable.select("lang", "h")
+        .where(F.col("lang").isin(frequent))
         .withColumn("n", F.row_number().over(by_hash))
         .where(F.col("n") <= sample_per_lang)
         .groupBy("lang")
         .agg(F.max("h").alias("last"))
-        .limit(MAX_LANGS + 1)
         .collect()
     )
-    if len(cuts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} distinct labels")
     langs = tuple(sorted(r.lang for r in cuts))
     pairs = _pairs(langs)
     if not pairs:
@@ -294,13 +297,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     text if nothing was learned. Repeated rows come out repeated. Columns of these
     names that ``docs`` has already are replaced.
     """
-    source = docs.drop("lang_pred", "score").withColumn("_bytes", F.col("text").cast("binary"))
-    kept = [f for f in source.schema.fields if f.name != "_bytes"]
+    docs = docs.drop("lang_pred", "score")
+    body = unused("text_bytes", docs.columns)
+    source = docs.withColumn(body, F.col("text").cast("binary"))
+    kept = docs.schema.fields
     schema = StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
-            texts = [t or b"" for t in batch.column("_bytes").to_pylist()]
+            texts = [t or b"" for t in batch.column(body).to_pylist()]
             known = [i for i, t in enumerate(texts) if t and has_letter(t)] if model.langs else []
             langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             if known:
@@ -318,3 +325,41 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     return source.mapInArrow(tidy(run), schema)
+
+
+class Limits(NamedTuple):
+    """What a text must reach for its language to count as told."""
+
+    score: float
+    letters: float
+
+
+def letter_share(text: Column) -> Column:
+    """Share of letters among the characters that are no white space; NULL for texts without any."""
+    solid = F.regexp_replace(text, r"\s", "")
+    letters = F.length(F.regexp_replace(solid, r"\P{L}", ""))
+    return letters / F.nullif(F.length(solid), F.lit(0))
+
+
+def calibrate(docs: DataFrame, model: Model, rows: int = CALIBRATION_ROWS) -> Limits:
+    """Half of what nearly all labelled rows reach that were not learned from.
+
+    Of the held-out rows with a learned label, the ``rows`` with the smallest ``doc_id`` hashes are
+    predicted; all but the lowest two in a thousand set the limits. Without such rows nothing is asked for.
+    """
+    labelled = docs.where(held_out(F.col("doc_id")) & F.col("lang").isin(list(model.langs)))
+    chosen = labelled.select("text", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(rows)
+    told = predict(chosen, model).where(F.col("lang_pred") != UNDETERMINED)
+    low = told.agg(*[F.percentile(c, 0.002).alias(n) for n, c in (("s", F.col("score")), ("l", letter_share(F.col("text"))))]).first()
+    if low.s is None:
+        return Limits(0.0, 0.0)
+    return Limits(low.s / 2, (low.l or 0.0) / 2)
+
+
+def told(docs: DataFrame, model: Model, limits: Limits) -> DataFrame:
+    """The rows of :func:`predict` whose language can be told.
+
+    Rejected are texts without a letter, with a score below the limit, or in which too few characters are letters.
+    """
+    found = predict(docs, model).where(F.col("lang_pred") != UNDETERMINED)
+    return found.where((F.col("score") >= limits.score) & (letter_share(F.col("text")) >= limits.letters))

@@ -13,22 +13,22 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from itertools import combinations
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import written
+from ..session import drop_written, written
 from .components import components
-from .filters import filter_slots, in_filter, seed_filter
-from .tokens import BASE, mix, tidy
+from .tokens import tidy, unused
 
 BITS = 64
 SEED = 42
+#: Ball members that one task enumerates, on average.
+BALLS_PER_TASK = 1 << 19
 #: Shingles whose bits are counted at a time.
 COUNT_ROWS = 1 << 15
 
@@ -120,7 +120,10 @@ def near_links(fps: DataFrame, radius: int = 2, segments: int = 2) -> DataFrame:
         flips = [sum(1 << i for i in c) for n in range(share + 1) for c in combinations(range(width), n)]
         own.append(F.struct(F.lit(k).alias("k"), value.alias("v")))
         ball.append(_ball(k, value, flips))
-    nodes = fps.select("fp").distinct()
+    nodes = written(fps.select("fp").distinct(), "nodes")
+    # The enumerated balls are many times the nodes, so the tasks are counted by them.
+    n_balls = nodes.count() * sum(math.comb(width, n) for s in segment_shares(radius, segments) for n in range(s + 1))
+    nodes = nodes.repartition(max(1, -(-n_balls // BALLS_PER_TASK)), "fp")
     table = nodes.select(F.col("fp").alias("b"), F.inline(F.array(*own)))
     probes = nodes.select(F.col("fp").alias("a"), F.inline(F.concat(*ball)))
     return (
@@ -154,258 +157,37 @@ def hex_of(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), BITS // 4, "0")
 
 
-# Near copies at a word-shingle similarity: wide fingerprints, many segments.
-
-#: Chance that a pair of exactly the wanted similarity shares no ball in any segment.
-MISSED = 0.02
-MIN_WIDTH = 16
-
-
-def differing_share(similarity: float) -> float:
-    """Expected share of differing bits of two texts of equal length and this Jaccard similarity."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-class Layout(NamedTuple):
-    """Segments of a wide fingerprint, each looked up with its ball of radius 1.
-
-    A segment has about as many values as there are texts, so a look-up meets a
-    bounded number of unrelated ones; the number of segments follows from the
-    chance to miss a pair. ``most`` is the largest distance that is verified further:
-    the expected one at the similarity and three standard deviations.
-    """
-
-    width: int
-    segments: int
-    most: int
-    check: int  # the same for the first 64 bits, with four deviations
-
-    @staticmethod
-    def of(texts: int, similarity: float) -> Layout:
-        width = max(MIN_WIDTH, math.ceil(math.log2(max(texts, 2))))
-        p = differing_share(similarity)
-        near = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
-        segments = math.ceil(math.log(MISSED) / math.log(1 - near))
-        bits = width * segments
-        most = bits * p + 3 * math.sqrt(bits * p * (1 - p))
-        return Layout(width, segments, int(most), int(64 * p + 4 * math.sqrt(64 * p * (1 - p))))
-
-    @property
-    def words(self) -> int:
-        return -(-self.width * self.segments // 64)
-
+def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, segments: int = 2) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest ``doc_id``.
 
-def wide_bits(text: bytes, shingle: int, words: int) -> tuple[int, np.ndarray]:
-    """A hash of the folded words, and ``64 * words`` fingerprint bits.
+    Groups are the components of :func:`near_groups`: rows whose fingerprints differ in
+    at most ``radius`` bits, directly or over others; NULL and word-free texts have
+    fingerprint zero like any other. Rows without an id come last; among rows of one id the
+    text decides, among equal rows any one stays. Columns stay, whatever their names.
 
-    Each different shingle votes once, as it counts once in the Jaccard similarity
-    that ``Layout`` and the verification go by.
+    Rows are told apart by a number that is written with them, not by a hash of theirs.
     """
-    digests = np.unique(np.frombuffer(shingle_digests(text, shingle), ">u8").astype(np.uint64))
-    whole = xxhash.xxh3_64_intdigest(b" ".join(text.lower().split()), SEED)
-    counts = np.zeros(64 * words, np.int64)
-    for at in range(0, len(digests), COUNT_ROWS):
-        own = digests[at : at + COUNT_ROWS]
-        for w in range(words):
-            mixed = mix(own ^ np.uint64((w * BASE) & (2**64 - 1)))
-            bits = np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1)
-            counts[64 * w : 64 * w + 64] += bits.sum(axis=0, dtype=np.int64)
-    return whole - (1 << 64) if whole >> 63 else whole, 2 * counts > len(digests)
-
-
-def wide_fingerprints(docs: DataFrame, layout: Layout, shingle: int) -> DataFrame:
-    """``(key, doc_id, node, f, segs)`` per row: row key, hash of the words, packed bits, segments."""
-    source = docs.select(
-        F.xxhash64("doc_id", "text").alias("key"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("binary").alias("text"),
-    )
-    weights = 1 << np.arange(layout.width, dtype=np.int64)
+    columns = docs.columns
+    row, fp = unused("row", columns), unused("fp", columns)
+    schema = StructType([*docs.schema.fields, StructField(fp, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, packed, segs = [], [], []
-            for text in batch.column("text"):
-                node, bits = wide_bits(text.as_py() or b"", shingle, layout.words)
-                nodes.append(node)
-                packed.append(np.packbits(bits).view(">i8").astype(np.int64))
-                parts = bits[: layout.width * layout.segments].reshape(layout.segments, -1)
-                segs.append(parts @ weights)
-            lists = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("doc_id"), pa.array(nodes, pa.int64()),
-                 pa.array(packed, lists), pa.array(segs, lists)],
-                ["key", "doc_id", "node", "f", "segs"],
-            )
+            fps = pa.array([fingerprint((t.as_py() or "").encode(), shingle) for t in batch.column("text")], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), fps], schema.names)
 
-    return source.mapInArrow(tidy(run), "key long, doc_id long, node long, f array<long>, segs array<long>")
-
-
-class _Compared(NamedTuple):
-    """What pairs are verified against."""
-
-    docs: DataFrame
-    rows: DataFrame
-    nodes: DataFrame
-    layout: Layout
-    shingle: int
-    similarity: float
-
-
-def shingle_sets(docs: DataFrame, keys: DataFrame, shingle: int) -> DataFrame:
-    """``(node, grams)``: the sorted hashes of the different shingles of the wanted rows.
-
-    ``keys(key, node)`` names one row per node. The scan drops other rows behind a
-    Bloom filter of bounded size, so their texts are never shuffled; the join then
-    decides exactly.
-    """
-    table = seed_filter(keys.select(F.col("key").alias("h")))
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-    bits = 64 * len(table)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-            first = np.unique(key, return_index=True)[1]  # repeated rows count once
-            one, two = filter_slots(key[first], bits)
-            hit = first[in_filter(shared.value, one) & in_filter(shared.value, two)]
-            for lo in range(0, len(hit), 256):
-                at = hit[lo : lo + 256]
-                texts = batch.column("text").take(pa.array(at)).to_pylist()
-                grams = [np.unique(np.frombuffer(shingle_digests(t or b"", shingle), ">u8")) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").take(pa.array(at)),
-                     pa.array([g.astype("<u8").tobytes() for g in grams], pa.binary())],
-                    ["key", "grams"],
-                )
-
-    source = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("binary").alias("text"))
-    found = source.mapInArrow(tidy(run), "key long, grams binary")
-    return keys.join(found, "key").groupBy("node").agg(F.min("grams").alias("grams"))
-
-
-def _similar(similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ga"), batch.column("gb"), strict=True):
-                x, y = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def _verified(pairs: DataFrame, by: _Compared) -> DataFrame:
-    """Pairs ``(a, b)`` of small complete distance whose shingle sets are alike enough."""
-    near = written(_near(pairs, by.nodes, by.layout), "candidate-pairs")
-    ends = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
-    keys = by.rows.join(ends, "node").groupBy("node").agg(F.min("key").alias("key"))
-    sets = written(shingle_sets(by.docs, written(keys, "compared-rows"), by.shingle), "shingle-sets")
-    both = near.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b"
+    numbered = docs.mapInArrow(tidy(run), schema).withColumn(row, F.monotonically_increasing_id())
+    numbered = written(numbered, "numbered")
+    base = numbered.select(
+        F.col("doc_id"), F.col(fp).alias("fp"), F.col(row).alias("row"), F.xxhash64("text").alias("tie")
     )
-    return both.select("a", "b", "ga", "gb").mapInArrow(_similar(by.similarity), "a long, b long")
-
-
-def _near(pairs: DataFrame, nodes: DataFrame, layout: Layout) -> DataFrame:
-    """Pairs ``(a, b)`` whose complete distance is small enough."""
-    distance = sum(
-        (F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(layout.words)), F.lit(0)
-    )
-    return (
-        pairs.join(nodes.select(F.col("node").alias("a"), F.col("f").alias("fa")), "a")
-        .join(nodes.select(F.col("node").alias("b"), F.col("f").alias("fb")), "b")
-        .where(distance <= layout.most * 64 * layout.words // (layout.width * layout.segments))
-        .select("a", "b")
-    )
-
-
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``(key, doc_id, group, rows)``: the group of near copies of every different row.
-
-    Rows of equal ``doc_id`` and text have one ``key`` and are counted in ``rows``;
-    ``group`` is the same for texts that are linked, directly or over others. Texts
-    are equal if their case-folded words are; NULL and word-free texts are equal.
-
-    First every text is compared with one representative per segment value, a
-    number of pairs that is linear in the texts; large families of copies become
-    one component there. Then the balls of all texts are looked up in all tables,
-    and only pairs of different components are put out and verified. A pair is
-    verified by its complete distance and then by the exact Jaccard similarity of
-    its shingle sets. A pair of just the similarity is missed with a chance of
-    ``MISSED``, more alike ones less.
-    """
-    n = docs.count()
-    layout = Layout.of(n, similarity)
-    rows = written(
-        wide_fingerprints(docs, layout, shingle)
-        .groupBy("key")
-        .agg(
-            F.min("doc_id").alias("doc_id"), F.min("node").alias("node"),
-            F.min("f").alias("f"), F.min("segs").alias("segs"), F.count("*").alias("rows"),
-        ),
-        "near-rows",
-    )
-    nodes = written(rows.groupBy("node").agg(F.min("f").alias("f"), F.min("segs").alias("segs")), "near-nodes")
-    entries = nodes.select(
-        "node", F.col("f")[0].alias("c"), F.posexplode("segs").alias("k", "v")
-    ).select((F.col("v") + F.col("k") * (1 << layout.width)).alias("slot"), "node", "c")
-    near = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= layout.check
-    hubs = (
-        entries.groupBy("slot")
-        .agg(F.min(F.struct("node", "c")).alias("hub"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("slot", F.col("hub.node").alias("b"), F.col("hub.c").alias("cb"))
-    )
-    spokes = entries.select("slot", F.col("node").alias("a"), F.col("c").alias("ca"))
-    stars = (
-        spokes.join(written(hubs, "hubs"), "slot")
-        .where((F.col("a") != F.col("b")) & near)
-        .select("a", "b")
-        .distinct()
-    )
-    by = _Compared(docs, rows, nodes, layout, shingle, similarity)
-    first_links = written(_verified(stars, by), "star-links")
-    named = _rooted(nodes.select("node", "f", "segs"), first_links)
-    named = written(named, "first-groups")
-    own = named.select("node", "root", F.col("f")[0].alias("c"), F.posexplode("segs").alias("k", "v"))
-    base = F.col("k") * (1 << layout.width)
-    flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(layout.width)]).cast("array<long>")
-    table = own.select((F.col("v") + base).alias("slot"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("c").alias("cb"))
-    probes = own.select(F.col("node").alias("a"), F.col("root").alias("ra"), F.col("c").alias("ca"), "k", "v", F.explode(flips).alias("x"))
-    probes = probes.select((F.col("v").bitwiseXOR(F.col("x")) + base).alias("slot"), "a", "ra", "ca")
-    across = (
-        probes.join(table, "slot")
-        .where((F.col("ra") < F.col("rb")) & near)
-        .select("a", "b")
-        .distinct()
-    )
-    links = written(_verified(across, by).unionByName(first_links), "near-links")
-    groups = written(_rooted(nodes.select("node"), links).select("node", F.col("root").alias("group")), "near-groups")
-    return rows.join(groups, "node").select("key", "doc_id", "group", "rows")
-
-
-def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    return nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
-def keep_one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the smallest ``doc_id``.
-
-    Rows without an id come last; among rows of one id the text decides. Columns stay.
-    """
-    members = written(near_copies(docs, shingle, similarity), "near-copies")
-    best = members.groupBy("group").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best")
-    )
-    kept = written(
-        best.select(F.col("best.key").alias("_key")).join(members.select(F.col("key").alias("_key"), "rows"), "_key"),
-        "kept",
+    first = written(base.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "distinct")
+    roots = components(near_links(first, radius, segments)).withColumnRenamed("node", "fp")
+    best = (
+        base.join(roots, "fp", "left")
+        .groupBy(F.coalesce("root", "fp").alias("group"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "row")).alias("best"))
     )
-    rows = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(kept.select("_key"), "_key", "left_semi")
-    if kept.where("rows > 1").limit(1).count():
-        one = Window.partitionBy("_key").orderBy(F.lit(0))
-        rows = rows.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-    return rows.drop("_key")
+    kept = written(best.select(F.col("best.row").alias(row)), "kept")
+    drop_written(first)
+    return numbered.join(kept, row, "left_semi").select(columns)

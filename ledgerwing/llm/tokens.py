@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 from typing import NamedTuple
 
@@ -38,6 +38,14 @@ def tidy(run: Callable) -> Callable:
     return wrapped
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """A column name that no column has, whatever its case: the given one or a longer one."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit (in place)."""
     h ^= h >> np.uint64(33)
