@@ -5,7 +5,7 @@ in a random order and get random levels; on each level a node is linked to a
 diverse choice of its nearest predecessors, and links are made mutual and pruned
 to a fixed degree, so a level is one flat array of neighbour numbers. Because a
 shard is bounded, predecessors are found by blocked matrix products instead of a
-search in the half-built graph. A block of queries walks a shard in lockstep:
+search in the half-built graph. Blocks of queries are streamed past a shard, each in lockstep:
 greedily down the upper levels, then with a beam on the lowest, and the shards'
 results are merged.
 """
@@ -18,10 +18,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import scratch_dir, written
+from .tokens import tidy
+from .warc import store_of
 
 #: Different vectors in a shard, on average, and queries in a block.
 SHARD_ROWS = 4096
@@ -248,71 +251,71 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
     return written(dealt.groupBy("shard").applyInArrow(make, INDEX), "graphs")
 
 
-def query_blocks(queries: DataFrame, rows: int = QUERY_ROWS) -> DataFrame:
-    """``(block, query_ids, queries)``: queries dealt to blocks of about ``rows``."""
-    blocks = max(1, math.ceil(queries.count() / rows))
+#: Scores are told apart to so many places, so that parallel vectors tie.
+SCORE_DIGITS = 12
 
-    def pack(table: pa.Table) -> pa.Table:
-        v = np.stack([np.asarray(x) for x in table["embedding"].to_pylist()])
-        return pa.table(
-            {
-                "block": table["block"].slice(0, 1),
-                "query_ids": [table["vec_id"].to_numpy().astype(np.int64).tobytes()],
-                "queries": [v.astype(np.float64).tobytes()],
-            }
-        )
 
-    dealt = queries.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
-        F.col("vec_id").cast("long").alias("vec_id"),
-        "embedding",
-    )
-    return written(
-        dealt.groupBy("block").applyInArrow(pack, "block int, query_ids binary, queries binary"),
-        "query-blocks",
-    )
+def _query_blocks(path: str, rows: int = QUERY_ROWS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of the queries of a written table, a block at a time."""
+    files, where = store_of(path)
+    table = ds.dataset(where, filesystem=files, format="parquet")
+    for batch in table.to_batches(columns=["vec_id", "embedding"], batch_size=rows, use_threads=False):
+        if len(batch):
+            flat = batch["embedding"].flatten().to_numpy(zero_copy_only=False)
+            yield batch["vec_id"].to_numpy(), flat.reshape(len(batch), -1)
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Graph, np.ndarray, np.ndarray]]:
+    """Graph, ids and vectors of each shard row, one at a time."""
+    for batch in batches:
+        for i in range(len(batch)):
+            row = batch.slice(i, 1).to_pylist()[0]
+            n = row["n"]
+            ids = np.frombuffer(row["ids"], np.int64).reshape(n, -1)
+            v = np.frombuffer(row["vectors"], np.float64).reshape(n, -1)
+            links = [np.frombuffer(x, np.int32) for x in row["levels"]]
+            members = [np.frombuffer(x, np.int64) for x in row["members"]]
+            yield Graph(unit(v), members, [x.reshape(len(m), -1) for x, m in zip(links, members, strict=True)]), ids, v
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, beam: int = SEARCH_BEAM) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query's ``k`` nearest found, by cosine.
 
     ``vectors`` and ``queries`` have ``vec_id`` and ``embedding``; a query's own id is
-    no candidate, ties go to the smaller id. Scores are cosines of the original
-    vectors in double precision. Unusable rows (see :func:`usable`) take no part;
-    no usable vectors or queries give no rows; a repeated id counts once per row.
+    no candidate. Scores are cosines of the original vectors in double precision; equal
+    ones, to ``SCORE_DIGITS`` places, go to the smaller id. Unusable rows (see :func:`usable`)
+    take no part; no usable vectors or queries give no rows; a repeated id counts once per row.
+
+    A shard is opened once, by one task, and all blocks of queries are streamed past it
+    from the shared folder; only the ``k + 1`` best nodes of each query and shard are shuffled.
     """
+    spark = vectors.sparkSession
     base = written(usable(vectors), "usable")
     wanted = base.select(F.size("embedding").alias("d")).limit(1).collect()
-    asked = usable(queries)
+    asked = usable(queries).withColumn("vec_id", F.col("vec_id").cast("long"))
     if not wanted:
         return asked.select(
             F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         ).limit(0)
-    asked = asked.where(F.size("embedding") == wanted[0].d)
-    index, blocks = build_index(base, k), query_blocks(asked)
+    path = scratch_dir(spark, "queries")
+    asked.where(F.size("embedding") == wanted[0].d).select("vec_id", "embedding").write.parquet(path)
+    index = build_index(base, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                n = row["n"]
-                ids = np.frombuffer(row["ids"], np.int64).reshape(n, -1)
-                v = np.frombuffer(row["vectors"], np.float64).reshape(n, -1)
-                links = [np.frombuffer(x, np.int32) for x in row["levels"]]
-                members = [np.frombuffer(x, np.int64) for x in row["members"]]
-                g = Graph(unit(v), members, [x.reshape(len(m), -1) for x, m in zip(links, members, strict=True)])
-                query_ids = np.frombuffer(row["query_ids"], np.int64)
-                q = np.frombuffer(row["queries"], np.float64).reshape(len(query_ids), -1)
+        for g, ids, v in _shards(batches):
+            norms = np.sqrt((v * v).sum(axis=1))
+            for query_ids, q in _query_blocks(path):
                 found = search(g, unit(q), beam)
                 out: dict[str, list] = {"query_id": [], "ids": [], "score": []}
-                norms = np.sqrt((v * v).sum(axis=1))
                 for i, own in enumerate(found):
                     own = own[own >= 0]
                     score = (v[own] @ q[i]) / (norms[own] * math.sqrt(q[i] @ q[i]))
-                    for j in np.lexsort((ids[own, 0], -score))[: k + 1]:
+                    score = np.clip(score, -1, 1)
+                    for j in np.lexsort((ids[own, 0], -score.round(SCORE_DIGITS)))[: k + 1]:
                         real = ids[own[j]]
                         out["query_id"].append(query_ids[i])
                         out["ids"].append(real[real > np.iinfo(np.int64).min].tolist())
-                        out["score"].append(float(np.clip(score[j], -1, 1)))
+                        out["score"].append(float(score[j]))
                 yield pa.RecordBatch.from_pydict(
                     out,
                     pa.schema(
@@ -320,13 +323,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, beam: int = SEAR
                     ),
                 )
 
-    # Every shard meets every block once, dealt out by both numbers.
-    n_shards = index.agg(F.max("shard")).first()[0] or 0
-    n_blocks = blocks.agg(F.max("block")).first()[0] or 0
-    left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks))))
-    right = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards))))
-    found = left.join(right, ["shard", "block"]).mapInArrow(run, FOUND)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = index.mapInArrow(tidy(run), FOUND)
+    best = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", SCORE_DIGITS)), "vec_id")
     return (
         found.select("query_id", F.explode("ids").alias("vec_id"), "score")
         .where("vec_id <> query_id")
