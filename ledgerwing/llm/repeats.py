@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir, written
 from .tokens import BASE, mix, tidy
-from .warc import store
+from .warc import store_of
 
 #: Text in a group, and in a bucket or reference block, on average.
 GROUP_BYTES = 1 << 20
@@ -80,7 +80,7 @@ def store_groups(docs: DataFrame, folder: str, group_bytes: int = GROUP_BYTES) -
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = store(folder)
+        store, root = store_of(folder)
         name, out, at = uuid.uuid4().hex, None, 0
         ids: list = []
         texts: list[bytes] = []
@@ -147,7 +147,7 @@ class Group(NamedTuple):
 
 
 def load_group(folder: str, row: dict) -> Group:
-    store, root = store(folder)
+    store, root = store_of(folder)
     with store.open_input_file(f"{root}/{row['file']}.zst") as f:
         data = zstandard.decompress(f.read_at(row["size"], row["offset"]))
     ids, missing, sizes = _unpack(row["docs"], "<i8").reshape(3, -1)

@@ -32,7 +32,9 @@ ARCHIVE_BYTES = 256 << 20
 #: Index lines in one compressed block.
 BLOCK_LINES = 3000
 #: Byte ranges this close are read by one task, in order.
-READ_SPAN = 32 << 20
+READ_SPAN = 8 << 20
+#: Index blocks that one task reads, on average.
+BLOCKS_PER_TASK = 16
 RECORD_ID = "urn:ledgerwing:page:"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -44,7 +46,7 @@ RECORDS = (
 )
 
 
-def store(uri: str) -> tuple[fs.FileSystem, str]:
+def store_of(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
@@ -157,7 +159,7 @@ def write_archives(records: DataFrame, folder: str, date: str = "1970-01-01T00:0
     source = records.withColumn("key", url_key(F.col("url")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = store(folder)
+        store, root = store_of(folder)
         out, path, at = None, "", 0
         for batch in batches:
             rows = {"key": [], "file": [], "offset": [], "length": []}
@@ -200,7 +202,7 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     ranged = captures.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = store(folder)
+        store, root = store_of(folder)
         name, out, at, lines, directory = uuid.uuid4().hex, None, 0, [], []
 
         def flush() -> None:
@@ -252,7 +254,7 @@ def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:
     wanted = keys.select(F.coalesce("key", F.lit("-")).alias("key")).distinct()
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = store(folder)
+        store, root = store_of(folder)
         known: dict[str, tuple[list, list, list]] = {}
 
         def directory(shard: str) -> tuple[list, list, list]:
@@ -278,7 +280,7 @@ def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = store(folder)
+        store, root = store_of(folder)
         held, lines, line_keys = None, [], []
         for batch in batches:
             out = {"key": [], "file": [], "offset": [], "length": []}
@@ -293,8 +295,10 @@ def lookup(index: CaptureIndex, keys: DataFrame) -> DataFrame:
                         out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, pa.schema(_arrow("key", "file", offset=1, length=1)))
 
-    near = places.repartition("shard", "at").sortWithinPartitions("shard", "at", "key")
-    return near.mapInArrow(read, CAPTURES)
+    # As many tasks as the index has blocks for, whatever the size of the keys that name them.
+    blocks = index.shards.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    near = places.repartition(max(1, -(-blocks // BLOCKS_PER_TASK)), "shard", "at")
+    return near.sortWithinPartitions("shard", "at", "key").mapInArrow(read, CAPTURES)
 
 
 def _arrow(*strings: str, **longs: int) -> list[tuple[str, pa.DataType]]:
@@ -302,10 +306,14 @@ def _arrow(*strings: str, **longs: int) -> list[tuple[str, pa.DataType]]:
 
 
 def read_records(captures: DataFrame, folder: str) -> DataFrame:
-    """Range-read the records of ``captures`` and check their digests, as ``RECORDS``."""
-    near = captures.repartition("file", F.floor(F.col("offset") / READ_SPAN)).sortWithinPartitions(
-        "file", "offset"
-    )
+    """Range-read the records of ``captures`` and check their digests, as ``RECORDS``.
+
+    One task per ``READ_SPAN`` bytes of archive on average.
+    """
+    captures = written(captures, "located")
+    total = captures.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    span = F.floor(F.col("offset") / READ_SPAN)
+    near = captures.repartition(max(1, -(-total // READ_SPAN)), "file", span).sortWithinPartitions("file", "offset")
     schema = pa.schema(
         [
             ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
@@ -315,7 +323,7 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = store(folder)
+        store, root = store_of(folder)
         archive, name = None, None
         for batch in batches:
             rows, held = [], 0
