@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,3 +214,33 @@ def schema_drift(df: DataFrame, table: str) -> list[str]:
         if match and match[0].dataType != field.dataType:
             problems.append(f"{field.name}: {match[0].dataType} is not {field.dataType}")
     return problems
+
+
+DRIFT = "table_name string, column_name string, problem string, wanted string, found string"
+
+
+def catalogue_drift(spark: SparkSession, database: str) -> DataFrame:
+    """One row per column of the catalogue's landing tables that is not as its contract says.
+
+    Problems: ``no table``, ``missing``, ``unknown``, ``type`` and ``position`` (counted among
+    the columns that both sides have, from 1). Only the catalogue is read, no table.
+    """
+    rows: list[tuple] = []
+    for table, schema in RAW_TABLES.items():
+        name = f"{database}.{table}"
+        if not spark.catalog.tableExists(name):
+            rows.append((table, None, "no table", None, None))
+            continue
+        have = {c.name.lower(): c.dataType for c in spark.catalog.listColumns(name)}
+        want = {f.name: f.dataType.simpleString() for f in schema.fields}
+        rows += [(table, c, "missing", want[c], None) for c in want if c not in have]
+        rows += [(table, c, "unknown", None, have[c]) for c in have if c not in want]
+        common = [c for c in want if c in have]
+        rows += [(table, c, "type", want[c], have[c]) for c in common if want[c] != have[c]]
+        order = [c for c in have if c in want]
+        rows += [
+            (table, c, "position", str(i), str(order.index(c) + 1))
+            for i, c in enumerate(common, 1)
+            if order.index(c) + 1 != i
+        ]
+    return spark.createDataFrame(rows, DRIFT)

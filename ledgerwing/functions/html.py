@@ -8,7 +8,7 @@ every decision about those pieces is made in Spark afterwards.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -20,7 +20,10 @@ from pyspark.sql import types as T
 # Ship the tokenisers with the task, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_SILENT = {"script", "style", "template"}
+#: Elements whose text is not shown, and elements that have no end tag.
+SILENT = ("script", "style", "template")
+_SILENT = set(SILENT)
+_VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "div", "article", "section", "ul", "ol", "table"}
 
 
@@ -45,6 +48,31 @@ class _Text(HTMLParser):
             self.nodes.append(data)
 
 
+class _Nodes(HTMLParser):
+    """Text nodes in document order, each with the names of the elements that are open around it."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.nodes: list[dict] = []
+        self._open: dict[str, int] = {}
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in _VOID:
+            self._open[tag] = self._open.get(tag, 0) + 1
+
+    def handle_startendtag(self, tag, attrs):
+        pass
+
+    def handle_endtag(self, tag):
+        if self._open.get(tag, 0) > 1:
+            self._open[tag] -= 1
+        else:
+            self._open.pop(tag, None)
+
+    def handle_data(self, data):
+        self.nodes.append({"within": list(self._open), "text": data})
+
+
 class _Outline(_Text):
     """h1 headline, and the h2/p elements of the first article body."""
 
@@ -185,10 +213,17 @@ def _fed(parser: HTMLParser, html: str) -> HTMLParser:
     return parser
 
 
-@F.pandas_udf(T.StringType())
-def _text_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+NODES_TYPE = T.ArrayType(
+    T.StructType(
+        [T.StructField("within", T.ArrayType(T.StringType())), T.StructField("text", T.StringType())]
+    )
+)
+
+
+@F.pandas_udf(NODES_TYPE)
+def _nodes_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for html in batches:
-        yield html.map(lambda h: None if h is None else "\n".join(_fed(_Text(), h).nodes))
+        yield html.map(lambda h: None if h is None else _fed(_Nodes(), h).nodes)
 
 
 OUTLINE_TYPE = T.StructType(
@@ -217,9 +252,16 @@ def _outline_udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["headline", "has_body", "elements"])
 
 
-def html_to_text(html: Column | str) -> Column:
-    """Text nodes of a page joined by newlines."""
-    return _text_udf(html)
+def html_nodes(html: Column | str) -> Column:
+    """The text nodes of a page, each with the names of the open elements around it."""
+    return _nodes_udf(html)
+
+
+def html_to_text(html: Column | str, silent: Sequence[str] = SILENT, separator: str = "\n") -> Column:
+    """Text nodes of a page joined by line feeds, without those inside ``silent`` elements."""
+    muted = F.array(*[F.lit(t) for t in silent])
+    shown = F.filter(html_nodes(html), lambda n: ~F.arrays_overlap(n["within"], muted))
+    return F.array_join(F.transform(shown, lambda n: n["text"]), separator)
 
 
 def html_outline(html: Column | str) -> Column:

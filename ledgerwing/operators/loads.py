@@ -13,9 +13,13 @@ from ..contracts import RAW_TABLES, conform
 from ..session import written
 
 
-def create_raw_tables(spark: SparkSession, database: str = "raw") -> list[str]:
-    """Create every landing table that does not exist yet; returns their names."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_raw_tables(spark: SparkSession, database: str = "raw", location: str | None = None) -> list[str]:
+    """Create every landing table that does not exist yet; returns their names.
+
+    The database lies in the warehouse folder unless a ``location`` is given.
+    """
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     names = []
     for table, schema in RAW_TABLES.items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

@@ -125,6 +125,55 @@ def run_checks(
     return reduce(DataFrame.unionByName, parts).select(F.lit(name).alias("model"), "rule", "failures")
 
 
+def _literal(value) -> str:
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
+def violation_sql(rule: Rule) -> str | None:
+    """The condition of :func:`violation` as SQL text; None where a rule needs more than one row."""
+    column = f'"{rule.column}"'
+    if rule.kind == "not_null":
+        bad = f"{column} IS NULL"
+    elif rule.kind == "accepted_values":
+        bad = f"{column} NOT IN ({', '.join(_literal(v) for v in rule.values)})"
+    elif rule.kind == "bounds":
+        bad = f"({column} < {rule.low} OR {column} > {rule.high})"
+    elif rule.kind == "invariant":
+        bad = f"({rule.expression})"
+    else:
+        return None
+    return f"{bad} AND ({rule.where})" if rule.where else bad
+
+
+def checks_sql(name: str, source: str, rules: Sequence[Rule], sources: Mapping[str, str]) -> str:
+    """One SELECT with the rows of :func:`run_checks`: (model, rule, failures).
+
+    ``source`` is the model as SQL, ``sources`` the models that references point to. The
+    model is evaluated once; all row rules are counted in one pass over it.
+    """
+    model = _literal(name)
+    row_rules = [r for r in rules if violation_sql(r) is not None]
+    parts = []
+    if row_rules:
+        labels = ", ".join(_literal(r.label) for r in row_rules)
+        counts = ", ".join(f"count(*) FILTER (WHERE {violation_sql(r)})" for r in row_rules)
+        parts.append(f"SELECT {model} AS model, unnest([{labels}]) AS rule, unnest([{counts}]) AS failures FROM m")
+    for rule in rules:
+        if rule in row_rules:
+            continue
+        column = f'"{rule.column}"'
+        scope = f"{column} IS NOT NULL" + (f" AND ({rule.where})" if rule.where else "")
+        if rule.kind == "unique":
+            found = f"SELECT {column} FROM m WHERE {scope} GROUP BY {column} HAVING count(*) > 1"
+        elif rule.kind == "relationships":
+            known = f'SELECT "{rule.field}" FROM ({sources[rule.to]}) WHERE "{rule.field}" IS NOT NULL'
+            found = f"SELECT {column} FROM m WHERE {scope} AND {column} NOT IN ({known})"
+        else:
+            raise ValueError(f"unknown rule kind {rule.kind!r}")
+        parts.append(f"SELECT {model}, {_literal(rule.label)}, count(*) FROM ({found})")
+    return f"SELECT * FROM (WITH m AS MATERIALIZED ({source}) " + " UNION ALL ".join(parts) + ")"
+
+
 # --- Fixed values: the rule sets of the models ----------------------------------
 FORMS = ("10-K", "10-Q", "8-K", "DEF 14A", "S-1")
 SERIES = ("FEDFUNDS", "CPIAUCSL", "UNRATE", "GDP", "DGS10", "T10Y2Y")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from multiprocessing.pool import ThreadPool
@@ -12,8 +12,8 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.metrics import roc_auc
@@ -85,10 +85,10 @@ def encode_features(df: DataFrame, categories: Sequence[str]) -> DataFrame:
     return df.select(*ids, *numeric, *dummies)
 
 
-def align_columns(encoded: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exactly the training columns in order; absent ones are zero, others go."""
+def align_columns(encoded: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Exactly the training columns in order; absent ones are zero, others but ids and ``keep`` go."""
     return encoded.select(
-        *[c for c in IDS if c in encoded.columns],
+        *[c for c in (*IDS, *keep) if c in encoded.columns],
         *[(F.col(c) if c in encoded.columns else F.lit(0.0).alias(c)) for c in columns],
     )
 
@@ -167,8 +167,10 @@ def majority_baseline(df: DataFrame) -> DataFrame:
     return df.withColumns({"predicted_direction": F.lit(1), "predicted_score": F.lit(0.5)})
 
 
-def _assembled(df: DataFrame, columns: Sequence[Column], names: Sequence[str]) -> DataFrame:
-    kept = [c for c in IDS if c in df.columns]
+def _assembled(
+    df: DataFrame, columns: Sequence[Column], names: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    kept = [c for c in (*IDS, *keep) if c in df.columns]
     flat = df.select(*kept, *[c.alias(n) for c, n in zip(columns, names, strict=True)])
     out = VectorAssembler(inputCols=list(names), outputCol="features").transform(flat)
     return out.select(*kept, "features")
@@ -184,35 +186,58 @@ class FittedModel:
     model: Model
     indicators: bool
 
-    def matrix(self, df: DataFrame) -> DataFrame:
+    def matrix(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Feature vectors of encoded rows."""
-        aligned = align_columns(df, self.columns)
-        return _matrix(aligned, self.columns, self.scaling, self.indicators)
+        aligned = align_columns(df, self.columns, keep)
+        return _matrix(aligned, self.columns, self.scaling, self.indicators, keep)
 
-    def score(self, df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-        """Scores and hard directions of encoded rows."""
-        scored = self.model.transform(self.matrix(df))
+    def score(self, df: DataFrame, threshold: float = THRESHOLD, keep: Sequence[str] = ()) -> DataFrame:
+        """Scores and hard directions of encoded rows, with their ids and the columns of ``keep``."""
+        scored = self.model.transform(self.matrix(df, keep))
         p = vector_to_array("probability")[1]
         return scored.select(
-            *[c for c in IDS if c in scored.columns],
+            *[c for c in (*IDS, *keep) if c in scored.columns],
             p.alias("predicted_score"),
             (p >= threshold).cast("int").alias("predicted_direction"),
         )
 
 
-def _matrix(df: DataFrame, columns: Sequence[str], scaling: Scaling, indicators: bool) -> DataFrame:
+def _matrix(
+    df: DataFrame, columns: Sequence[str], scaling: Scaling, indicators: bool, keep: Sequence[str] = ()
+) -> DataFrame:
     """Scaled columns for the linear model; filled ones plus missing flags for trees."""
     if not indicators:
-        return _assembled(df, [scaling.scaled(c) for c in columns], list(columns))
+        return _assembled(df, [scaling.scaled(c) for c in columns], list(columns), keep)
     numeric = [c for c in columns if c in NUMERIC_FEATURES]
     flags = [F.when(F.col(c).isNull() | F.isnan(c), 1.0).otherwise(0.0) for c in numeric]
     return _assembled(
         df,
         [*[scaling.filled(c) for c in columns], *flags],
         [*columns, *[f"missing_{c}" for c in numeric]],
+        keep,
     )
 
 
+@dataclass(frozen=True)
+class LinearScorer:
+    """A logistic model from stored coefficients; scores vectors as a fitted one does."""
+
+    coefficients: Sequence[float]
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        weights = F.array(*[F.lit(float(w)) for w in self.coefficients])
+        products = F.zip_with(vector_to_array("features"), weights, lambda x, w: x * w)
+        margin = F.aggregate(products, F.lit(float(self.intercept)), lambda z, x: z + x)
+        p = 1 / (1 + F.exp(-margin))
+        return df.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
+def linear_scorer(model: FittedModel) -> LinearScorer:
+    """The stored form of a fitted linear model."""
+    return LinearScorer(model.model.coefficients.toArray().tolist(), float(model.model.intercept))
+
+
 def _labelled(df: DataFrame) -> DataFrame:
     return df.where(F.col("label").isNotNull()).withColumn("label", F.col("label").cast("double"))
 
@@ -328,21 +353,78 @@ def top_features(attributions: DataFrame, n: int = TOP_FEATURES) -> DataFrame:
     return attributions.orderBy(F.col("importance").desc(), "feature").limit(n)
 
 
+#: Rows that exchange the values of a feature among each other, on average.
+PERMUTED_ROWS = 1 << 13
+#: Hash ranks are below this.
+RANKS = 1 << 31
+
+
+def hash_rank(keys: Sequence[str], seed: int = SEED) -> Callable[[int], Column]:
+    """For each feature's number a seeded rank per row, evenly spread below ``RANKS``."""
+    return lambda feature: F.pmod(F.xxhash64(*keys, F.lit(f"{seed}/{feature}")), F.lit(RANKS))
+
+
 def permutation_importance(
-    model: FittedModel, df: DataFrame, columns: Sequence[str] | None = None
-) -> list[tuple[str, float]]:
-    """AUC lost when one feature is replaced by its median, per feature.
+    model: FittedModel,
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    keys: Sequence[str] = ("ticker", "fiscal_year"),
+    rank: Callable[[int], Column] | None = None,
+    ranks: int = RANKS,
+    permuted_rows: int = PERMUTED_ROWS,
+) -> DataFrame:
+    """``(feature, auc, importance)``: the AUC with one feature permuted, and what it loses by that.
 
-    Masking instead of shuffling keeps the result the same in every run.
+    Each labelled row is written out once per feature (and once as it is). In order of a
+    seeded rank every row takes the feature's value of the next one, the last that of the
+    first, within ranges of ranks that hold about ``permuted_rows`` rows: a permutation
+    without a sort over all rows. All copies are scored and ranked in one pass. Equal
+    ranks go by ``keys``, which should tell rows apart.
     """
+    names = list(columns or model.columns)
+    rank = rank or hash_rank(keys)
     rows = df.where(F.col("label").isNotNull())
+    rows = written(align_columns(rows, model.columns, [k for k in keys if k not in IDS]), "permuted")
+    ranges = max(1, rows.count() // permuted_rows)
+    values = F.array(*[F.col(c) for c in model.columns])
+    # Number -1 is the row as it is.
+    copies = F.array(
+        F.struct(F.lit(-1).alias("f"), F.lit(0).cast("long").alias("r")),
+        *[F.struct(F.lit(model.columns.index(c)).alias("f"), rank(i).cast("long").alias("r")) for i, c in enumerate(names)],
+    )
+    kept = [c for c in (*IDS, *keys) if c in rows.columns]
+    spread = rows.select(*dict.fromkeys(kept), values.alias("x"), F.inline(copies))
+    # The unchanged copies need no order: they are kept out of the window.
+    plain = spread.where("f < 0").drop("r")
+    changed = spread.where("f >= 0")
+    within = Window.partitionBy("f", F.floor(F.col("r") * ranges / ranks)).orderBy("r", *keys)
+    own = F.get(F.col("x"), F.col("f"))
+    first = F.first_value(own).over(within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    last = F.lead(F.lit(1)).over(within).isNull()
+    moved = changed.select("*", F.when(last, first).otherwise(F.lead(own).over(within)).alias("taken"))
+    moved = moved.withColumn("x", F.transform("x", lambda v, i: F.when(i == F.col("f"), F.col("taken")).otherwise(v)))
+    both = plain.unionByName(moved.select(plain.columns))
+    flat = both.select(*dict.fromkeys(kept), "f", *[F.get("x", F.lit(i)).alias(c) for i, c in enumerate(model.columns)])
+    aucs = roc_auc(model.score(flat, keep=["f"]), label="label", by=["f"])
+    aucs = written(aucs.select("f", "auc"), "permuted-aucs")
+    base = aucs.where("f < 0").select(F.col("auc").alias("base"))
+    label = F.get(F.array(*[F.lit(c) for c in model.columns]), F.col("f"))
+    return aucs.where("f >= 0").select(
+        label.alias("feature"), "auc", (base.scalar() - F.col("auc")).alias("importance")
+    )
 
-    def auc_of(frame: DataFrame) -> float:
-        value = roc_auc(model.score(frame), label="label").first()["auc"]
-        return float(value) if value is not None else 0.5
 
-    full = auc_of(rows)
-    return [
-        (c, full - auc_of(rows.withColumn(c, F.lit(model.scaling.median.get(c, 0.0)))))
-        for c in (columns or model.columns)
-    ]
+def gradient(model: FittedModel, train: DataFrame) -> DataFrame:
+    """``(feature, slope)``: the slope of the penalised mean log loss in each coefficient of a linear model.
+
+    All slopes are zero at the optimum of the logistic fit; ``(intercept)`` has no penalty.
+    """
+    rows = _labelled(align_columns(train, model.columns))
+    scored = model.model.transform(model.matrix(rows))
+    miss = vector_to_array("probability")[1] - F.col("label")
+    cells = scored.select(miss.alias("miss"), F.posexplode(F.array_append(vector_to_array("features"), F.lit(1.0))).alias("i", "x"))
+    sums = cells.groupBy("i").agg(F.avg(F.col("miss") * F.col("x")).alias("slope"), F.count(F.lit(1)).alias("n"))
+    names = F.array(*[F.lit(c) for c in (*model.columns, "(intercept)")])
+    weights = F.array(*[F.lit(float(w)) for w in (*linear_scorer(model).coefficients, 0.0)])
+    penalty = F.get(weights, F.col("i")) / F.col("n")
+    return sums.select(F.get(names, F.col("i")).alias("feature"), (F.col("slope") + penalty).alias("slope"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import top_per_key
+from ..operators.metrics import score_calibration
 from ..sources.tables import write_json_rounded
 
 
@@ -55,6 +58,45 @@ def write_snapshot(
     write_json_rounded(report, f"{path}/calibration")
 
 
+#: Columns of the snapshot's JSON parts, so that empty ones can be read too.
+_META = (
+    "ticker string, company_name string, sector string, fiscal_year int, net_margin double, "
+    "debt_to_equity double, roe_annualised double, revenue_growth_1y double"
+)
+_REPORT = (
+    "total_scored long, out_of_sample_n long, in_sample_n long, out_of_sample_years array<int>, base_rate double, "
+    "accuracy double, ci_low double, ci_high double, small_sample boolean, realized_auc double, "
+    "in_sample_accuracy double, in_sample_ci_low double, in_sample_ci_high double, warnings array<string>"
+)
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """What :func:`write_snapshot` wrote."""
+
+    predictions: DataFrame
+    company_meta: DataFrame
+    calibration: DataFrame
+
+
+def read_snapshot(spark: SparkSession, path: str) -> Snapshot:
+    """The parts of a written snapshot."""
+    return Snapshot(
+        spark.read.parquet(f"{path}/predictions"),
+        spark.read.schema(_META).json(f"{path}/company_meta"),
+        spark.read.schema(_REPORT).json(f"{path}/calibration"),
+    )
+
+
+def calibration_view(snapshot: Snapshot) -> tuple[DataFrame, DataFrame]:
+    """The calibration report and the observed rate per score bin of the out-of-sample predictions."""
+    test = snapshot.predictions.where(F.col("data_split") == "test")
+    bins = score_calibration(test, "score", "actual_direction")
+    return snapshot.calibration, bins.select("bin", "n", "mean_predicted_score", "actual_rate", "small_sample").withColumns(
+        {c: F.round(c, 4) for c in ("mean_predicted_score", "actual_rate")}
+    )
+
+
 def sector_overview(predictions: DataFrame) -> DataFrame:
     """Scores per sector, with out-of-sample accuracy where there is any.
 

@@ -248,20 +248,24 @@ def _medians(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(exact_quantile(s.panel(spark, sf), rm.NUMERIC_FEATURES), 9, "quantile")
 
 
-_SCALED = ("revenue", "revenue_growth_1y", "net_margin", "debt_to_equity")
+_NUMERIC_9 = ", ".join(f"round(CAST({c} AS DOUBLE), 9) AS {c}" for c in rm.NUMERIC_FEATURES)
+_FILLED = {c: f"coalesce({c}, coalesce(md_{c}, 0))" for c in rm.NUMERIC_FEATURES}
 
 
 @query(
     "median_impute_standardise",
     f"""SELECT ticker, fiscal_year, label, {', '.join(
-        f"round((coalesce({c}, md_{c}) - avg(coalesce({c}, md_{c})) OVER ()) / stddev_pop(coalesce({c}, md_{c})) OVER (), 6) AS {c}"
-        for c in _SCALED)}
-        FROM panel, (SELECT {', '.join(f'median({c}) AS md_{c}' for c in _SCALED)} FROM panel) m""",
+        f"round(({e} - avg({e}) OVER ()) / coalesce(nullif(stddev_pop({e}) OVER (), 0), 1), 6) + 0.0::DOUBLE AS {c}"
+        for c, e in _FILLED.items())}
+        FROM (SELECT ticker, fiscal_year, label, {_NUMERIC_9} FROM panel),
+             (SELECT {', '.join(f'median(round(CAST({c} AS DOUBLE), 9)) AS md_{c}' for c in rm.NUMERIC_FEATURES)} FROM panel) m""",
 )
 def _standardise(spark: SparkSession, sf: str) -> DataFrame:
-    rows = encoded(spark, sf)
-    scaled = rm.median_impute_standardise(rows, _SCALED, rm.fit_scaling(rows, _SCALED))
-    return rounded(scaled, 6, *_SCALED)
+    columns = rm.NUMERIC_FEATURES
+    # A ratio that is the same for all rows must be so to the last bit, or its spread is noise.
+    rows = rounded(encoded(spark, sf), 9, *columns)
+    scaled = rm.median_impute_standardise(rows, columns, rm.fit_scaling(rows, columns))
+    return scaled.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in columns})
 
 
 @query(
@@ -318,18 +322,108 @@ def _score_all(spark: SparkSession, sf: str) -> DataFrame:
     return rm.score_all(model, panel, rm.learn_categories(panel), "logistic").drop("scored_at")
 
 
-WEIGHTS = {"net_margin": 2.0, "revenue_growth_1y": -0.5, "mdna_word_count": 0.001, "fed_funds_rate": 0.1}
+# --- a linear model of stored coefficients over all columns ---------------------------
+MODEL_COLUMNS = rm.feature_columns(_SECTORS)
+WEIGHTS = {c: ((i * 37) % 19 - 9) / 10 for i, c in enumerate(MODEL_COLUMNS)}
+INTERCEPT = 0.25
+#: Rough centres and spreads, so that no feature drowns the others.
+_SPREAD = {c: 10.0 ** (6 if c == "revenue" else 3 if c.endswith("count") else 1) for c in rm.NUMERIC_FEATURES}
+SCALING = rm.Scaling(
+    median={c: 0.5 for c in rm.NUMERIC_FEATURES},
+    mean={c: 0.25 for c in MODEL_COLUMNS},
+    deviation={c: _SPREAD.get(c, 1.0) for c in MODEL_COLUMNS},
+)
+
+
+def stored_model() -> rm.FittedModel:
+    scorer = rm.LinearScorer([WEIGHTS[c] for c in MODEL_COLUMNS], INTERCEPT)
+    return rm.FittedModel("stored", MODEL_COLUMNS, SCALING, scorer, False)
+
+
+def _scaled_sql(column: str, value: str | None = None) -> str:
+    filled = value or f'"{column}"'
+    if column in rm.NUMERIC_FEATURES:
+        filled = f"coalesce({filled}, 0.5::DOUBLE)"
+    else:
+        filled = f"coalesce({filled}, 0.0::DOUBLE)"
+    return f"(({filled} - 0.25::DOUBLE) / {SCALING.deviation[column]}::DOUBLE)"
+
+
+def _margin_sql(value: str = '"{c}"') -> str:
+    cells = [(c, value.format(c=c, i=i)) for i, c in enumerate(MODEL_COLUMNS)]
+    terms = [f"{WEIGHTS[c]}::DOUBLE * {_scaled_sql(c, cell)}" for c, cell in cells]
+    return f"{INTERCEPT}::DOUBLE + " + " + ".join(terms)
+
+
+@query(
+    "stored_scores",
+    f"""SELECT ticker, fiscal_year, round(p, 9) AS predicted_score, CAST(p >= 0.5 AS INTEGER) AS predicted_direction,
+        'stored' AS model_artifact FROM (SELECT ticker, CAST(fiscal_year AS INTEGER) AS fiscal_year, 1 / (1 + exp(-({_margin_sql()}))) AS p FROM ({_ENCODED}))""",
+)
+def _stored_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every panel row scored by the stored model."""
+    scored = rm.score_all(stored_model(), s.panel(spark, sf), _SECTORS, "stored")
+    return rounded(scored.drop("scored_at"), 9, "predicted_score")
+
+
+_TAKEN = 'CASE WHEN f = {i} THEN taken ELSE "{c}" END'
+_RANK_SPAN = 1_000_003
+_RANK = f"((CAST(substr(ticker, 2) AS BIGINT) * 31 + fiscal_year) * (7919 + 2 * f)) % {_RANK_SPAN}"
+
+
+@query(
+    "permutation_importance",
+    f"""SELECT * FROM (WITH e AS ({_ENCODED} WHERE label IS NOT NULL),
+        n AS (SELECT greatest(1, count(*) // 64) AS ranges FROM e),
+        x AS (SELECT e.*, f, {_RANK} AS r FROM e, range(0, {len(MODEL_COLUMNS)}) t(f)),
+        m AS (SELECT x.*, [{', '.join(f'"{c}"' for c in MODEL_COLUMNS)}] AS v, r * ranges // {_RANK_SPAN} AS part FROM x, n),
+        g AS (SELECT *, v[f + 1] AS own FROM m),
+        w AS (SELECT *, CASE WHEN lead(1) OVER q IS NULL THEN first_value(own) OVER (PARTITION BY f, part ORDER BY r, ticker, fiscal_year)
+                ELSE lead(own) OVER q END AS taken FROM g WINDOW q AS (PARTITION BY f, part ORDER BY r, ticker, fiscal_year)),
+        z AS (SELECT f, label AS actual_direction, {_margin_sql(_TAKEN)} AS predicted_score FROM w
+            UNION ALL SELECT -1, label, {_margin_sql()} FROM e),
+        a AS ({_auc("z", "f")})
+        SELECT ([{', '.join(f"'{c}'" for c in MODEL_COLUMNS)}])[f + 1] AS feature, round(auc, 6) AS auc,
+            round((SELECT auc FROM a WHERE f = -1) - auc, 6) AS importance FROM a WHERE f >= 0)""",
+)
+def _permutation(spark: SparkSession, sf: str) -> DataFrame:
+    """All features of the stored model, permuted by an order that SQL can follow."""
+    base = F.substring("ticker", 2, 20).cast("long") * 31 + F.col("fiscal_year")
+    found = rm.permutation_importance(
+        stored_model(),
+        encoded(spark, sf),
+        rank=lambda f: (base * (7919 + 2 * f)) % _RANK_SPAN,
+        ranks=_RANK_SPAN,
+        permuted_rows=64,
+    )
+    return rounded(found, 6, "auc", "importance")
+
+
+@query(
+    "first_order_conditions",
+    f"""SELECT unnest([{', '.join(f"'{c}'" for c in rm.NUMERIC_FEATURES)}, '(intercept)']) AS feature, true AS stationary
+        UNION ALL SELECT DISTINCT 'sector_' || sector, true FROM panel WHERE sector IS NOT NULL""",
+)
+def _first_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each slope of the penalised loss is nil where the logistic fit ended."""
+    train, _ = _split(spark, sf)
+    slopes = rm.gradient(rm.logistic_baseline(train, _columns(train)), train)
+    return slopes.select("feature", (F.abs("slope") < 1e-4).alias("stationary"))
+
+
 _ATTRIBUTION = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(avg(abs({w} * ({c} - m))), 9) AS importance"
-    f" FROM (SELECT {c}, avg({c}) OVER () AS m FROM panel)"
+    f"SELECT '{c}' AS feature, round(avg(abs({w}::DOUBLE * (\"{c}\" - m))), 9) AS importance"
+    f' FROM (SELECT "{c}", avg("{c}") OVER () AS m FROM ({_ENCODED}))'
     for c, w in WEIGHTS.items()
 )
+_FAMILY = {c: f for f, own in rm.feature_groups(MODEL_COLUMNS).items() for c in own}
+_FAMILIES = " ".join(f"WHEN '{c}' THEN '{f}'" for c, f in _FAMILY.items())
 
 
 def attributions(spark: SparkSession, sf: str) -> DataFrame:
-    panel = s.panel(spark, sf)
-    means = panel.agg(F.struct(*[F.avg(c).alias(c) for c in WEIGHTS]).alias("m")).scalar()
-    return rm.linear_attribution(panel, WEIGHTS, {c: means[c] for c in WEIGHTS})
+    rows = encoded(spark, sf)
+    means = rows.agg(F.struct(*[F.avg(c).alias(c) for c in WEIGHTS]).alias("m")).scalar()
+    return rm.linear_attribution(rows, WEIGHTS, {c: means[c] for c in WEIGHTS})
 
 
 @query("linear_attribution", _ATTRIBUTION)
@@ -339,18 +433,17 @@ def _attribution(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "top_features",
-    f"SELECT feature FROM ({_ATTRIBUTION}) ORDER BY importance DESC LIMIT 3",
+    f"SELECT feature FROM ({_ATTRIBUTION}) ORDER BY importance DESC NULLS LAST, feature LIMIT {rm.TOP_FEATURES}",
 )
 def _top(spark: SparkSession, sf: str) -> DataFrame:
-    return rm.top_features(attributions(spark, sf), 3).select("feature")
+    return rm.top_features(rounded(attributions(spark, sf), 9, "importance")).select("feature")
 
 
 @query(
     "family_share",
     f"""SELECT family, round(sum(importance), 6) AS importance, round(sum(importance) / sum(sum(importance)) OVER (), 6) AS share
-        FROM (SELECT *, CASE feature WHEN 'mdna_word_count' THEN 'language' WHEN 'fed_funds_rate' THEN 'macro'
-            ELSE 'fundamental' END AS family FROM ({_ATTRIBUTION})) GROUP BY family""",
+        FROM (SELECT *, CASE feature {_FAMILIES} END AS family FROM ({_ATTRIBUTION})) GROUP BY family""",
 )
 def _family(spark: SparkSession, sf: str) -> DataFrame:
-    shares = metrics.family_share(attributions(spark, sf), rm.feature_groups(list(WEIGHTS)))
+    shares = metrics.family_share(attributions(spark, sf), rm.feature_groups(MODEL_COLUMNS))
     return rounded(shares, 6, "importance", "share")

@@ -468,7 +468,13 @@ def _present(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("html_to_text")
+_PAGE_TEXT = """list_reduce(list_prepend(array_to_string(list_filter(string_split(regexp_replace(html,
+        '<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', chr(1), 'gs'), chr(1)), lambda x: x <> ''), chr(10)),
+        ['&quot;', '&copy;', '&middot;', '&amp;']),
+        lambda t, e: replace(t, e, CASE e WHEN '&quot;' THEN '"' WHEN '&copy;' THEN chr(169) WHEN '&middot;' THEN chr(183) ELSE '&' END))"""
+
+
+@query("html_to_text", f"SELECT page_id, CASE WHEN html IS NOT NULL THEN {_PAGE_TEXT} END AS text FROM pages")
 def _html_to_text(spark: SparkSession, sf: str) -> DataFrame:
     return s.table(spark, sf, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
 

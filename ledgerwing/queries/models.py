@@ -481,13 +481,17 @@ def _company_meta(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "comparison_gaps",
-    """SELECT * FROM (WITH y AS MATERIALIZED (SELECT ticker, fiscal_year, accession_number FROM panel)
-        SELECT c.ticker, c.fiscal_year,
-        CASE WHEN c.accession_number IS NULL THEN 'current-year filing text unavailable; ' ELSE '' END ||
-        CASE WHEN p.accession_number IS NULL THEN 'prior-year filing text unavailable; ' ELSE '' END ||
-        'no comparison performed' AS gaps
-        FROM y c LEFT JOIN y p ON p.ticker = c.ticker AND p.fiscal_year = c.fiscal_year - 1
-        WHERE c.accession_number IS NULL OR p.accession_number IS NULL)""",
+    """SELECT ticker, fiscal_year,
+        CASE WHEN now IS NULL THEN 'current-year filing text unavailable; ' ELSE '' END ||
+        CASE WHEN prior IS NULL THEN 'prior-year filing text unavailable; ' ELSE '' END || 'no comparison performed' AS gaps
+        FROM (SELECT *, CASE WHEN lag(fiscal_year) OVER w = fiscal_year - 1 THEN lag(now) OVER w END AS prior
+            FROM (SELECT y.ticker, y.fiscal_year, min(f.filing_date || '~' || f.accession_number) AS now
+                FROM fundamentals y JOIN companies c ON c.ticker = y.ticker AND c.sector <> 'BUILDING'
+                LEFT JOIN filings f ON f.ticker = y.ticker AND f.form_type = '10-K'
+                    AND f.filing_date > y.period_end_date AND f.filing_date <= y.period_end_date + 180
+                GROUP BY y.ticker, y.fiscal_year)
+            WINDOW w AS (PARTITION BY ticker ORDER BY fiscal_year))
+        WHERE now IS NULL OR prior IS NULL""",
 )
 def _comparison_gaps(spark: SparkSession, sf: str) -> DataFrame:
 

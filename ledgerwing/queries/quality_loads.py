@@ -326,39 +326,60 @@ def _build(spark: SparkSession, sf: str) -> DataFrame:
     return loads.load_counts({name: models[name] for name in MARTS})
 
 
-@query("check_models")
+#: Each model as SQL, with the columns that its rules name.
+_MODELS = {
+    "stg_companies": "SELECT ticker, cik, sector FROM companies",
+    "stg_filings": "SELECT accession_number, ticker, filing_date, form_type FROM filings",
+    "stg_fundamentals": "SELECT fundamental_id, ticker, revenue FROM fundamentals",
+    "stg_macro_observations": "SELECT macro_observation_id, value, series_id FROM macro",
+    "stg_options_activity": "SELECT contract_ticker || '|' || detected_at AS activity_id, volume_oi_ratio, contract_type FROM options",
+    "stg_sentiment_mentions": "SELECT mention_id, subreddit FROM mentions",
+    "stg_model_predictions": "SELECT ticker, fiscal_year, predicted_score, predicted_direction FROM predictions",
+    "int_financial_ratios": "SELECT fundamental_id, sector, pe_ratio, debt_to_equity, net_margin, gross_margin FROM ratios",
+    "int_filing_language_features": "SELECT accession_number, risk_word_total FROM language",
+    "int_options_flow_daily": "SELECT underlying || '|' || activity_date AS flow_id, total_volume FROM options_flow",
+    "int_sentiment_daily": "SELECT ticker || '|' || mention_date AS sentiment_id, mention_count FROM sentiment",
+    "company_profile": "SELECT ticker, sector, pe_ratio FROM profiles",
+    "filing_history": "SELECT f.accession_number, f.ticker, f.filing_date FROM filings f JOIN companies c ON c.ticker = f.ticker",
+    "signal_history": "SELECT signal_id, ticker, composite_signal_score FROM signals",
+    "sector_summary": "SELECT sector, count(*) AS company_count FROM companies GROUP BY sector",
+    "ml_training_set": "SELECT ml_row_id, label, ticker, fiscal_year, sector, revenue, fed_funds_rate, yield_curve_spread FROM panel WHERE label IS NOT NULL",
+    "ml_inference_set": "SELECT ml_row_id, ticker, revenue FROM panel WHERE label IS NULL",
+    "prediction_outcomes": "SELECT prediction_id, ticker, fiscal_year, predicted_direction, actual_direction, status, data_split, correct FROM panel_outcomes",
+}
+_OUTSIDE = f"sector is null or sector != '{s.EXCLUDED}'"
+
+
+_ALL_CHECKS = " UNION ALL ".join(
+    q.checks_sql(m, sql, q.model_rules(_OUTSIDE)[m], _MODELS) for m, sql in _MODELS.items()
+)
+
+
+@query("check_models", _ALL_CHECKS)
 def _check_models(spark: SparkSession, sf: str) -> DataFrame:
     """Failures of every rule of every model."""
-    results = check_models(built(spark, sf), f"sector is null or sector != '{s.EXCLUDED}'")
-    return written(results, "rule-failures")
+    return written(check_models(built(spark, sf), _OUTSIDE), "rule-failures")
+
+
+_SHOWN = (
+    ("company_profile", "bounds(pe_ratio)"),
+    ("filing_history", "unique(accession_number)"),
+    ("int_financial_ratios", "bounds(debt_to_equity)"),
+    ("int_financial_ratios", "bounds(net_margin)"),
+    ("ml_training_set", "not_null(fed_funds_rate)"),
+    ("prediction_outcomes", "invariant(correct_iff_scored)"),
+    ("signal_history", "relationships(ticker)"),
+    ("stg_options_activity", "unique(activity_id)"),
+)
 
 
 @query(
     "rule_lookup",
-    """SELECT 'company_profile' AS model, 'bounds(pe_ratio)' AS rule, count(*) AS failures FROM profiles WHERE pe_ratio < -1000 OR pe_ratio > 1000
-        UNION ALL SELECT 'filing_history', 'unique(accession_number)', 0
-        UNION ALL SELECT 'int_financial_ratios', 'bounds(debt_to_equity)', count(*) FROM ratios WHERE debt_to_equity < 0 OR debt_to_equity > 1000
-        UNION ALL SELECT 'int_financial_ratios', 'bounds(net_margin)', count(*) FROM ratios
-            WHERE (sector IS NULL OR sector <> 'BUILDING') AND (net_margin < -20 OR net_margin > 3)
-        UNION ALL SELECT 'ml_training_set', 'not_null(fed_funds_rate)', count(*) FROM panel WHERE label IS NOT NULL AND fed_funds_rate IS NULL
-        UNION ALL SELECT 'prediction_outcomes', 'invariant(correct_iff_scored)', 0
-        UNION ALL SELECT 'signal_history', 'relationships(ticker)', 0
-        UNION ALL SELECT 'stg_options_activity', 'unique(activity_id)', count(*) FROM (
-            SELECT 1 FROM options GROUP BY contract_ticker, detected_at HAVING count(*) > 1)""",
+    f"SELECT * FROM ({_ALL_CHECKS}) WHERE " + " OR ".join(f"model = '{m}' AND rule = '{r}'" for m, r in _SHOWN),
 )
 def _rule_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """The rules named in the SQL, looked up in the failures of all of them."""
-    shown = [
-        ("company_profile", "bounds(pe_ratio)"),
-        ("filing_history", "unique(accession_number)"),
-        ("int_financial_ratios", "bounds(debt_to_equity)"),
-        ("int_financial_ratios", "bounds(net_margin)"),
-        ("ml_training_set", "not_null(fed_funds_rate)"),
-        ("prediction_outcomes", "invariant(correct_iff_scored)"),
-        ("signal_history", "relationships(ticker)"),
-        ("stg_options_activity", "unique(activity_id)"),
-    ]
-    wanted = [(F.col("model") == m) & (F.col("rule") == r) for m, r in shown]
+    """Some rules by model and label, looked up in the failures of all of them."""
+    wanted = [(F.col("model") == m) & (F.col("rule") == r) for m, r in _SHOWN]
     return _check_models(spark, sf).where(reduce(Column.__or__, wanted))
 
 
@@ -401,8 +422,11 @@ def event_lines(spark: SparkSession, sf: str) -> DataFrame:
         CASE k WHEN 3 THEN 'MissingField' WHEN 0 THEN 'Rejected' ELSE 'CorruptRecord' END AS error_type,
         CASE k WHEN 3 THEN 'missing: value' WHEN 0 THEN 'too large' ELSE 'value is not a record of the expected type' END AS error_message,
         CASE k WHEN 0 THEN 'handler' ELSE 'deserialization' END AS stage,
-        CASE k WHEN 1 THEN 'bm90IGpzb24=' END AS payload
-        FROM events CROSS JOIN (VALUES (0), (1), (2), (3)) v(k) WHERE k > 0 OR value > 60""",
+        to_base64(encode(CASE k WHEN 0 THEN j WHEN 1 THEN 'not json' WHEN 2 THEN replace(j, '"value":', '"value":"not-a-float","was":')
+            ELSE replace(j, '"value":', '"other":') END)) AS payload
+        FROM (SELECT *, '{"series_id":"' || event_type || '","observation_date":"' || CAST(ts AS DATE) || '","value":' || value
+            || ',"ingested_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '"}' AS j FROM events)
+        CROSS JOIN (VALUES (0), (1), (2), (3)) v(k) WHERE k > 0 OR value > 60""",
 )
 def _dead(spark: SparkSession, sf: str) -> DataFrame:
     lines = event_lines(spark, sf).select("key", "value")
@@ -413,7 +437,7 @@ def _dead(spark: SparkSession, sf: str) -> DataFrame:
         "error_type",
         "error_message",
         F.col("context")["stage"].alias("stage"),
-        F.when(F.col("payload_b64") == "bm90IGpzb24=", F.col("payload_b64")).alias("payload"),
+        F.col("payload_b64").alias("payload"),
     )
 
 

@@ -7,13 +7,11 @@ the library functions run unchanged. ``standins_sql`` says the same in SQL.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import intermediate, marts, staging
-from ..session import scratch_dir
+from ..session import file_stamp, scratch_dir
 from ..sources.feeds import unusual_activity
 
 #: The corpus does not contain the risk vocabulary, so other needles stand in.
@@ -342,9 +340,7 @@ def _written(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     The inputs are told by the names, sizes and times of their files, so a table
     that is rewritten under its old path gets a new mart.
     """
-    file = F.struct("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-    files = [table(spark, sf, t).select(F.xxhash64(file).alias("h")).distinct() for t in _SOURCES]
-    stamp = reduce(DataFrame.unionByName, files).agg(F.sum(F.col("h").cast("decimal(38,0)"))).first()[0]
+    stamp = tuple(file_stamp(spark, f"{sf}/{t}.parquet") for t in _SOURCES)
     key = (spark.sparkContext.applicationId, sf, name, stamp)
     if key not in _MARTS:
         path = scratch_dir(spark, name)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import contract
+from ..session import written
 
 LEDGER = T.StructType(
     [
@@ -23,6 +24,51 @@ LEDGER = T.StructType(
 )
 
 
+#: Name of the column that holds a damaged record's text; NULL for good records.
+DAMAGED = "damaged_record"
+
+
+def _with_damaged(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())])
+
+
+def scan_csv(spark: SparkSession, table: str, path: str, header: bool = True) -> DataFrame:
+    """Landing table from CSV as :func:`read_raw_csv`, with the text of damaged records beside them.
+
+    A record is damaged if it has too few or too many fields or one of the wrong type;
+    what could be read of it stands in the other columns. One pass gives both kinds.
+    """
+    return (
+        spark.read.schema(_with_damaged(contract(table)))
+        .option("header", header)
+        .option("multiLine", True)
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", DAMAGED)
+        .csv(path)
+    )
+
+
+def scan_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Call ledger from JSON lines, with the text of torn or mistyped lines beside them.
+
+    A writer that is killed leaves half a line at the end of its file, which must not hide the rest.
+    """
+    return (
+        spark.read.schema(_with_damaged(LEDGER))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", DAMAGED)
+        .json(path)
+    )
+
+
+def good_and_damaged(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good records, texts of damaged ones) of a scan, parsed once into a table of the shared folder."""
+    kept = written(scanned, "scanned")
+    good = kept.where(F.col(DAMAGED).isNull()).drop(DAMAGED)
+    return good, kept.where(F.col(DAMAGED).isNotNull()).select(DAMAGED)
+
+
 def read_raw_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Landing table from CSV with a header, quoted commas and line breaks."""
     return (

@@ -118,7 +118,8 @@ def dead_letters(decoded: DataFrame, topic: str) -> DataFrame:
     return decoded.where(F.col("error_type").isNotNull()).select(
         F.lit(topic).alias("source_topic"),
         "key",
-        F.base64(F.encode("value", "UTF-8")).alias("payload_b64"),
+        # Spark breaks base64 into lines; a payload is one.
+        F.replace(F.base64(F.encode("value", "UTF-8")), F.lit("\r\n"), F.lit("")).alias("payload_b64"),
         "error_type",
         "error_message",
         F.current_timestamp().alias("failed_at"),

@@ -53,8 +53,9 @@ def compare(spark, con, name, query, sql, sf_dir) -> str:
     a, b = canonical(df.columns, got), canonical(cols, want)
     if a == b:
         return ""
-    left = [x for x in a if x not in set(b)][:2]
-    right = [x for x in b if x not in set(a)][:2]
+    in_a, in_b = set(a), set(b)
+    left = [x for x in a if x not in in_b][:2]
+    right = [x for x in b if x not in in_a][:2]
     return f"{sorted(cols)}\n   got  {left}\n   want {right}"[:1500]
 
 

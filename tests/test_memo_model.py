@@ -103,7 +103,8 @@ def test_models_beat_the_majority(spark):
     assert roc_auc(rm.majority_baseline(test), label="label").first()["auc"] == 0.5
     top = rm.top_features(rm.model_attribution(linear, test), 1).first()
     assert top.feature == "revenue_growth_1y"
-    drops = dict(rm.permutation_importance(linear, test, columns))
+    found = rm.permutation_importance(linear, test, columns).collect()
+    drops = {r.feature: r.importance for r in found}
     assert max(drops, key=drops.get) == "revenue_growth_1y"
     scored = rm.score_all(linear, df, cats, "m")
     assert scored.count() == df.count() and scored.where("predicted_direction not in (0, 1)").count() == 0
