@@ -97,13 +97,11 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch):
     seen = Counter()
     bits = np.full(1 << co.BUCKET_BITS - 3, 255, np.uint8)
 
-    class Held:
-        value = bits
-
-    for out in co._longest_grams(Held)(iter([batch])):
-        for gram, n, size in zip(*(out[c].to_pylist() for c in ("gram", "n", "words")), strict=True):
-            for k in range(1, size + 1):
-                seen[" ".join(gram.split(" ")[:k])] += n
+    for chunk, _ in co.chunks(iter([batch])):
+        for grams in co.longest_grams(chunk, bits) if chunk.n_starts else ():
+            for gram, n in zip(grams.text.to_pylist(), grams.times.tolist(), strict=True):
+                for k in range(1, grams.words + 1):
+                    seen[" ".join(gram.split(" ")[:k])] += n
     want = Counter()
     for text, _ in rows:
         for piece in re.split(r"[.,;:!?\n\x0b\x0c\r]", text):
@@ -116,7 +114,7 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch):
 def test_buckets_tell_only_rare_words(spark):
     rows = [("common pair of words", "en")] * 20 + [(f"rare{i} word{i}", "en") for i in range(50)]
     df = spark.createDataFrame(rows, "text string, lang string").select("lang", "text")
-    bits = co.frequent_buckets(df, 20)
+    bits = co.frequent_buckets(df, 20).bits
     # Four words and three pairs, of which two could share a bucket.
     assert 6 <= int(np.unpackbits(bits).sum()) <= 7
 
@@ -125,3 +123,35 @@ def test_buckets_tell_only_rare_words(spark):
 def test_counts_beyond_one_byte(spark, least):
     rows = [("a b c", "en")] * 310 + [("a b", "en")] * 5
     assert mined(spark, rows, least) == plain(rows, least, 2000)
+
+
+def test_a_pair_in_most_texts_is_split(spark):
+    rng = random.Random(3)
+    rows = [("hot pair " + text_of(rng, 6, ["a", "b", "c"]), "en") for _ in range(200)]
+    rows += [("hot pair", None)] * 60 + [("cold pair of words", "en")] * 30
+    df = spark.createDataFrame(rows, "text string, lang string").fillna("und").select("lang", "text")
+    assert len(co.frequent_buckets(df, 10).split) > 0
+    assert mined(spark, rows, 10) == plain(rows, 10, 2000)
+
+
+def test_unary_paths_are_whole_passages(spark):
+    line = "all rights are reserved by the owner of this long line"
+    rows = [(f"{line}, other {i}", "en") for i in range(9)] + [("here is by the owner of that house now", "en")] * 4
+    rows += [("la le li lo lu la le li lo lu la le li lo lu", "fr")] * 5 + [("one two three four five", None)] * 4
+    df = spark.createDataFrame(rows, "text string, lang string")
+    counts, _ = co.graph(df, 4)
+    got = {(r.lang, r.phrase): (r.words, r.n) for r in co.unary_paths(counts).collect()}
+    assert got[("en", line)] == (11, 9) and got[("und", "one two three four five")] == (5, 4)
+    assert got[("en", "here is by the owner of that house now")] == (9, 4)
+    assert {p for lang, p in got if lang == "fr"}
+    edges = {(r.lang, r.phrase): r.n for r in counts.where("words = 5").collect()}
+    seen = Counter()
+    for (lang, phrase), (words, n) in got.items():
+        w = phrase.split(" ")
+        assert len(w) == words
+        for i in range(words - 4):
+            key = (lang, " ".join(w[i : i + 5]))
+            seen[key] += 1
+            assert edges[key] == n
+    assert seen == Counter(dict.fromkeys(edges, 1)), "every edge is on one path"
+    assert co.unary_paths(counts.limit(0)).count() == 0
