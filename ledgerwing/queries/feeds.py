@@ -239,7 +239,7 @@ def _latest_n(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _newest(spark: SparkSession, sf: str) -> DataFrame:
     rows = s.filing_facts(spark, sf).select("accession_number", "filing_date")
-    return rows.orderBy(F.col("filing_date").desc(), "accession_number").limit(25)
+    return feeds.newest_filings(rows)
 
 
 @query(
@@ -468,13 +468,14 @@ def _present(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_PAGE_TEXT = """list_reduce(list_prepend(array_to_string(list_filter(string_split(regexp_replace(html,
+#: The text nodes of a crawled page, as SQL.
+PAGE_TEXT = """list_reduce(list_prepend(array_to_string(list_filter(string_split(regexp_replace(html,
         '<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', chr(1), 'gs'), chr(1)), lambda x: x <> ''), chr(10)),
         ['&quot;', '&copy;', '&middot;', '&amp;']),
         lambda t, e: replace(t, e, CASE e WHEN '&quot;' THEN '"' WHEN '&copy;' THEN chr(169) WHEN '&middot;' THEN chr(183) ELSE '&' END))"""
 
 
-@query("html_to_text", f"SELECT page_id, CASE WHEN html IS NOT NULL THEN {_PAGE_TEXT} END AS text FROM pages")
+@query("html_to_text", f"SELECT page_id, CASE WHEN html IS NOT NULL THEN {PAGE_TEXT} END AS text FROM pages")
 def _html_to_text(spark: SparkSession, sf: str) -> DataFrame:
     return s.table(spark, sf, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
 
@@ -540,7 +541,26 @@ def _transcripts(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.explode_segments(parsed)
 
 
-@query("transcript_page_outcomes")
+def _unescaped(text: str) -> str:
+    for entity, char in (("&quot;", "'\"'"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&amp;", "'&'")):
+        text = f"replace({text}, '{entity}', {char})"
+    return text
+
+
+def _plain(markup: str) -> str:
+    return "trim(" + _unescaped(f"regexp_replace({markup}, '<[^>]*>', '', 'g')") + ", ' ' || chr(9) || chr(10) || chr(13))"
+
+
+@query(
+    "transcript_page_outcomes",
+    f"""SELECT page_id AS url, coalesce(nullif(headline, ''), 'unknown') AS company_name, CAST(spoken AS INTEGER) AS n_segments,
+            CASE WHEN NOT has_body THEN 'no article body' WHEN NOT spoken THEN 'no speaker segments' END AS reason
+        FROM (SELECT *, has_body AND starts_with(p[2], '<b>') AND length(lead) < 120 AND rtrim(lead, ':') <> '' AND len(said) > 0 AS spoken
+            FROM (SELECT page_id, has_body, {_plain("h1")} AS headline, p, {_plain("p[2]")} AS lead,
+                    list_filter(list_slice(p, 3, len(p)), lambda x: {_plain("x")} <> '') AS said
+                FROM (SELECT page_id, html LIKE '%<article>%' AS has_body, regexp_extract(html, '<h1>(.*?)</h1>', 1, 's') AS h1,
+                        string_split(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<p>') AS p FROM pages)))""",
+)
 def _page_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """The crawled pages as transcripts: how many turns, or why none."""
     pages = s.table(spark, sf, "pages").select(F.col("page_id").alias("url"), "html")

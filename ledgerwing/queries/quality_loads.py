@@ -16,6 +16,7 @@ from ..plans.build import MARTS, build_models, check_models
 from ..sources.feeds import fetch_sections, index_rows, unusual_activity
 from ..streaming import events as ev
 from . import standins as s
+from .feeds import PAGE_TEXT
 from .models import exported, ntz, rounded
 from .registry import query
 
@@ -257,7 +258,15 @@ def _snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("ticker", "fiscal_year", "score", "status")
 
 
-@query("filing_ingest")
+@query(
+    "filing_ingest",
+    f"""SELECT 'F-' || page_id AS accession_number, lpad(CAST(page_id AS VARCHAR), 10, '0') AS cik, 'T' || (page_id % 50) AS ticker,
+            url AS company_name, '10-K' AS form_type, DATE '2024-01-31' AS filing_date,
+            'https://www.sec.gov/Archives/edgar/data/' || page_id || '/F' || page_id || '/main.htm' AS document_url,
+            CASE WHEN length(t) >= 200 THEN t END AS mdna_text, CAST(NULL AS VARCHAR) AS risk_factors_text,
+            TIMESTAMP '2024-02-01 00:00:00' AS ingested_at
+        FROM (SELECT *, regexp_replace('Discussion' || chr(10) || {PAGE_TEXT}, '^\\s+|\\s+$', '', 'g') AS t FROM pages)""",
+)
 def _ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Index rows, page text, sections, landing table replaced by ticker, loaded twice."""
     pages = s.table(spark, sf, "pages")

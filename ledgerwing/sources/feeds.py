@@ -159,6 +159,11 @@ def list_filings(
     return top_per_key(found, [key], newest, limit_per_ticker)
 
 
+def newest_filings(filings: DataFrame, n: int = 25) -> DataFrame:
+    """The ``n`` newest filings of all companies; of one day those with the first accession numbers."""
+    return filings.orderBy(F.col("filing_date").desc(), "accession_number").limit(n)
+
+
 def filing_listing(
     submissions: DataFrame,
     archives: DataFrame,

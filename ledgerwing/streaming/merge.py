@@ -201,13 +201,11 @@ class DailySignals(MergedTable):
             return
         day_end = F.date_add("day", 1).cast("timestamp")
         is_late = F.lit(False) if mark is None else day_end <= F.lit(mark)
-        seen = Observation(f"events-{uuid.uuid4().hex}")
-        rows = events.withColumn("is_late", F.coalesce(is_late, F.lit(False)))
-        newest = F.max(F.col("event_time") - F.expr(f"INTERVAL {self.delay}")).alias("mark")
-        # Late rows, a table of their own, and the day sums come from one written pass.
-        rows = written(rows.observe(seen, newest), "daily-events")
+        # Late rows, day sums and the watermark come from one pass over the source.
+        rows = written(events.withColumn("is_late", F.coalesce(is_late, F.lit(False))), "daily-events")
         land(rows.where("is_late").drop("is_late"), self.late_path, batch)
-        marks = [m for m in (mark, seen.get["mark"]) if m is not None]
+        newest = rows.agg(F.max(F.col("event_time") - F.expr(f"INTERVAL {self.delay}"))).first()[0]
+        marks = [m for m in (mark, newest) if m is not None]
         summed = daily_sums(rows.where("NOT is_late"))
         self.rewrite(summed, batch, self._added, max(marks) if marks else None)
 
