@@ -92,9 +92,7 @@ def calibration_view(snapshot: Snapshot) -> tuple[DataFrame, DataFrame]:
     """The calibration report and the observed rate per score bin of the out-of-sample predictions."""
     test = snapshot.predictions.where(F.col("data_split") == "test")
     bins = score_calibration(test, "score", "actual_direction")
-    return snapshot.calibration, bins.select("bin", "n", "mean_predicted_score", "actual_rate", "small_sample").withColumns(
-        {c: F.round(c, 4) for c in ("mean_predicted_score", "actual_rate")}
-    )
+    return snapshot.calibration, bins.select("bin", "n", "mean_predicted_score", "actual_rate", "small_sample")
 
 
 def sector_overview(predictions: DataFrame) -> DataFrame:

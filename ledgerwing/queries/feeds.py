@@ -553,13 +553,14 @@ def _plain(markup: str) -> str:
 
 @query(
     "transcript_page_outcomes",
-    f"""SELECT page_id AS url, coalesce(nullif(headline, ''), 'unknown') AS company_name, CAST(spoken AS INTEGER) AS n_segments,
-            CASE WHEN NOT has_body THEN 'no article body' WHEN NOT spoken THEN 'no speaker segments' END AS reason
-        FROM (SELECT *, has_body AND starts_with(p[2], '<b>') AND length(lead) < 120 AND rtrim(lead, ':') <> '' AND len(said) > 0 AS spoken
-            FROM (SELECT page_id, has_body, {_plain("h1")} AS headline, p, {_plain("p[2]")} AS lead,
-                    list_filter(list_slice(p, 3, len(p)), lambda x: {_plain("x")} <> '') AS said
-                FROM (SELECT page_id, html LIKE '%<article>%' AS has_body, regexp_extract(html, '<h1>(.*?)</h1>', 1, 's') AS h1,
-                        string_split(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<p>') AS p FROM pages)))""",
+    f"""SELECT page_id AS url, coalesce(nullif(headline, ''), 'unknown') AS company_name, CAST(n AS INTEGER) AS n_segments,
+            CASE WHEN NOT has_body THEN 'no article body' WHEN n = 0 THEN 'no speaker segments' END AS reason
+        FROM (SELECT *, len(list_filter(heads, lambda i: rtrim(t[i], ':') <> '' AND len(list_filter(
+                range(i + 1, coalesce(list_min(list_filter(heads, lambda j: j > i)), len(t) + 1)), lambda k: t[k] <> '')) > 0)) AS n
+            FROM (SELECT *, list_filter(range(1, len(q) + 1), lambda i: starts_with(q[i], '<b>') AND length(t[i]) < 120) AS heads
+                FROM (SELECT page_id, has_body, {_plain("h1")} AS headline, q, list_transform(q, lambda x: {_plain("x")}) AS t
+                    FROM (SELECT page_id, html LIKE '%<article>%' AS has_body, regexp_extract(html, '<h1>(.*?)</h1>', 1, 's') AS h1,
+                            string_split(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<p>')[2:] AS q FROM pages))))""",
 )
 def _page_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """The crawled pages as transcripts: how many turns, or why none."""

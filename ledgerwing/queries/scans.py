@@ -135,7 +135,7 @@ _TEST = "(SELECT * FROM panel_outcomes WHERE data_split = 'test')"
         FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC) AS rn FROM panel) WHERE rn = 1
         UNION ALL SELECT 'calibration', NULL, n, round(accuracy, 4), round(ci_high, 4), (SELECT round(auc, 4) FROM ({_auc(_TEST)}))
         FROM ({_stat(_TEST)})
-        UNION ALL SELECT 'bin', NULL, bin, round(avg(predicted_score), 4), round(avg(actual_direction), 4), CAST(count(*) AS DOUBLE)
+        UNION ALL SELECT 'bin', NULL, bin, round(avg(predicted_score), 9), round(avg(actual_direction), 9), CAST(count(*) AS DOUBLE)
         FROM (SELECT *, 1 + CAST(len(list_filter([1, 2, 3, 4, 5, 6, 7, 8, 9], lambda i: predicted_score >= lo + i * w)) AS BIGINT) AS bin
             FROM {_TEST}, (SELECT min(predicted_score) AS lo, (max(predicted_score) - min(predicted_score)) / 10 AS w, count(*) AS rows,
                 max(predicted_score) AS hi FROM {_TEST}) e WHERE rows >= 100 AND hi > lo) GROUP BY bin""",
@@ -159,5 +159,5 @@ def _snapshot_views(spark: SparkSession, sf: str) -> DataFrame:
         part("screen", serving.ranked_screen(snapshot.predictions), F.col("ticker"), F.col("fiscal_year"), F.col("score"), none, none)
         .unionByName(part("meta", snapshot.company_meta, F.col("ticker"), F.col("fiscal_year"), F.col("net_margin"), F.col("debt_to_equity"), F.col("revenue_growth_1y")))
         .unionByName(part("calibration", report, nobody, F.col("out_of_sample_n"), F.col("accuracy"), F.col("ci_high"), F.col("realized_auc")))
-        .unionByName(part("bin", bins, nobody, F.col("bin"), F.col("mean_predicted_score"), F.col("actual_rate"), F.col("n")))
+        .unionByName(part("bin", bins, nobody, F.col("bin"), F.round("mean_predicted_score", 9), F.round("actual_rate", 9), F.col("n")))
     )
