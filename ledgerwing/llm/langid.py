@@ -348,7 +348,12 @@ def calibrate(docs: DataFrame, model: Model, rows: int = CALIBRATION_ROWS) -> Li
     predicted; all but the lowest two in a thousand set the limits. Without such rows nothing is asked for.
     """
     labelled = docs.where(held_out(F.col("doc_id")) & F.col("lang").isin(list(model.langs)))
-    chosen = labelled.select("text", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(rows)
+    hashes = labelled.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(rows)
+    last = hashes.agg(F.max("h")).first()[0]
+    if last is None:
+        return Limits(0.0, 0.0)
+    # The texts stay where they are read: the choice is made on hashes alone.
+    chosen = labelled.where(F.xxhash64("doc_id") <= last).select("text")
     told = predict(chosen, model).where(F.col("lang_pred") != UNDETERMINED)
     low = told.agg(*[F.percentile(c, 0.002).alias(n) for n, c in (("s", F.col("score")), ("l", letter_share(F.col("text"))))]).first()
     if low.s is None:

@@ -16,14 +16,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 import xxhash
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import drop_written, written
+from ..session import drop_written, scratch_dir, written
 from .components import components
 from .tokens import tidy, unused
+from .warc import store_of
 
 BITS = 64
 SEED = 42
@@ -165,7 +168,8 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, segment
     fingerprint zero like any other. Rows without an id come last; among rows of one id the
     text decides, among equal rows any one stays. Columns stay, whatever their names.
 
-    Rows are told apart by a number that is written with them, not by a hash of theirs.
+    Rows are told apart by a number that is written with them, not by a hash of theirs. Only
+    fingerprints and numbers are shuffled.
     """
     columns = docs.columns
     row, fp = unused("row", columns), unused("fp", columns)
@@ -188,6 +192,51 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, segment
         .groupBy(F.coalesce("root", "fp").alias("group"))
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "row")).alias("best"))
     )
-    kept = written(best.select(F.col("best.row").alias(row)), "kept")
+    kept = scratch_dir(docs.sparkSession, "kept")
+    part = F.shiftright("row", ROWS_BITS).alias("part")
+    best.select(F.col("best.row").alias("row")).select("row", part).repartition("part").write.partitionBy(
+        "part"
+    ).parquet(kept)
     drop_written(first)
-    return numbered.join(kept, row, "left_semi").select(columns)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = _KeptRows(kept)
+        for batch in batches:
+            stays = wanted.among(batch.column(row).to_numpy())
+            yield batch.select(columns).filter(pa.array(stays))
+
+    return numbered.mapInArrow(tidy(keep), docs.schema)
+
+
+#: Row numbers that agree above this many bits are listed together: those of 64 tasks.
+ROWS_BITS = 39
+
+
+class _KeptRows:
+    """Which rows stay, from lists in the shared folder of which one is held at a time.
+
+    A row's number begins with that of the task that wrote it, so a task that reads the rows
+    back needs one list, and no text is shuffled to find out.
+    """
+
+    def __init__(self, path: str):
+        self.files, self.root = store_of(path)
+        self.part, self.rows = -1, np.empty(0, np.int64)
+
+    def _load(self, part: int) -> None:
+        where = f"{self.root}/part={part}"
+        found = self.files.get_file_info(where).type != fs.FileType.NotFound
+        table = ds.dataset(where, filesystem=self.files, format="parquet").to_table(columns=["row"]) if found else None
+        self.rows = np.empty(0, np.int64) if table is None else np.sort(table["row"].to_numpy())
+        self.part = part
+
+    def among(self, rows: np.ndarray) -> np.ndarray:
+        stays = np.zeros(len(rows), bool)
+        for part in np.unique(rows >> ROWS_BITS).tolist():
+            if part != self.part:
+                self._load(part)
+            own = rows >> ROWS_BITS == part
+            at = np.searchsorted(self.rows, rows[own])
+            at[at == len(self.rows)] = 0
+            stays[own] = self.rows[at] == rows[own] if len(self.rows) else False
+        return stays
