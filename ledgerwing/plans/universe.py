@@ -64,7 +64,7 @@ def universe_tables(
     landed document no sections.
     """
     stamp = F.lit(ingested_at).cast("timestamp")
-    companies = company_info(sources.submissions, ticker_map(sources.tickers))
+    companies = company_info(sources.submissions, ticker_map(sources.tickers).hint("merge"))
     if universe is not None:
         companies = companies.where(F.col("ticker").isin([t.upper() for t in universe]))
     companies = written(
@@ -82,8 +82,9 @@ def universe_tables(
     newest = filing_listing(
         listed, sources.archives, ANNUAL_FORMS, limit_per_company=filings_per_company
     )
-    # Only the bodies of the chosen filings are read further.
-    documents = newest.join(sources.bodies, "document_url", "left")
+    # Only the bodies of the chosen filings are read further. Documents are far larger than
+    # their files or columns tell, so they are never sent to the driver to be broadcast.
+    documents = newest.join(sources.bodies.hint("merge"), "document_url", "left")
     filings = fetch_sections(documents).join(known, "cik").select(
         "accession_number",
         "cik",
