@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerwing.operators.asof import asof_join, in_force, next_within
 from ledgerwing.operators.metrics import roc_auc
 from ledgerwing.operators.ranked import exact_quantile, prefix_sums, running_total
-from ledgerwing.operators.shifts import year_neighbours
+from ledgerwing.operators.shifts import year_neighbours, year_pairs
 
 DAY0 = date(2000, 1, 1)
 
@@ -148,3 +148,26 @@ def test_year_neighbours_gaps_and_fan_out(spark):
         left join {t} p on p.ticker = c.ticker and p.fiscal_year = c.fiscal_year - 1""", t=df)
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, self_join.collect()), key=key)
+
+
+def test_rows_without_a_key_or_year_are_no_group(spark):
+    n = 6000
+    df = spark.range(n).select(
+        F.when(F.col("id") < 6, F.lit("a")).alias("ticker"),
+        (2000 + F.col("id") % 3).cast("int").alias("fiscal_year"),
+        F.col("id").cast("double").alias("revenue"),
+        F.create_map(F.lit("k"), "id").alias("extra"),
+    )
+    got = year_neighbours(df, ["ticker"], "fiscal_year", "revenue", {"nxt": 1})
+    assert got.where("ticker IS NULL AND nxt IS NULL").count() == n - 6
+    assert got.where("ticker = 'a'").count() == 10 and got.where("nxt IS NOT NULL").count() == 8
+    one = df.where("ticker IS NULL OR revenue < 3")
+    pairs = year_pairs(one, ["ticker"], "fiscal_year", ["revenue"])
+    assert pairs.count() == n - 3 and pairs.where("prior_revenue IS NOT NULL").count() == 2
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for rows in (got, pairs):
+            sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) < n / 2, "rows without a key are spread over the tasks"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
