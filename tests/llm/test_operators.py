@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerwing.llm import (
     bpe,
@@ -628,3 +629,28 @@ def test_parallel_vectors_tie(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = hnsw.nearest(vectors, vectors.where("vec_id = 50"), k=5).where("score > 0.9").orderBy("rank").collect()
     assert {(r.rank, r.vec_id) for r in got if r.vec_id >= 100} >= {(r, 99 + r) for r in (1, 2, 3, 4, 5)}
+
+
+# --- models and limits of all rows ----------------------------------------------------
+def test_trees_learn_from_every_document(spark):
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text IS NOT NULL").select("text").collect()
+    ids = [r.id for r in spark.range(4000 + len(real)).orderBy(F.xxhash64("id")).collect()]
+    texts = ["only plain words here"] * 4000 + [r.text for r in real]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    assert pii.training_patterns(docs).agg(F.sum("n")).first()[0] == sum(len(pii.labelled(r.text)) for r in real)
+    assert all(t < 2 for t in pii.fit(docs).thresholds[1:])
+    few = pii.fit(docs, max_patterns=50)
+    assert len(few.value) == pii.TREES
+
+
+def test_counted_rows_are_worth_their_number():
+    texts = ["reach us at +1 (504) 555-2652 or 192.168.0.12, order 93847561 of 1234567 units"] * 3 + [
+        f"call +49 30 {i}0123456 today, item no 12{i}45{i}78" for i in range(9)
+    ]
+    rows = [r for t in texts for r in pii.labelled(t)]
+    x, y = np.array([x for x, _ in rows], float), np.array([y for _, y in rows])
+    n, held = np.arange(len(y)) % 3 + 1, np.arange(len(y)) % 4 == 3
+    whole = pii.fit_trees(x.repeat(n, axis=0), y.repeat(n), held=held.repeat(n))
+    counted = pii.fit_trees(x, y, n, held)
+    assert np.abs(whole.score(x) - counted.score(x)).max() < 0.05
+    assert np.allclose(whole.thresholds, counted.thresholds, atol=0.05)
