@@ -3,7 +3,7 @@
 At both levels each pair of classes has a linear support vector machine over byte
 trigram frequencies, and the class with the highest sum of pairwise confidences
 wins. Training takes a bounded sample of labelled rows and fits every pair in a
-task of its own; prediction is one scan in which a text's score is the mean of
+task of its own; what a text must reach is set by all rows that were held out; prediction is one scan in which a text's score is the mean of
 its trigrams' weights, so texts of any length cost their length.
 """
 
@@ -20,19 +20,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .tokens import tidy, unused
+from ..operators.ranked import exact_quantile
+from ..session import written
+from .tokens import release, tidy, unused
 
 #: Labelled rows per language that the machines are fitted on.
 SAMPLE_PER_LANG = 500
 #: Labels that are learned, those with the most labelled rows, as every pair has a machine.
 MAX_LANGS = 64
-#: Labelled rows that scores are calibrated on.
-CALIBRATION_ROWS = 2000
 UNDETERMINED = "und"
 #: Trigram buckets as a power of two.
 BUCKET_BITS = 13
-#: Bytes of text scored at a time.
+#: Bytes of one text whose trigrams are counted at a time, and of texts scored at a time.
 CHUNK_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 SLOPE = 4.0
 
 #: Families of languages by ISO 639-1 code; others are families of their own.
@@ -91,6 +92,28 @@ def frequencies(text: bytes) -> np.ndarray:
     return counts / max(1.0, counts.sum())
 
 
+#: A filled bucket and its share. Packed texts sort as their whole rows of shares do.
+_FILLED = np.dtype([("bucket", ">u2"), ("share", "<f4")])
+
+
+def packed(shares: np.ndarray) -> bytes:
+    """The filled buckets of one text, few beside all."""
+    x = shares.astype("<f4")
+    at = np.flatnonzero(x)
+    out = np.empty(len(at), _FILLED)
+    out["bucket"], out["share"] = 0xFFFF - at, x[at]
+    return out.tobytes()
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    """One row of shares per packed text."""
+    x = np.zeros((len(rows), 1 << BUCKET_BITS), "<f4")
+    for i, row in enumerate(rows):
+        filled = np.frombuffer(row, _FILLED)
+        x[i, 0xFFFF - filled["bucket"]] = filled["share"]
+    return x
+
+
 class Machine(NamedTuple):
     """A linear machine: positive margins speak for ``a``."""
 
@@ -169,7 +192,7 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     last = F.create_map(*[F.lit(x) for r in cuts for x in (r.lang, r.last)])
 
     def shares(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: frequencies(t).astype("<f4").tobytes())
+        return texts.map(lambda t: packed(frequencies(t)))
 
     sample = (
         usable.where(F.col("h") <= last[F.col("lang")])
@@ -184,13 +207,15 @@ def fit(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["lang", "h"])
-        x = np.stack([np.frombuffer(v, "<f4") for v in rows["x"]])
+        x = unpacked(rows.pop("x").tolist())
         scale = 1 / np.sqrt(np.einsum("ij,ij->j", x, x) / len(x) + np.float32(1e-9))
         x *= scale
         scale /= np.sqrt(np.einsum("ij,ij->i", x, x)).mean()
         x /= np.sqrt(np.einsum("ij,ij->i", x, x)).mean()
         w, bias = fit_machine(x, rows["side"].to_numpy())
         weights = (w * scale).astype("<f4").tobytes()
+        del x
+        release()
         return pd.DataFrame({"pair": [rows["pair"].iloc[0]], "bias": [bias], "weights": [weights]})
 
     fitted = (
@@ -244,7 +269,7 @@ def _margins(model: Model, texts: list[bytes]) -> np.ndarray:
             continue
         batch.append(i)
         held += len(text)
-        if held > CHUNK_BYTES:
+        if held > BATCH_BYTES:
             flush()
             batch, held = [], 0
     if batch:
@@ -341,24 +366,17 @@ def letter_share(text: Column) -> Column:
     return letters / F.nullif(F.length(solid), F.lit(0))
 
 
-def calibrate(docs: DataFrame, model: Model, rows: int = CALIBRATION_ROWS) -> Limits:
+def calibrate(docs: DataFrame, model: Model) -> Limits:
     """Half of what nearly all labelled rows reach that were not learned from.
 
-    Of the held-out rows with a learned label, the ``rows`` with the smallest ``doc_id`` hashes are
-    predicted; all but the lowest two in a thousand set the limits. Without such rows nothing is asked for.
+    All held-out rows with a learned label are predicted; all but the lowest two in a
+    thousand set the limits. Without such rows nothing is asked for.
     """
     labelled = docs.where(held_out(F.col("doc_id")) & F.col("lang").isin(list(model.langs)))
-    hashes = labelled.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(rows)
-    last = hashes.agg(F.max("h")).first()[0]
-    if last is None:
-        return Limits(0.0, 0.0)
-    # The texts stay where they are read: the choice is made on hashes alone.
-    chosen = labelled.where(F.xxhash64("doc_id") <= last).select("text")
-    told = predict(chosen, model).where(F.col("lang_pred") != UNDETERMINED)
-    low = told.agg(*[F.percentile(c, 0.002).alias(n) for n, c in (("s", F.col("score")), ("l", letter_share(F.col("text"))))]).first()
-    if low.s is None:
-        return Limits(0.0, 0.0)
-    return Limits(low.s / 2, (low.l or 0.0) / 2)
+    found = predict(labelled.select("text"), model).where(F.col("lang_pred") != UNDETERMINED)
+    reached = written(found.select("score", letter_share(F.col("text")).alias("letters")), "reached")
+    low = {r.feature: r.quantile for r in exact_quantile(reached, ["score", "letters"], 0.002).collect()}
+    return Limits(low.get("score", 0.0) / 2, low.get("letters", 0.0) / 2)
 
 
 def told(docs: DataFrame, model: Model, limits: Limits) -> DataFrame:

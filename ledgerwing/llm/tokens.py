@@ -21,6 +21,14 @@ NOT_BLANK[[9, 10, 11, 12, 13, 32]] = False
 ALNUM = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
+def release() -> None:
+    """Give freed memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tidy(run: Callable) -> Callable:
     """A batch function that gives freed memory back to the system when its task ends.
 
@@ -30,10 +38,7 @@ def tidy(run: Callable) -> Callable:
     @wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        release()
 
     return wrapped
 

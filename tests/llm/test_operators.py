@@ -654,3 +654,28 @@ def test_counted_rows_are_worth_their_number():
     counted = pii.fit_trees(x, y, n, held)
     assert np.abs(whole.score(x) - counted.score(x)).max() < 0.05
     assert np.allclose(whole.thresholds, counted.thresholds, atol=0.05)
+
+
+def test_limits_are_set_by_all_held_out_rows(spark):
+    held = spark.range(12_000).where(langid.held_out(F.col("id"))).orderBy(F.xxhash64("id")).select("id").collect()
+    assert len(held) > 2500
+    rows = [(r.id, "a b 12345678" if i > len(held) - 50 else "plain words of a text", "en") for i, r in enumerate(held)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.Model(("en",), ())
+    limits = langid.calibrate(docs, model)
+    assert limits == langid.Limits(0.5, 0.1)
+    assert langid.told(docs, model, limits).count() == len(rows)
+
+
+def test_packed_shares_keep_values_and_order():
+    rng = np.random.default_rng(3)
+    rows = [np.zeros(1 << langid.BUCKET_BITS)]
+    for _ in range(60):
+        x = rows[rng.integers(len(rows))].copy()
+        x[rng.integers(len(x), size=2)] = rng.integers(0, 4, size=2) / 7
+        rows.append(x)
+    dense = [x.astype("<f4") for x in rows]
+    small = [langid.packed(x) for x in rows]
+    assert (langid.unpacked(small) == np.stack(dense)).all()
+    order = sorted(range(len(rows)), key=lambda i: (dense[i].tobytes(), i))
+    assert order == sorted(range(len(rows)), key=lambda i: (small[i], i))
