@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import written
+
 MIN_RANGES = 64
 
 
@@ -43,6 +45,11 @@ def with_range(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         out = df.join(F.broadcast(cuts), list(by))
     else:
         out = df.withColumn("_cuts", df.select(_cut_points(value, ranges)).scalar())
+    return _placed_in(out, value, ranges)
+
+
+def _placed_in(out: DataFrame, value: str, ranges: int) -> DataFrame:
+    """``_range`` from the cut points in ``_cuts``, which go."""
     # Binary search: each halving is one small projection.
     out = out.withColumn("_range", F.lit(0))
     step = ranges // 2
@@ -103,8 +110,9 @@ def prefix_sums(
 def exact_quantile(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> DataFrame:
     """Interpolated quantile of each column as rows (feature, quantile).
 
-    NULLs and NaNs are skipped. Counts per distinct value are made map-side, so
-    no task ever holds a whole column.
+    NULLs and NaNs are skipped. Rows are counted per value range first; only the
+    ranges that hold the quantile are counted value by value, so the values of a
+    column are not shuffled and no task ever holds a whole column.
     """
     cells = (
         df.select(
@@ -120,17 +128,36 @@ def exact_quantile(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> Dat
         .select("cell.feature", "cell.value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
     )
-    counts = cells.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    placed = prefix_sums(counts, "value", ["n"], by=["feature"], cuts_by=["feature"])
-    sizes = counts.groupBy("feature").agg(F.sum("n").alias("total"))
+    # The cut points are approximate, so they are fixed before they are used twice.
+    cuts = written(cells.groupBy("feature").agg(_cut_points("value", range_count(df))), "cut-points")
+    ranged = _placed_in(cells.join(F.broadcast(cuts), "feature"), "value", range_count(df))
+    sizes = ranged.groupBy("feature", "_range").agg(F.count(F.lit(1)).alias("n"))
+    every = Window.partitionBy("feature")
+    sizes = sizes.select(
+        F.col("feature"),
+        F.col("_range"),
+        "n",
+        F.sum("n").over(every).alias("total"),
+        F.coalesce(
+            F.sum("n").over(every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("before_n"),
+    )
     rank = (F.col("total") - 1) * F.lit(float(p))
     low, high = F.floor(rank), F.ceil(rank)
 
     def covers(position: Column) -> Column:
         return (F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n"))
 
+    # At most two ranges of a column hold its quantile; only their values are counted one by one.
+    held = written(sizes.where(covers(low) | covers(high)).drop("n"), "quantile-ranges")
+    counts = (
+        ranged.join(F.broadcast(held), ["feature", "_range"])
+        .groupBy("feature", "_range", "total", F.col("before_n").alias("_base"), "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    inside = Window.partitionBy("feature", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        placed.join(F.broadcast(sizes), "feature")  # one row per column
+        counts.withColumn("before_n", F.col("_base") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .where(covers(low) | covers(high))
         .groupBy("feature")
         .agg(

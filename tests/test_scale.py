@@ -49,6 +49,19 @@ def test_fundamentals_shuffle_line_columns_once(spark, tmp_path):
     }
 
 
+def test_quantile_counts_values_of_few_ranges(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=999).tolist(), rng.integers(0, 5, 1000).astype(float).tolist()
+    rows = [(x, y) for x, y in zip([*a, None], b, strict=True)] + [(float("nan"), None)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    for p in (0.0, 0.37, 0.5, 1.0):
+        out = exact_quantile(df, ["a", "b"], p)
+        assert "quantile-ranges" in " ".join(out.inputFiles())
+        found = dict(map(tuple, out.collect()))
+        assert found["a"] == pytest.approx(np.quantile(a, p), abs=1e-12)
+        assert found["b"] == pytest.approx(np.quantile(b, p), abs=1e-12)
+
+
 def test_panel_labels_share_the_shuffle_by_ticker(spark):
     names = ("mdna_word_count", *[f"{k}_mentions" for k in s.KEYWORDS], "risk_word_total", "risk_words_per_1000")
     measures = ("revenue", "cost_of_revenue", "net_income", "total_assets", "total_liabilities", "total_equity", "total_debt")
