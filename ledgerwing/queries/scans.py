@@ -11,7 +11,7 @@ from ..contracts import catalogue_drift, conform
 from ..operators import loads
 from ..plans import serving
 from ..plans.evaluation import calibration_report
-from ..session import scratch_dir
+from ..session import scratch_dir, written
 from ..sources import tables
 from . import standins as s
 from .evaluation import _auc, _stat
@@ -142,7 +142,8 @@ _TEST = "(SELECT * FROM panel_outcomes WHERE data_split = 'test')"
 )
 def _snapshot_views(spark: SparkSession, sf: str) -> DataFrame:
     """The snapshot as it is written, and the views that read nothing else."""
-    outcomes, panel = s.panel_outcomes(spark, sf), s.panel(spark, sf)
+    # The export and each figure of the report read the outcomes: they are joined once.
+    outcomes, panel = written(s.panel_outcomes(spark, sf), "outcomes"), s.panel(spark, sf)
     path = scratch_dir(spark, "snapshot")
     serving.write_snapshot(path, outcomes, panel, s.companies(spark, sf), calibration_report(outcomes))
     snapshot = serving.read_snapshot(spark, path)
