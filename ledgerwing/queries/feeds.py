@@ -510,7 +510,9 @@ def _table_rows(spark: SparkSession, sf: str) -> DataFrame:
         "<tr><td>short</td><td>row</td></tr><tr><td> </td><td>blank</td><td>ticker</td></tr><tr><td>",
         ticker, "</td><td>", name, "</td><td></td></tr></table>",
     )
-    pages = s.table(spark, sf, "customer").select("c_custkey", html.alias("html"))
+    # Dealt out before the pages are made of them: a small file of customers is a large one of pages.
+    customers = s.spread(s.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"))
+    pages = customers.select("c_custkey", html.alias("html"))
     return feeds.constituent_rows(pages, keep=["c_custkey"])
 
 

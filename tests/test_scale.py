@@ -92,3 +92,7 @@ def test_snapshot_joins_outcomes_once(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         QUERIES["snapshot_views"](spark, SF)
     assert seen and all("/outcomes-" in f for f in seen)
+
+
+def test_table_pages_are_dealt_over_the_cluster(spark):
+    assert QUERIES["html_table_rows"](spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
