@@ -94,5 +94,9 @@ def test_snapshot_joins_outcomes_once(spark, monkeypatch):
     assert seen and all("/outcomes-" in f for f in seen)
 
 
+def test_prediction_years_are_told_apart_by_number(spark):
+    assert "hashpartitioning(o_custkey" in plan_of(s.predictions(spark, SF))
+
+
 def test_table_pages_are_dealt_over_the_cluster(spark):
     assert QUERIES["html_table_rows"](spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
