@@ -20,7 +20,7 @@ from ..contracts import EVENT_STREAMS, required_fields
 from ..operators.dedup import dedup_latest, row_hash
 from ..operators.versions import append_row, folder_exists
 from ..session import drop_folders, written
-from .events import TOPICS, Handler, dead_letters, decode, good_records, land
+from .events import Handler, decode, land, route_once
 
 #: Buckets of a merged table; part of its layout.
 KEY_BUCKETS = 64
@@ -242,12 +242,6 @@ class NotPublished(ValueError):
     """A load that reported no count."""
 
 
-def _observed(df: DataFrame, label: str, columns: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
-    seen = Observation(f"{label}-{uuid.uuid4().hex}")
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"missing_{i}") for i, c in enumerate(columns)]
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls), seen
-
-
 class _Enough(Exception):
     """Raised before a micro-batch that a bounded run is not to handle."""
 
@@ -283,18 +277,18 @@ def run_counted(
         nonlocal handled
         if max_messages is not None and handled >= max_messages:
             raise _Enough(_ENOUGH)
-        decoded = decode(batch, EVENT_STREAMS[stream], required, reject_when).persist()
-        try:
-            good, seen = _observed(good_records(decoded), "good", fields)
-            bad, dead = _observed(dead_letters(decoded, TOPICS[stream]), "dead")
-            handler(good, batch_id)
-            land(bad, dlq_path, batch_id)
-            missing = {f: seen.get[f"missing_{i}"] for i, f in enumerate(fields)}
-            row = (stream, seen.get["rows"], dead.get["rows"], missing)
-            land(batch.sparkSession.createDataFrame([row], _COUNTS).coalesce(1), counts_path, batch_id)
-            handled += seen.get["rows"]
-        finally:
-            decoded.unpersist()
+        decoded = decode(batch, EVENT_STREAMS[stream], required, reject_when)
+        seen = Observation(f"good-{uuid.uuid4().hex}")
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"missing_{i}") for i, c in enumerate(fields)]
+
+        def counted(good: DataFrame, batch_id: int) -> None:
+            handler(good.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls), batch_id)
+
+        dead = route_once(decoded, stream, counted, dlq_path, batch_id)
+        missing = {f: seen.get[f"missing_{i}"] for i, f in enumerate(fields)}
+        row = (stream, seen.get["rows"], dead, missing)
+        land(batch.sparkSession.createDataFrame([row], _COUNTS).coalesce(1), counts_path, batch_id)
+        handled += seen.get["rows"]
 
     query = (
         lines.writeStream.foreachBatch(on_batch)

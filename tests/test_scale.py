@@ -100,3 +100,22 @@ def test_prediction_years_are_told_apart_by_number(spark):
 
 def test_table_pages_are_dealt_over_the_cluster(spark):
     assert QUERIES["html_table_rows"](spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_stream_batches_that_are_written_once_are_not_cached(spark, tmp_path):
+    plans = []
+    values = ['{"series_id":"A","observation_date":"2024-01-01","value":1.0,"ingested_at":"2024-01-02T00:00:00"}', "not json"]
+    for batch, lines in enumerate((values, values[:1])):
+        path = str(tmp_path / f"lines{batch}")
+        spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+
+        def handler(records, batch_id):
+            plans.append(plan_of(records))
+            ev.land(records, str(tmp_path / "landed"), batch_id)
+
+        ev.run_stream(
+            ev.read_lines(spark, path), "macro", handler, str(tmp_path / f"dlq{batch}"), str(tmp_path / f"check{batch}"), writes_once=True
+        ).awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "landed")).count() == 1
+        assert spark.read.parquet(str(tmp_path / f"dlq{batch}")).count() == len(lines) - 1
+    assert not any("InMemory" in p for p in plans)
