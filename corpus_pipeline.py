@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerwing.llm import bpe, decontaminate, langid, pii, simhash
 from ledgerwing.llm.queries import tokenizer_path
-from ledgerwing.session import drop_folders, recorded, written
+from ledgerwing.session import drop_folders, recorded, small_batches, written
 
 ORACLE_SQL = None
 
@@ -27,6 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     labelled rows go. Repeated rows stay repeated. Without any labelled row nothing can be
     predicted, and every text with a letter stays as it is; no rows give no rows.
     """
+    small_batches(spark)
     model = langid.fit(docs)
     if not model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -40,6 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     The smallest ``doc_id`` stays, rows without an id come last; one of equal rows stays.
     NULL and word-free texts are one group; no rows give no rows.
     """
+    small_batches(spark)
     return simhash.keep_one_of_each(docs, shingle=3, radius=2)
 
 
@@ -48,6 +50,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     NULL and empty texts and items have none. Repeated rows stay or go together.
     """
+    small_batches(spark)
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -56,6 +59,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     NULL texts stay NULL, empty ones empty, repeated rows repeated.
     """
+    small_batches(spark)
     clean = pii.redact(docs, pii.fit(docs))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -68,6 +72,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A NULL text has no tokens; repeated rows come out repeated.
     """
+    small_batches(spark)
     path = tokenizer_path()
     coded = bpe.encode(docs, path, decoded=True)
     return coded.select(

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from .tokens import grouped, tidy
+from .tokens import grouped, sliced, tidy
 
 #: Texts of more characters are halved into leaves.
 LEAF_CHARS = 16384
@@ -278,7 +278,7 @@ def encode(
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             for lo, hi in grouped(texts, BATCH_CHARS):  # a text's words take ten times its memory
                 ids = coder.batch(texts[lo:hi])

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .filters import filter_slots, in_filter, seed_filter
-from .tokens import ALNUM, Words, grouped, mix, powers, tidy, unused, words_of
+from .tokens import ALNUM, Words, grouped, mix, powers, sliced, tidy, unused, words_of
 
 #: Ones are compared, noughts ignored. Together they meet every stretch of 13 to 24
 #: words of which 80 % are equal, wherever the replaced words are.
@@ -138,7 +138,7 @@ def candidate_segments(docs: DataFrame, table: np.ndarray, reach: int, masks: tu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             keys, ids = (batch.column(c).to_pylist() for c in ("key", "doc_id"))
             texts = batch.column("text").to_pylist()
             raw = [(t or "").lower().encode() for t in texts]

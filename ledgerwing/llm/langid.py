@@ -22,7 +22,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..operators.ranked import exact_quantile
 from ..session import written
-from .tokens import release, tidy, unused
+from .tokens import release, sliced, tidy, unused
 
 #: Labelled rows per language that the machines are fitted on.
 SAMPLE_PER_LANG = 500
@@ -331,7 +331,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches, body):
             texts = [t or b"" for t in batch.column(body).to_pylist()]
             known = [i for i, t in enumerate(texts) if t and has_letter(t)] if model.langs else []
             langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))

@@ -25,7 +25,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import drop_written, scratch_dir, written
 from .components import components
-from .tokens import tidy, unused
+from .tokens import sliced, tidy, unused
 from .warc import store_of
 
 BITS = 64
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ())
     schema = StructType([*(source.schema[c] for c in cols), StructField("fp", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, "_text"):
             fps = [fingerprint(t.as_py(), shingle) for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in cols), pa.array(fps, pa.int64())], [*cols, "fp"]
@@ -176,7 +176,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, segment
     schema = StructType([*docs.schema.fields, StructField(fp, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             fps = pa.array([fingerprint((t.as_py() or "").encode(), shingle) for t in batch.column("text")], pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), fps], schema.names)
 
@@ -201,7 +201,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, segment
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = _KeptRows(kept)
-        for batch in batches:
+        for batch in sliced(batches):
             stays = wanted.among(batch.column(row).to_numpy())
             yield batch.select(columns).filter(pa.array(stays))
 

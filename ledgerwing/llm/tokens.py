@@ -9,9 +9,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Bytes worked on at a time; longer texts are cut between words.
-CHUNK_BYTES = 1 << 21
+#: Bytes worked on at a time, in arrays of eight bytes for each; longer texts are cut between words.
+CHUNK_BYTES = 1 << 18
+#: Bytes of texts that a batch function has as Python objects at a time.
+SLICE_BYTES = 1 << 22
 BASE = 0x9E3779B97F4A7C15
 
 #: Bytes of words: everything but ASCII white space.
@@ -43,6 +46,22 @@ def tidy(run: Callable) -> Callable:
     return wrapped
 
 
+def sliced(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """All rows of the batches in slices of at most ``limit`` bytes of ``text``, or one longer row.
+
+    A batch has thousands of whole texts; as Python objects they take several times its
+    memory, in every worker. Slices are views of their batch.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = done = 0
+        while at < len(ends):
+            to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+            yield batch.slice(at, to - at)
+            at, done = to, int(ends[to - 1])
+
+
 def unused(name: str, columns: Iterable[str]) -> str:
     """A column name that no column has, whatever its case: the given one or a longer one."""
     taken = {c.lower() for c in columns}

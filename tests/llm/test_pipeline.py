@@ -2,14 +2,17 @@
 
 import random
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from ledgerwing.llm import decontaminate, langid, tokens
 from ledgerwing.llm import queries as llm
 from ledgerwing.llm.queries import tokenizer_path
 
@@ -122,3 +125,37 @@ def test_whole_pipeline_equals_plain_code(spark, tmp_path):
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in out}
     assert len(out) == len(want) and not {200, 201, 400, 401, 402} & set(want) and len(want) < 75
     assert got == want
+
+
+def test_sliced_keeps_all_rows():
+    texts = ["ab", None, "", "c" * 50, "d", "é" * 5, None]
+    batch = pa.RecordBatch.from_pydict({"n": range(len(texts)), "text": pa.array(texts, pa.string())})
+    parts = list(tokens.sliced([batch, batch.slice(2), batch.slice(0, 0)], limit=12))
+    assert pa.Table.from_batches(parts).to_pylist() == [*batch.to_pylist(), *batch.slice(2).to_pylist()]
+    sizes = [[len((t or "").encode()) for t in p.column("text").to_pylist()] for p in parts]
+    assert all(sum(s) <= 12 or len(s) == 1 for s in sizes) and len(parts) < 2 * len(texts) - 2
+
+
+def test_batches_are_never_python_objects_as_a_whole(spark, monkeypatch):
+    """A batch of 64 MB of texts takes far less than its own size beside it."""
+    made = []
+    taken = lambda self, run, schema: made.append(run) or spark.createDataFrame([], schema)
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    model = langid.Model(("en", "fr"), (langid.Machine("en", "fr", 0.0, np.zeros(1 << 18, "<f4")),))
+    monkeypatch.setattr(type(docs), "mapInArrow", taken)
+    langid.predict(docs, model)
+    decontaminate.candidate_segments(docs, np.zeros(16, np.uint64), 3, decontaminate.MASKS)
+    monkeypatch.undo()
+    n = 1000
+    text = pa.array(["word and more " * 4700] * n, pa.string())
+    ids = pa.array(range(n), pa.int64())
+    columns = {"key": ids, "doc_id": ids, "text": text, "text_bytes": text.cast(pa.binary())}
+    none = pa.nulls(n, pa.string())
+    batch = pa.RecordBatch.from_pydict(columns | {"lang": none, "source": none, "n_chars": ids})
+    assert text.nbytes > 64e6
+    for run, least in zip(made, (n, 0), strict=True):
+        tracemalloc.start()
+        rows = sum(b.num_rows for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == least and peak < 100e6, (run, rows, peak)
