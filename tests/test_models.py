@@ -208,3 +208,45 @@ def test_whole_build_checks_and_snapshot(spark, stg, tmp_path):
     assert meta.ticker == "AA" and meta.company_name == "Alpha, Inc."
     history = serving.company_history(spark.read.parquet(f"{snapshot}/predictions"), "AA")
     assert [r.fiscal_year for r in history.collect()] == [2024, 2025]
+
+
+def test_views_are_read_once_for_all_their_rules(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        read.add(1)
+        return x
+
+    rows = spark.createDataFrame(
+        [("a", "A", 1.0), ("a", "B", None), (None, "A", 2.0), ("b", "Z", 3.0), ("c", None, 4.0)],
+        "fundamental_id string, ticker string, revenue double",
+    )
+    models = {
+        "stg_companies": spark.createDataFrame([("A", "1", "x"), ("B", None, "y")], "ticker string, cik string, sector string"),
+        "stg_fundamentals": rows.withColumn("fundamental_id", counted("fundamental_id")),
+    }
+    found = {(r.model, r.rule): r.failures for r in check_models(models).collect()}
+    assert read.value == 5
+    plain = [q.run_checks(m, models[m], q.model_rules()[m], models) for m in models]
+    assert found == {(r.model, r.rule): r.failures for p in plain for r in p.collect()}
+    own = {k: n for (m, k), n in found.items() if m == "stg_fundamentals"}
+    assert own == {
+        "unique(fundamental_id)": 1, "not_null(fundamental_id)": 1, "not_null(ticker)": 1,
+        "relationships(ticker)": 1, "not_null(revenue)": 1,
+    }
+
+
+def test_scopes_of_rules_hold_when_columns_are_written(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, 5.0), ("a", 0, 50.0), ("b", 1, 50.0), ("b", 1, None), ("z", None, 50.0)], "k string, own int, v double"
+    )
+    rules = [
+        q.Rule("unique", "k", where="own = 1"), q.relationship("k", "known", "k"), q.bounds("v", 0, 9, where="own = 1"),
+        q.invariant("odd", "own = 0 and v > 9"), q.accepted("k", "a", "b"),
+    ]
+    models = {"known": spark.createDataFrame([("a",), ("b",)], "k string")}
+    results = [{r.rule: r.failures for r in q.run_checks("m", rows, rules, models, once=o).collect()} for o in (False, True)]
+    assert results[0] == results[1] == {
+        "unique(k)": 1, "relationships(k)": 1, "bounds(v)": 1, "invariant(odd)": 1, "accepted_values(k)": 1,
+    }
