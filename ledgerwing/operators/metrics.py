@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import safe_div, wilson
+from ..session import written
 from .ranked import prefix_sums
 
 SMALL_SAMPLE = 30
@@ -84,7 +85,8 @@ def roc_auc(
     """Exact ROC-AUC with tied scores at mid-rank; NULL for a single class.
 
     Rows are reduced to distinct scores map-side; the running count of
-    negatives below a score is a distributed prefix sum.
+    negatives below a score is a distributed prefix sum. The counts per score are
+    written once, as the prefix sum reads them three times: rows are scored once.
     """
     per_score = (
         df.where(F.col(label).isNotNull())
@@ -94,7 +96,7 @@ def roc_auc(
             _count_if(F.col(label) != 1).alias("_neg"),
         )
     )
-    ranked = prefix_sums(per_score, "_score", ["_neg"], by=by)
+    ranked = prefix_sums(written(per_score, "score-counts"), "_score", ["_neg"], by=by)
     won = F.sum(F.col("_pos") * (F.col("before__neg") + F.col("_neg") / F.lit(2.0)))
     pairs = F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
     return ranked.groupBy(*by).agg((won / F.nullif(pairs, F.lit(0.0))).alias("auc"))

@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -232,6 +233,27 @@ def test_permuted_features_lose_what_they_told(spark):
     assert abs(got["revenue"].auc - 0.5) < 0.15
 
 
+def test_copies_with_a_permuted_feature_are_scored_once(spark):
+    scored = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        scored.add(1)
+        return x
+
+    class Counting(rm.LinearScorer):
+        def transform(self, df):
+            seen = F.udf(counted, "array<double>")(vector_to_array("probability"))
+            return super().transform(df).withColumn("probability", array_to_vector(seen))
+
+    n, columns = 200, ["revenue", "net_margin"]
+    rows = [(f"T{i}", 2000, int(i % 5 < 2), float(i % 7), float(i % 3)) for i in range(n)]
+    df = spark.createDataFrame(rows, "ticker string, fiscal_year int, label int, revenue double, net_margin double")
+    plain = rm.Scaling({c: 0.0 for c in columns}, {c: 0.0 for c in columns}, {c: 1.0 for c in columns})
+    model = rm.FittedModel("m", columns, plain, Counting([4.0, 1.0], 0.5), False)
+    assert rm.permutation_importance(model, df, permuted_rows=50).count() == 2
+    assert scored.value == n * (len(columns) + 1)
+
+
 def test_the_logistic_fit_ends_where_no_slope_is_left(spark):
     rows = [(f"T{i}", 2000, int((i * 7) % 11 < 5), float(i % 13), float((i * 5) % 17)) for i in range(300)]
     df = spark.createDataFrame(rows, "ticker string, fiscal_year int, label int, revenue double, net_margin double")
