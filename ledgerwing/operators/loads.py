@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +42,8 @@ def replace_table(df: DataFrame, table: str, path: str) -> None:
 
 #: Directories of a keyed table; a load rewrites those that its keys fall into.
 KEY_BUCKETS = 256
+#: Files per directory, on average, from which a load of new keys rewrites what it touches.
+FILES_PER_BUCKET = 32
 _BUCKET, _LIVE = "_bucket", "_live"
 
 
@@ -51,9 +55,10 @@ def replace_keys(df: DataFrame, path: str, key: str, buckets: int = KEY_BUCKETS)
     """Delete-then-insert by key: keys present in ``df`` are replaced, others kept.
 
     Keys are hashed to ``buckets`` directories, so millions of keys do not make
-    millions of files. Only the directories of incoming keys are rewritten, from
-    their kept rows and the new ones; a repeated load changes nothing. Rebalancing
-    splits a large bucket over tasks. NULL is a key like any other. ``buckets`` is
+    millions of files. Keys that the table does not hold yet are added as new files,
+    and what is there stays as it is; otherwise the directories of incoming keys are
+    rewritten, from their kept rows and the new ones. A repeated load changes nothing.
+    A large bucket is split over tasks. NULL is a key like any other. ``buckets`` is
     part of a table's layout and must stay the same.
     """
     _rewrite(df.sparkSession, path, key, df.select(key), df, buckets)
@@ -68,26 +73,51 @@ def delete_keys(keys: DataFrame, path: str, key: str, schema: T.StructType, buck
 def _rewrite(
     spark: SparkSession, path: str, key: str, keys: DataFrame, incoming: DataFrame, buckets: int
 ) -> None:
-    gone = written(keys.distinct(), "replaced-keys")
-    touched = [r[0] for r in gone.select(_bucket_of(key, buckets)).distinct().collect()]
     rows = incoming.withColumns({_BUCKET: _bucket_of(key, buckets), _LIVE: F.lit(True)})
-    # A marker row keeps a directory that has lost its last row from staying as it was.
-    marks = spark.createDataFrame([(b,) for b in touched], f"{_BUCKET} int").withColumn(_LIVE, F.lit(False))
-    rows = rows.unionByName(marks, allowMissingColumns=True)
+    gone = keys.groupBy(F.col(key), _bucket_of(key, buckets)).agg(F.count(F.lit(1)).alias("n"))
+    gone = written(gone, "replaced-keys")
+    sizes = dict(gone.groupBy(_BUCKET).agg(F.sum("n")).collect())
+    mode = "append"
     if _exists(spark, path):
-        current = spark.read.schema(rows.schema).parquet(path).where(F.col(_LIVE) & F.col(_BUCKET).isin(touched))
-        old = gone.withColumnRenamed(key, "_gone")
-        kept = current.join(old, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
-        rows = rows.unionByName(written(kept, "kept-rows"))
+        current = spark.read.schema(rows.schema).parquet(path).where(_LIVE)
+        old = gone.select(F.col(key).alias("_gone"))
+        same = F.col(key).eqNullSafe(F.col("_gone"))
+        many = len(current.inputFiles()) >= FILES_PER_BUCKET * buckets
+        if many or not current.select(key).join(old, same, "left_semi").isEmpty():
+            mode, touched = "overwrite", list(sizes)
+            current = current.where(F.col(_BUCKET).isin(touched))
+            for bucket, n in current.groupBy(_BUCKET).agg(F.count(F.lit(1))).collect():
+                sizes[bucket] += n
+            # A marker row keeps a directory that has lost its last row from staying as it was.
+            marks = spark.createDataFrame([(b,) for b in touched], f"{_BUCKET} int").withColumn(_LIVE, F.lit(False))
+            # The folders that are read are replaced when all tasks have ended, so nothing is copied before.
+            kept = current.join(old, same, "left_anti")
+            rows = rows.unionByName(marks, allowMissingColumns=True).unionByName(kept)
     (
-        rows.hint("rebalance", _BUCKET)
-        .write.mode("overwrite")
+        _dealt(rows, sizes)
+        .write.mode(mode)
         .partitionBy(_BUCKET)
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
 
 
+def _dealt(rows: DataFrame, sizes: Mapping[int, int]) -> DataFrame:
+    """Rows dealt by bucket over all tasks; a bucket with more than a task's share goes to several of them.
+
+    Small tables too: most of their time is the making of files, one per bucket.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, math.ceil(sum(sizes.values()) / tasks))
+    slots = F.lit(1)
+    for bucket, n in sizes.items():
+        if n > share:
+            slots = F.when(F.col(_BUCKET) == bucket, math.ceil(n / share)).otherwise(slots)
+    # Maps have no hash.
+    hashed = [f.name for f in rows.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    return rows.repartition(tasks, F.col(_BUCKET), F.pmod(F.xxhash64(*hashed), slots))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)

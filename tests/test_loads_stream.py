@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerwing import contracts
 from ledgerwing.operators import loads
+from ledgerwing.session import recorded
 from ledgerwing.sources import tables
 from ledgerwing.streaming import events as ev
 
@@ -42,6 +43,54 @@ def test_replace_keys_is_idempotent(spark, tmp_path):
         assert sorted(map(tuple, got)) == [("0012", 1), ("B", 9)]
 
 
+def test_new_keys_leave_the_stored_files_alone(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    schema = "ticker string, v int"
+
+    def load(*rows):
+        loads.replace_keys(spark.createDataFrame(list(rows), schema), path, "ticker", buckets=2)
+        got = loads.read_keyed(spark, path, "ticker", ["ticker", "v"], spark.createDataFrame([], schema).schema)
+        return sorted(map(repr, map(tuple, got.collect()))), {str(f) for f in (tmp_path / "t").rglob("*.parquet")}
+
+    first, files = load(*[(f"k{i}", i) for i in range(20)])
+    more, grown = load(("n1", 1), ("n1", 2), (None, 3))
+    assert files < grown, "rows of new keys are added, the others are not rewritten"
+    assert more == sorted([*first, "('n1', 1)", "('n1', 2)", "(None, 3)"])
+    # A key that is there again, NULL too, is replaced as ever, also beside new ones.
+    again, _ = load(("k3", 33), (None, 4), ("n2", 5))
+    assert again == sorted([*(x for x in more if "k3" not in x and "None" not in x), "('k3', 33)", "(None, 4)", "('n2', 5)"])
+    rows = spark.createDataFrame([("k0",), ("absent",)], "ticker string")
+    loads.delete_keys(rows, path, "ticker", spark.createDataFrame([], schema).schema, buckets=2)
+    left, held = load(("n3", 6))
+    assert left == sorted([*(x for x in again if "'k0'" not in x), "('n3', 6)"])
+    monkeypatch.setattr(loads, "FILES_PER_BUCKET", 1)
+    last, merged = load(("n4", 7), *[(f"m{i}", 0) for i in range(9)])
+    assert len(last) == len(left) + 10 and len(merged) <= len(held), "many small files are put together"
+
+
+def test_a_load_does_not_copy_the_kept_rows_first(spark, tmp_path):
+    path = str(tmp_path / "t")
+    loads.replace_keys(spark.createDataFrame([("a", 1), ("b", 2)], "ticker string, v int"), path, "ticker")
+    with recorded() as made:
+        loads.replace_keys(spark.createDataFrame([("a", 9)], "ticker string, v int"), path, "ticker")
+    assert not [f for f in made if "kept-rows" in f]
+
+
+def test_a_small_load_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(f"k{i}", i) for i in range(64)], "ticker string, v int")
+    loads.replace_keys(rows, path, "ticker")
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "t").rglob("*.parquet")}
+    assert len(tasks) > 1
+    hot = str(tmp_path / "hot")
+    loads.replace_keys(rows.withColumn("ticker", F.lit("one")), hot, "ticker")
+    assert len({f.name for f in (tmp_path / "hot").rglob("*.parquet")}) > 1, "a hot key is split over tasks"
+    assert loads.read_keyed(spark, hot, "ticker", ["ticker", "v"], rows.schema).count() == 64
+    mapped = rows.withColumn("m", F.create_map("ticker", "v"))
+    loads.replace_keys(mapped, str(tmp_path / "maps"), "ticker")
+    assert loads.read_keyed(spark, str(tmp_path / "maps"), "ticker", ["m"], mapped.schema).count() == 64
+
+
 def test_ledger_and_reports(spark, tmp_path):
     row = {"model": "m", "agent_name": "a", "ticker": None, "input_tokens": 5, "cost_usd": 0.5}
     path = str(tmp_path / "ledger")
