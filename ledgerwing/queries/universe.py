@@ -12,7 +12,7 @@ from ..contracts import contract
 from ..operators.loads import read_keyed
 from ..operators.versions import VersionedTables
 from ..plans import universe as un
-from ..session import scratch_dir, written
+from ..session import drop_folders, file_stamp, scratch_dir, written
 from ..streaming import events as ev
 from ..streaming import merge as mg
 from . import standins as s
@@ -281,6 +281,22 @@ def _daily_signals(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found, 8, "avg_implied_volatility")
 
 
+#: Lines of a compressed file, which one task reads.
+LINES_PER_FILE = 100_000
+#: Micro-batches of a run, at most.
+MICRO_BATCHES = 32
+
+
+def _line_files(spark: SparkSession, lines: DataFrame, path: str) -> int:
+    """Write lines as compressed files; returns how many of them a micro-batch takes.
+
+    A compressed file is not split, so that is one per core, and more where there are very many.
+    """
+    lines.write.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE).text(path)
+    files = sum(1 for name, *_ in file_stamp(spark, path) if name.endswith(".gz"))
+    return max(spark.sparkContext.defaultParallelism, -(-files // MICRO_BATCHES))
+
+
 @query(
     "stream_counts",
     """SELECT 'macro' AS stream, (SELECT count(*) FROM events) AS published, (SELECT 3 * count(*) FROM events) AS dead
@@ -288,19 +304,25 @@ def _daily_signals(spark: SparkSession, sf: str) -> DataFrame:
         UNION ALL SELECT 'options/implied_volatility', count(*) FILTER (l_tax = 0), 0 FROM lineitem""",
 )
 def _stream_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Published, dead-lettered and missing values of all micro-batches, observed while they are written."""
+    """Published, dead-lettered and missing values of all micro-batches, observed while they are written.
+
+    Only the counts are read once a stream has ended; its lines and what it landed are deleted then.
+    """
     out = None
     for stream in ("macro", "options"):
-        path, counts = scratch_dir(spark, "lines"), scratch_dir(spark, "counts")
+        counts = scratch_dir(spark, "counts")
+        path, landed, dlq, checkpoint = (scratch_dir(spark, n) for n in ("lines", "landed", "dlq", "checkpoint"))
         if stream == "macro":
-            event_lines(spark, sf).where("value is not null").select("value").write.text(path)
+            lines = event_lines(spark, sf).where("value is not null").select("value")
         else:
             messages = _messages(spark, sf, stream)
-            messages.select(F.to_json(F.struct(*messages.columns)).alias("value")).write.text(path)
+            lines = messages.select(F.to_json(F.struct(*messages.columns)).alias("value"))
+        per_trigger = _line_files(spark, lines, path)
         mg.run_counted(
-            ev.read_lines(spark, path, files_per_trigger=1), stream, ev.landing_handler(stream, scratch_dir(spark, "landed")),
-            scratch_dir(spark, "dlq"), counts, scratch_dir(spark, "checkpoint"),
+            ev.read_lines(spark, path, files_per_trigger=per_trigger), stream, ev.landing_handler(stream, landed),
+            dlq, counts, checkpoint,
         )
+        drop_folders(spark, [path, landed, dlq, checkpoint])
         found = mg.published_counts(spark, counts)
         total = found.groupBy("stream").agg(F.sum("published").alias("published"), F.sum("dead").alias("dead"))
         missing = found.select("stream", F.explode("missing").alias("field", "n")).groupBy("stream", "field").agg(F.sum("n").alias("published"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
 
@@ -9,7 +11,9 @@ from ledgerwing.operators.ranked import exact_quantile
 from ledgerwing.plans import intermediate, serving
 from ledgerwing.queries import QUERIES
 from ledgerwing.queries import standins as s
+from ledgerwing.queries import universe
 from ledgerwing.streaming import events as ev
+from ledgerwing.streaming import merge as mg
 
 SF = "/root/testdata/sf0.001"
 
@@ -119,3 +123,30 @@ def test_stream_batches_that_are_written_once_are_not_cached(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "landed")).count() == 1
         assert spark.read.parquet(str(tmp_path / f"dlq{batch}")).count() == len(lines) - 1
     assert not any("InMemory" in p for p in plans)
+
+
+def test_counted_streams_keep_little_on_disk(spark, tmp_path, monkeypatch):
+    n, folder = 300, str(tmp_path)
+    events = "id AS event_id, TIMESTAMP_NTZ'2024-01-02 03:04:05' AS ts, IF(id % 3 = 0, 'a', 'b') AS event_type, id / 7D AS value"
+    lines = "id AS l_orderkey, 1L AS l_partkey, 1 AS l_linenumber, 5D AS l_extendedprice, 2D AS l_quantity, id % 4 / 100D AS l_tax, 0.1D AS l_discount"
+    for name, columns in (("events", events), ("lineitem", lines)):
+        spark.sql(f"SELECT {columns} FROM range({n})").write.parquet(f"{folder}/{name}.parquet")
+    monkeypatch.setattr(universe, "LINES_PER_FILE", 20)
+    made, run_counted, scratch = [], mg.run_counted, universe.scratch_dir
+    monkeypatch.setattr(universe, "scratch_dir", lambda spark, label: made.append((label, scratch(spark, label))) or made[-1][1])
+    seen = []
+
+    def counted(stream_lines, stream, handler, dlq, counts, checkpoint):
+        kept = [x for label, x in made if label != "counts" and os.path.isdir(x)]
+        files = [f for f in os.listdir(kept[0]) if not f.startswith((".", "_"))]
+        size = sum(os.path.getsize(f"{kept[0]}/{f}") for f in files)
+        whole = spark.read.text(kept[0]).selectExpr("sum(length(value) + 1)").first()[0]
+        done = run_counted(stream_lines, stream, handler, dlq, counts, checkpoint)
+        seen.append((stream, len(kept), len(files) > 8, size < whole, mg.published_counts(spark, counts).count() > 1))
+        return done
+
+    monkeypatch.setattr(mg, "run_counted", counted)
+    found = {r.stream: (r.published, r.dead) for r in QUERIES["stream_counts"](spark, folder).collect()}
+    assert found == {"macro": (n, 3 * n), "options": (n, 0), "options/implied_volatility": (n // 4, 0)}
+    assert seen == [(x, 1, True, True, True) for x in ("macro", "options")]
+    assert [label for label, x in made if os.path.isdir(x)] == ["counts", "counts"]
